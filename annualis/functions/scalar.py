@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -145,15 +145,18 @@ def _ratio(pair, r: Column) -> Column:
     return _horner(pair[0], r) / _horner(pair[1], r)
 
 
-def normal_quantile(p: Column | str) -> Column:
-    """Inverse of the standard normal distribution function, NULL outside (0, 1)."""
-    p = as_col(p)
-    q = p - F.lit(0.5)
-    central = q * _ratio(_CENTRAL, F.lit(0.180625) - q * q)
-    r = F.sqrt(-F.log(F.when(q < 0, p).otherwise(F.lit(1.0) - p)))
+def with_normal_quantile(df: DataFrame, p: Column, name: str) -> DataFrame:
+    """Add the inverse of the standard normal distribution function, NULL outside (0, 1).
+
+    The arguments of the polynomials are columns of their own, so each is computed once.
+    """
+    q, r = F.col("_q"), F.col("_r")
+    arguments = df.withColumn("_q", F.when((p > 0) & (p < 1), p - F.lit(0.5)))
+    tail = F.sqrt(-F.log(F.lit(0.5) - F.abs(q)))
+    wide = arguments.withColumn("_r", F.when(F.abs(q) <= 0.425, F.lit(0.180625) - q * q).otherwise(tail))
     outer = F.when(r <= 5.0, _ratio(_MIDDLE, r - F.lit(1.6))).otherwise(_ratio(_TAIL, r - F.lit(5.0)))
-    inside = (p > 0) & (p < 1)
-    return F.when(inside & (F.abs(q) <= 0.425), central).when(inside, F.signum(q) * outer)
+    value = F.when(F.abs(q) <= 0.425, q * _ratio(_CENTRAL, r)).otherwise(F.signum(q) * outer)
+    return wide.withColumn(name, value).drop("_q", "_r")
 
 
 def normal_pdf(x: Column | str, mu: Column | str, sigma: Column | str) -> Column:

@@ -23,7 +23,8 @@ def training_set(readings: DataFrame, parcels: DataFrame, outcomes: DataFrame, f
     """Readings with class and country, the outcome of the same parcel and year, and series features.
 
     Every reading of a year meets that year's outcome. Parcel and outcome are inner
-    joins, features a left join on (country, year). ``defaults`` fills feature columns
+    joins, features a left join on (country, year). Outcomes, the smaller table, take on
+    the other columns first, so the readings are shuffled by one join only. ``defaults`` fills feature columns
     after the join; only growth by default. ``extra`` keeps further reading columns.
     """
     if defaults is None:
@@ -34,11 +35,8 @@ def training_set(readings: DataFrame, parcels: DataFrame, outcomes: DataFrame, f
     )
     entity = parcels.select(F.col("id").alias("parcel_id"), "crop_type", "country")
     series = features.select(F.col("area").alias("country"), "year", *SERIES_INPUTS)
-    joined = (
-        sensed.join(known, ["parcel_id", "year"])
-        .join(entity, "parcel_id")
-        .join(series, ["country", "year"], "left")
-    )
+    described = known.join(entity, "parcel_id").join(series, ["country", "year"], "left")
+    joined = sensed.join(described, ["parcel_id", "year"])
     inputs = [
         F.coalesce(F.col(c), F.lit(defaults[c])).alias(c) if c in defaults else F.col(c) for c in SERIES_INPUTS
     ]

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from annualis.functions.scalar import normal_quantile
+from annualis.functions.scalar import with_normal_quantile
 from annualis.operators.ordered import ordered_rank
 from annualis.session import stored
 
@@ -122,7 +122,7 @@ def qq_points(df: DataFrame, c: str, tie: str, partitions: int | None = None) ->
         F.when(F.col("i") == n, top).when(F.col("i") == 1, F.lit(1.0) - top)
         .otherwise((F.col("i") - F.lit(0.3175)) / (n + F.lit(0.365)))
     )
-    return ranked.select("i", normal_quantile(position).alias("theoretical"), F.col(c).alias("ordered"))
+    return with_normal_quantile(ranked, position, "theoretical").select("i", "theoretical", F.col(c).alias("ordered"))
 
 
 def qq_line(points: DataFrame) -> DataFrame:
@@ -138,4 +138,4 @@ def qq_grid(df: DataFrame, c: str, points: int = 199, accuracy: int = 10_000) ->
     """Q-Q data on a fixed grid of probabilities from a quantile sketch, in one pass."""
     probs = [(i + 1) / (points + 1) for i in range(points)]
     grid = approx_quantiles(df, [], c, probs, accuracy)
-    return grid.select(normal_quantile("q").alias("theoretical"), F.col("value").alias("ordered"))
+    return with_normal_quantile(grid, F.col("q"), "theoretical").select("theoretical", F.col("value").alias("ordered"))

@@ -100,9 +100,31 @@ def unpivot_row(df: DataFrame, keys: Sequence[str], values: Sequence[str], value
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair, strict lower triangle, as ``(a, b, r)`` in one pass."""
+    """Pearson correlation of every pair, strict lower triangle, as ``(a, b, r)``.
+
+    One aggregation finds means and spreads, the next one sums products of
+    standardised columns, a single sum per pair. Pairs with a column that has NULLs are
+    correlated over the rows where both are known. Reads ``df`` twice; the means (one
+    row) pass through the driver.
+    """
+    first = df.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[e for c in columns for e in (F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}"),
+                                       F.count(c).alias(f"n_{c}"))],
+    ).first()
+    n = first["n"]
+    whole = {c for c in columns if first[f"n_{c}"] == n}
+
+    def z(c: str) -> Column:
+        return (F.col(c) - F.lit(float(first[f"m_{c}"]))) / F.lit(float(first[f"s_{c}"]))
+
+    def r(a: str, b: str) -> Column:
+        if not (first[f"s_{a}"] and first[f"s_{b}"]):
+            return F.lit(None).cast("double")
+        return F.sum(z(a) * z(b)) / F.lit(float(n)) if {a, b} <= whole else F.corr(a, b)
+
     pairs = list(combinations(columns, 2))
-    wide = df.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    wide = df.agg(*[r(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     rows = F.array(*[
         F.struct(F.lit(b).alias("a"), F.lit(a).alias("b"), F.col(f"r{i}").alias("r")) for i, (a, b) in enumerate(pairs)
     ])

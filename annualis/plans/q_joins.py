@@ -13,11 +13,15 @@ from annualis.operators import scoring as P
 from annualis.plans import views as V
 from annualis.plans.catalog import query, sql_round
 from annualis.schemas import FEATURES, MEASURES, RESPONSE_CONFIG, SERIES_INPUTS, TARGET, WATER_NEED_MM
+from annualis.session import stored
 
 
 def training(spark, sf, extra=("reading_id",), defaults=None) -> DataFrame:
-    readings = V.readings(spark, sf).withColumnRenamed("id", "reading_id")
-    return J.training_set(readings, V.parcels(spark, sf), V.outcomes(spark, sf), V.features(spark, sf), defaults, extra)
+    """Readings and outcomes come from one stored table, so the lines are read and shuffled once."""
+    facts = stored(V.order_facts(spark, sf), "facts")
+    readings = V.readings(spark, sf, facts).withColumnRenamed("id", "reading_id")
+    outcomes = V.outcomes(spark, sf, facts)
+    return J.training_set(readings, V.parcels(spark, sf), outcomes, V.features(spark, sf), defaults, extra)
 
 
 def matrix(spark, sf, keep=("reading_id",)) -> DataFrame:
@@ -166,8 +170,6 @@ SMALL = {"trees": 5, "depth": 4}
 
 
 def _stored_matrix(spark, sf, folds: int | None = None):
-    from annualis.session import stored
-
     wide = matrix(spark, sf)
     return stored(M.with_fold(wide, ["reading_id"], folds) if folds else wide, "matrix")
 

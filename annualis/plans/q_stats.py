@@ -12,6 +12,7 @@ from annualis.plans import views as V
 from annualis.plans.catalog import query, sql_round
 from annualis.plans.q_joins import matrix, training
 from annualis.schemas import CROP_CLASSES, FEATURES, TARGET
+from annualis.session import stored
 
 
 def _rounded(df, digits, *columns):
@@ -126,7 +127,7 @@ def _matrix_columns():
     f"SELECT '{b}' AS a, '{a}' AS b, {sql_round(f'corr({a}, {b})', 5)} AS r FROM matrix"
     for i, a in enumerate(_matrix_columns()) for b in _matrix_columns()[i + 1:]))
 def corr_matrix(spark, sf):
-    return _rounded(S.corr_matrix(matrix(spark, sf), _matrix_columns()), 5, "r")
+    return _rounded(S.corr_matrix(stored(matrix(spark, sf), "matrix"), _matrix_columns()), 5, "r")
 
 
 @query("WITH " + V.MATRIX + " " + " UNION ALL ".join(
@@ -313,8 +314,6 @@ _PART = {c: f"b_{c} * ({c} - m_{c})" for c in _INPUTS}
 
 
 def _attributed(spark, sf):
-    from annualis.session import stored
-
     rows = stored(matrix(spark, sf, ("reading_id", "crop_type")), "matrix")
     return rows, A.univariate_slopes(rows, _INPUTS, TARGET)
 
@@ -350,8 +349,6 @@ def relative_to_max(spark, sf):
 @query()
 def attributions_linear_model(spark, sf):
     from annualis.operators.modelling import fit_linear
-    from annualis.session import stored
-
     rows = stored(matrix(spark, sf, ("reading_id", "crop_type")), "matrix")
     coef = A.model_coefficients(fit_linear(rows), FEATURES, rows)
     return A.top_features(A.mean_abs_attributions(rows, FEATURES, coef), 4)

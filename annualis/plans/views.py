@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from annualis.functions.scalar import map_lookup, round_arith
 from annualis.operators.series import series_features
@@ -20,8 +21,15 @@ SEGMENT_CROP = {
 SOILS = {0: "loam", 1: "clay", 2: "sandy loam", 3: "silt loam"}
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir}/{name}.parquet")
+    """One of the given tables; its schema is read from the files once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    df = read_table(spark, path, _schemas.get(path))
+    _schemas.setdefault(path, df.schema)
+    return df
 
 
 def cents(c: str) -> Column:
@@ -95,12 +103,17 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One reading per order that has lines."""
+def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders that have lines, with their line sums. Lines collapse per order before the join."""
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("parcel_id"),
         F.col("o_orderdate").alias("recorded_at"), "o_totalprice")
-    joined = orders.join(order_lines(spark, sf_dir), "id")
+    return orders.join(order_lines(spark, sf_dir), "id")
+
+
+def readings(spark: SparkSession, sf_dir: str, facts: DataFrame | None = None) -> DataFrame:
+    """One reading per order that has lines."""
+    joined = order_facts(spark, sf_dir) if facts is None else facts
     temp = F.lit(5.0) + (F.col("price") / F.col("n")) / F.lit(5e5)
     return joined.select(
         "id", "parcel_id", "recorded_at",
@@ -115,13 +128,10 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quantity per customer and order year. Lines collapse per order before the join."""
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("parcel_id"),
-        F.year("o_orderdate").alias("harvest_year"))
-    sums = orders.join(order_lines(spark, sf_dir).select("id", "qty"), "id").groupBy("parcel_id", "harvest_year").agg(
-        F.sum("qty").alias("qty"))
+def outcomes(spark: SparkSession, sf_dir: str, facts: DataFrame | None = None) -> DataFrame:
+    """Quantity per customer and order year."""
+    joined = order_facts(spark, sf_dir) if facts is None else facts
+    sums = joined.groupBy("parcel_id", F.year("recorded_at").alias("harvest_year")).agg(F.sum("qty").alias("qty"))
     return sums.select("parcel_id", "harvest_year", (F.col("qty") / F.lit(100.0)).alias("yield_t_per_ha"))
 
 

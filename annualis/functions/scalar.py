@@ -150,13 +150,13 @@ def with_normal_quantile(df: DataFrame, p: Column, name: str) -> DataFrame:
 
     The arguments of the polynomials are columns of their own, so each is computed once.
     """
-    q, r = F.col("_q"), F.col("_r")
-    arguments = df.withColumn("_q", F.when((p > 0) & (p < 1), p - F.lit(0.5)))
-    tail = F.sqrt(-F.log(F.lit(0.5) - F.abs(q)))
+    at, q, r = F.col("_p"), F.col("_q"), F.col("_r")
+    arguments = df.withColumn("_p", F.when((p > 0) & (p < 1), p)).withColumn("_q", at - F.lit(0.5))
+    tail = F.sqrt(-F.log(F.when(q < 0, at).otherwise(F.lit(1.0) - at)))
     wide = arguments.withColumn("_r", F.when(F.abs(q) <= 0.425, F.lit(0.180625) - q * q).otherwise(tail))
     outer = F.when(r <= 5.0, _ratio(_MIDDLE, r - F.lit(1.6))).otherwise(_ratio(_TAIL, r - F.lit(5.0)))
     value = F.when(F.abs(q) <= 0.425, q * _ratio(_CENTRAL, r)).otherwise(F.signum(q) * outer)
-    return wide.withColumn(name, value).drop("_q", "_r")
+    return wide.withColumn(name, value).drop("_p", "_q", "_r")
 
 
 def normal_pdf(x: Column | str, mu: Column | str, sigma: Column | str) -> Column:

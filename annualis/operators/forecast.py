@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from annualis.functions.scalar import clamp_min, iso_date, jan_first, rounded, safe_div
 from annualis.operators.cleaning import split_by_time
-from annualis.operators.series import future_spine
 from annualis.operators.stats import mape
 from annualis.schemas import CHANGEPOINT_RANGE, CHANGEPOINT_SCALE, CHANGEPOINTS, CUTOFF_YEAR, HORIZON, INTERVAL
 from annualis.session import stored
@@ -20,19 +19,18 @@ from annualis.session import stored
 def trend_fit(df: DataFrame, key="area", ord="year", v="value_tonnes", cutoff=CUTOFF_YEAR) -> DataFrame:
     """Straight line per entity on periods up to ``cutoff``, from one aggregation.
 
-    Output: key, slope, mid_x, mid_y, sxx, n and the residual deviation ``s``
-    (NULL below three points).
+    Output: key, slope, mid_x, mid_y, sxx, n, the residual deviation ``s`` (NULL below
+    three points) and the entity's last period of all.
     """
-    train, _ = split_by_time(df, ord, cutoff)
-    x, y = F.col(ord).cast("double"), F.col(v).cast("double")
-    sums = train.groupBy(key).agg(
+    x, y = F.col(ord).cast("double"), F.when(F.col(ord) <= cutoff, F.col(v).cast("double"))
+    sums = df.groupBy(key).agg(
         F.regr_slope(y, x).alias("slope"), F.regr_avgx(y, x).alias("mid_x"), F.regr_avgy(y, x).alias("mid_y"),
         F.regr_sxx(y, x).alias("sxx"), F.regr_syy(y, x).alias("_syy"), F.regr_sxy(y, x).alias("_sxy"),
-        F.regr_count(y, x).alias("n"),
-    )
+        F.regr_count(y, x).alias("n"), F.max(ord).alias("last"),
+    ).filter(F.col("n") > 0)
     sse = F.greatest(F.col("_syy") - safe_div(F.col("_sxy") * F.col("_sxy"), F.col("sxx")), F.lit(0.0))
     s = F.when((F.col("n") >= 3) & (F.col("sxx") > 0), F.sqrt(sse / F.when(F.col("n") > 2, F.col("n") - 2)))
-    return sums.select(key, "slope", "mid_x", "mid_y", "sxx", "n", s.alias("s"))
+    return sums.select(key, "slope", "mid_x", "mid_y", "sxx", "n", s.alias("s"), "last")
 
 
 def line_at(ord: str) -> Column:
@@ -58,7 +56,7 @@ def forecast_trend(df: DataFrame, key="area", ord="year", v="value_tonnes", cuto
     have no forecast.
     """
     fit = trend_fit(df, key, ord, v, cutoff)
-    ahead = future_spine(df, key, ord, horizon).join(fit, key)
+    ahead = fit.withColumn(ord, F.explode(F.sequence(F.col("last") + 1, F.col("last") + horizon)))
     yhat, half = line_at(ord), half_width(ord, level)
     return ahead.select(
         key, ord, iso_date(jan_first(ord)).alias("ds"), rounded(clamp_min(yhat, 0.0), digits).alias("yhat"),
@@ -89,18 +87,20 @@ def _segment_sums(df: DataFrame, key: str, ord: str, v: str, cutoff, changepoint
     most ``changepoints`` + 1 rows before the shuffle.
     """
     train, _ = split_by_time(df, ord, cutoff)
-    ends = train.groupBy(key).agg(
-        F.min(ord).cast("double").alias("t0"), F.max(ord).cast("double").alias("t1"),
-        F.max(F.abs(v)).cast("double").alias("scale"),
+    seen = F.col(ord) <= cutoff
+    at = F.when(seen, F.col(ord))
+    ends = df.groupBy(key).agg(
+        F.min(at).cast("double").alias("t0"), F.max(at).cast("double").alias("t1"),
+        F.max(F.when(seen, F.abs(v))).cast("double").alias("scale"), F.max(ord).cast("double").alias("last"),
     )
     wide = train.join(stored(ends, "ends"), key)
     t = safe_div(F.col(ord).cast("double") - F.col("t0"), F.col("t1") - F.col("t0"), F.lit(0.0))
     y = safe_div(F.col(v).cast("double"), F.col("scale"), F.lit(0.0))
-    points = wide.select(key, "t0", "t1", "scale", t.alias("t"), y.alias("y"))
+    points = wide.select(key, "t0", "t1", "scale", "last", t.alias("t"), y.alias("y"))
     step = share / changepoints
     segment = F.least(F.floor(F.col("t") / F.lit(step)), F.lit(changepoints)).cast("int")
     t, y = F.col("t"), F.col("y")
-    return points.groupBy(key, "t0", "t1", "scale", segment.alias("segment")).agg(
+    return points.groupBy(key, "t0", "t1", "scale", "last", segment.alias("segment")).agg(
         F.count(F.lit(1)).cast("double").alias("n"), F.sum(t).alias("st"), F.sum(t * t).alias("stt"),
         F.sum(y).alias("sy"), F.sum(t * y).alias("sty"), F.sum(y * y).alias("syy"),
     )
@@ -160,8 +160,6 @@ def forecast_piecewise(df: DataFrame, key="area", ord="year", v="value_tonnes",
     most ``changepoints`` + 1 rows of sums per entity, whatever the entity's length.
     """
     sums = _segment_sums(df, key, ord, v, cutoff, changepoints, share)
-    last = df.groupBy(key).agg(F.max(ord).cast("double").alias("last"))
-    table = sums.join(last, key)
     knots = np.arange(1, changepoints + 1) * share / changepoints
     z = NormalDist().inv_cdf(0.5 + level / 2)
     kind = df.schema[key].dataType.simpleString()
@@ -185,7 +183,7 @@ def forecast_piecewise(df: DataFrame, key="area", ord="year", v="value_tonnes",
         })
 
     schema = f"`{key}` {kind}, `{ord}` bigint, yhat double, yhat_lower double, yhat_upper double"
-    out = table.groupBy(key).applyInPandas(forecast, schema)
+    out = sums.groupBy(key).applyInPandas(forecast, schema)
     return out.select(
         key, ord, iso_date(jan_first(F.col(ord).cast("int"))).alias("ds"),
         rounded(clamp_min("yhat", 0.0), digits).alias("yhat"), "yhat_lower", "yhat_upper",

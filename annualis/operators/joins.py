@@ -16,6 +16,7 @@ from annualis.functions.scalar import jan_first
 from annualis.operators.cleaning import check_limit
 from annualis.operators.ordered import pick_first
 from annualis.schemas import MEASURES, MISSING_IN_SERVING, MISSING_IN_SIMULATION, SERIES_INPUTS, TARGET
+from annualis.session import stored
 
 
 def training_set(readings: DataFrame, parcels: DataFrame, outcomes: DataFrame, features: DataFrame,
@@ -56,6 +57,11 @@ def intensity_lookup(df: DataFrame, features: DataFrame, default: float = MISSIN
     return lookup_join(df, dim, ["country", "year"], {"value_normalized": default})
 
 
+def unique_features(dim: DataFrame, order: Sequence[str] = ("value_tonnes",)) -> DataFrame:
+    """One stored row per (country, year), the smallest by ``order``."""
+    return stored(pick_first(dim, ["country", "year"], [F.col(o) for o in order]), "unique-features")
+
+
 def enrich_requests(requests: DataFrame, features: DataFrame, default: float = MISSING_IN_SERVING,
                     order: Sequence[str] = ("value_tonnes",), unique: bool = False) -> DataFrame:
     """Series features for a table of requests, ``default`` where (country, year) is unknown.
@@ -65,19 +71,25 @@ def enrich_requests(requests: DataFrame, features: DataFrame, default: float = M
     """
     dim = features.select(F.col("area").alias("country"), "year", *SERIES_INPUTS)
     if not unique:
-        dim = pick_first(dim, ["country", "year"], [F.col(o) for o in order])
+        dim = unique_features(dim, order)
     return lookup_join(requests, dim, ["country", "year"], {c: default for c in SERIES_INPUTS})
 
 
 def prediction_history(log: DataFrame, parcels: DataFrame, limit: int = 50) -> DataFrame:
     """The latest ``limit`` (at most 500) log rows with the attributes of their parcel.
 
-    Rows without a parcel vanish. Ties on time go to the larger id.
+    Rows without a parcel vanish. Ties on time go to the larger id. ``id`` is unique
+    in either table. The rows are found on three columns; only the ``limit`` ids found are
+    broadcast to fetch the rest.
     """
     check_limit(limit)
+    known = parcels.select(F.col("id").alias("parcel_id"))
+    latest = log.select("id", "parcel_id", "predicted_at").join(known, "parcel_id", "left_semi").orderBy(
+        F.desc("predicted_at"), F.desc("id")).limit(limit)
     entity = parcels.select(F.col("id").alias("parcel_id"), F.col("name").alias("parcel_name"), "crop_type", "country")
+    named = entity.join(F.broadcast(latest.select("id", "parcel_id")), "parcel_id").drop("parcel_id")
     return (
-        log.join(entity, "parcel_id")
+        log.join(F.broadcast(named), "id")
         .select("id", "parcel_id", "parcel_name", "crop_type", "country", "model_name", "model_version",
                 "predicted_yield", "irrigation_rec_mm", "confidence", "predicted_at")
         .orderBy(F.desc("predicted_at"), F.desc("id"))

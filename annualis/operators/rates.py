@@ -23,8 +23,34 @@ def grand_total(events: DataFrame, name: str = "total") -> DataFrame:
     return events.agg(F.count(F.lit(1)).alias(name))
 
 
-def _bounds(by: Sequence[str]) -> list[Column]:
-    return [F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), *[F.col(b) for b in by]]
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def _seconds(interval: str) -> int | None:
+    number, _, unit = interval.strip().partition(" ")
+    size = _UNIT_SECONDS.get(unit.strip().lower().rstrip("s"))
+    return int(number) * size if size and number.isdigit() else None
+
+
+def _windowed(events: DataFrame, ts: str, width: str, slide: str | None, by: Sequence[str],
+              counts: dict[str, Column]) -> DataFrame:
+    """Counts per window and label.
+
+    On a table with sliding windows, rows are counted per slide step first and only the
+    counts are copied into the windows that overlap; a row is never multiplied.
+    """
+    sums = [e.alias(n) for n, e in counts.items()]
+    wide, step = _seconds(width), _seconds(slide) if slide else None
+    if not slide:
+        out = events.groupBy(F.window(ts, width).alias("_w"), *by).agg(*sums)
+    elif events.isStreaming or not wide or not step or wide % step:
+        out = events.groupBy(F.window(ts, width, slide).alias("_w"), *by).agg(*sums)
+    else:
+        steps = events.groupBy(F.window(ts, slide).alias("_s"), *by).agg(*sums)
+        steps = steps.select(F.col("_s.start").alias("_at"), *by, *counts)
+        out = steps.groupBy(F.window("_at", width, slide).alias("_w"), *by).agg(*[F.sum(n).alias(n) for n in counts])
+    return out.select(
+        F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), *by, *counts)
 
 
 def _span_seconds(start="window_start", end="window_end") -> Column:
@@ -35,9 +61,7 @@ def _span_seconds(start="window_start", end="window_end") -> Column:
 def event_rate(events: DataFrame, width="1 minute", slide: str | None = None, by: Sequence[str] = (),
                ts="ts") -> DataFrame:
     """Events per window and label: count, rate per second and per minute. Windows without events are absent."""
-    window = F.window(ts, width, slide) if slide else F.window(ts, width)
-    counts = events.groupBy(window.alias("_w"), *by).agg(F.count(F.lit(1)).alias("n"))
-    out = counts.select(*_bounds(by), "n")
+    out = _windowed(events, ts, width, slide, by, {"n": F.count(F.lit(1))})
     return out.withColumns({
         "per_second": F.col("n") / _span_seconds(), "per_minute": F.col("n") * F.lit(60.0) / _span_seconds(),
     })
@@ -75,18 +99,19 @@ def bucket_name(bound: float) -> str:
 
 
 def bucket_counts(events: DataFrame, v: str, bounds: Sequence[float] = LATENCY_BOUNDS, by: Sequence = ()) -> DataFrame:
-    """Cumulative counts ``v <= bound`` per bound, the count of all values, and their sum, in one pass."""
+    """Cumulative counts ``v <= bound`` per bound, and the count of all values, in one pass."""
+    return events.groupBy(*by).agg(*[e.alias(n) for n, e in _bucket_sums(v, bounds).items()])
+
+
+def _bucket_sums(v: str, bounds: Sequence[float]) -> dict[str, Column]:
     x = F.col(v)
-    sums = [F.count_if(x <= F.lit(float(b))).alias(bucket_name(b)) for b in bounds]
-    return events.groupBy(*by).agg(*sums, F.count(x).alias("n"))
+    return {**{bucket_name(b): F.count_if(x <= F.lit(float(b))) for b in bounds}, "n": F.count(x)}
 
 
 def window_buckets(events: DataFrame, v: str, width="5 minutes", slide: str | None = None,
                    bounds: Sequence[float] = LATENCY_BOUNDS, by: Sequence[str] = (), ts="ts") -> DataFrame:
     """``bucket_counts`` per time window."""
-    window = F.window(ts, width, slide) if slide else F.window(ts, width)
-    wide = bucket_counts(events, v, bounds, [window.alias("_w"), *by])
-    return wide.select(*_bounds(by), *[bucket_name(b) for b in bounds], "n")
+    return _windowed(events, ts, width, slide, by, _bucket_sums(v, bounds))
 
 
 def quantile_expr(q: float, bounds: Sequence[float] = LATENCY_BOUNDS) -> Column:

@@ -68,7 +68,8 @@ _ENRICHED = f"""{V.FEATURES_CTE}, {V.PARCELS}, {V.REQUESTS}, enriched AS (
 
 @query(f"WITH {_ENRICHED} SELECT event_id, value_tonnes, yoy_growth_pct, ma5_tonnes, value_normalized FROM enriched")
 def enrich_requests(spark, sf):
-    return J.enrich_requests(V.requests(spark, sf), V.features(spark, sf)).select("event_id", *SERIES_INPUTS)
+    twice = V.features(spark, sf)
+    return J.enrich_requests(V.requests(spark, sf), twice.unionByName(twice)).select("event_id", *SERIES_INPUTS)
 
 
 @query(f"""WITH {V.PARCELS}, {V.PREDICTION_LOG}
@@ -130,7 +131,7 @@ SCORED = f"""{_ENRICHED}, {_CONFIG}, scored AS (
 
 @query(f"WITH {SCORED} SELECT event_id, parcel_id, predicted_yield, irrigation_rec_mm FROM scored")
 def batch_score(spark, sf):
-    scored, _ = P.score(V.requests(spark, sf), V.features(spark, sf), formula_model, digits=None)
+    scored, _ = P.score(V.requests(spark, sf), V.features(spark, sf), formula_model, digits=None, unique_features=True)
     out = scored.select("event_id", "parcel_id", "predicted_yield", "irrigation_rec_mm")
     return V.round_features(out, {"predicted_yield": 3, "irrigation_rec_mm": 1})
 

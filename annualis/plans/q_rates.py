@@ -91,6 +91,13 @@ def histogram_quantile_windows(spark, sf):
     return _quantile_digits(R.histogram_quantile(R.window_buckets(_latency(spark, sf), "seconds", "1 hour")))
 
 
+@query(f"""WITH {_LAT}, b AS (SELECT date_trunc('hour', ts) - INTERVAL 1 HOUR * i AS window_start, {_SUMS}, count(*) AS n
+  FROM lat, range(3) t(i) GROUP BY 1)
+SELECT window_start, window_start + INTERVAL 3 HOUR AS window_end, n, {_QUANTILES} FROM b""")
+def histogram_quantile_sliding(spark, sf):
+    return _quantile_digits(R.histogram_quantile(R.window_buckets(_latency(spark, sf), "seconds", "3 hours", "1 hour")))
+
+
 # --- streams ---------------------------------------------------------------------
 
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from annualis.operators.joins import unique_features
 from annualis.operators.rates import event_rate, histogram_quantile, window_buckets
 from annualis.operators.scoring import Model, score
-from annualis.schemas import CROP_CLASSES, LATENCY_BOUNDS
+from annualis.schemas import CROP_CLASSES, LATENCY_BOUNDS, SERIES_INPUTS
 from annualis.sources.sinks import log_rows
 
 
@@ -53,14 +55,17 @@ def stream_score(requests: DataFrame, features: DataFrame, model: Model, log_pat
                  watermark: str | None = None, ts="ts", digits: int | None = 3) -> StreamingQuery:
     """Score a stream of requests and log each request once.
 
-    The feature table is joined per batch. With ``watermark`` a request that arrives
+    The feature table is made unique and stored once, and joined per batch. With ``watermark`` a request that arrives
     again in a later batch is dropped by its key.
     """
     if watermark:
         requests = requests.withWatermark(ts, watermark).dropDuplicatesWithinWatermark([key])
 
+    dim = features.select(F.col("area").alias("country"), "year", *SERIES_INPUTS)
+    known = unique_features(dim).withColumnRenamed("country", "area")
+
     def make(batch: DataFrame) -> DataFrame:
-        scored, _ = score(batch.dropDuplicates([key]), features, model, classes, digits)
+        scored, _ = score(batch.dropDuplicates([key]), known, model, classes, digits, unique_features=True)
         return log_rows(scored, version=version, keep=[key])
 
     query = (

@@ -1,4 +1,7 @@
-"""Run every query against its SQL: ``python tests/check_all.py DIR [NAME...]``."""
+"""Run every query against its SQL: ``python tests/check_all.py DIR [KEY=VALUE...] [NAME...]``.
+
+``KEY=VALUE`` are Spark settings, such as ``spark.sql.autoBroadcastJoinThreshold=-1``.
+"""
 
 import os
 import sys
@@ -13,8 +16,12 @@ from tests.parity import compare, connect  # noqa: E402
 
 
 def main(sf_dir: str, names: list[str]) -> int:
-    spark = build_session(master="local[8]", spark_sql_shuffle_partitions=8, spark_driver_memory="16g", spark_ui_enabled="false")
+    spark = build_session(master="local[8]", spark_sql_shuffle_partitions=8, spark_driver_memory="16g", spark_ui_enabled="false",
+                          spark_ui_showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
+    for setting in [n for n in names if "=" in n]:
+        spark.conf.set(*setting.split("=", 1))
+    names = [n for n in names if "=" not in n]
     con, sql, bad = connect(sf_dir), oracle_sql(), 0
     for name, run in queries().items():
         if names and name not in names:

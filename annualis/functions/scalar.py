@@ -112,6 +112,12 @@ def hashed_normal(key: Column | str, seed: int) -> Column:
     return radius * F.cos(F.lit(6.283185307179586) * hashed_uniform(key, seed + 1))
 
 
+def hashed_choice(key: Column | str, seed: int, options: Sequence) -> Column:
+    """One of ``options`` from a key, each about equally often."""
+    pick = F.floor(hashed_uniform(key, seed) * F.lit(float(len(options)))).cast("int") + 1
+    return F.element_at(F.array(*[F.lit(o) for o in options]), pick)
+
+
 # Wichura's PPND16 rational approximation of the normal quantile
 # (Applied Statistics 37, 1988, algorithm AS 241), highest power first.
 _CENTRAL = (

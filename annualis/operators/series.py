@@ -76,6 +76,11 @@ def minmax(df: DataFrame, key="area", v="value_tonnes", name="value_normalized",
     return wide.withColumn(name, minmax_expr(F.col(v), F.col("_low"), F.col("_high"), digits)).drop("_low", "_high")
 
 
+def period_means(df: DataFrame, period="year", v="value_tonnes") -> DataFrame:
+    """Mean of each period over all entities, stored."""
+    return stored(df.groupBy(period).agg(F.avg(v).alias("_avg")), "period-means")
+
+
 def vs_period_avg(df: DataFrame, period="year", v="value_tonnes", name="pct_vs_global_avg", digits=2) -> DataFrame:
     """Distance of each value from the mean of its period over all entities.
 
@@ -83,8 +88,8 @@ def vs_period_avg(df: DataFrame, period="year", v="value_tonnes", name="pct_vs_g
     by period would put all entities of a period into one task. They are stored
     first, so the planner broadcasts them only if their real size allows it.
     """
-    means = stored(df.groupBy(period).agg(F.avg(v).alias("_avg")), "period-means")
-    return df.join(means, period, "left").withColumn(name, versus_expr(F.col(v), F.col("_avg"), digits)).drop("_avg")
+    joined = df.join(period_means(df, period, v), period, "left")
+    return joined.withColumn(name, versus_expr(F.col(v), F.col("_avg"), digits)).drop("_avg")
 
 
 def series_features(df: DataFrame, key="area", ord="year", v="value_tonnes", rounding: bool = True) -> DataFrame:
@@ -99,18 +104,19 @@ def series_features(df: DataFrame, key="area", ord="year", v="value_tonnes", rou
     w, whole = _ordered(key, ord), Window.partitionBy(key)
     value, order = F.col(v), [key, ord, v, "yoy_growth_pct", "ma5_tonnes", "cagr_5y_pct", "value_normalized"]
     rest = [c for c in df.columns if c not in (key, ord, v)]
-    wide = vs_period_avg(df, ord, v, digits=digits(2)).withColumns({
+    wide = df.withColumns({
         "_prev": F.lag(v, 1).over(w),
         "_base": F.lag(v, 5).over(w),
         "_mean": F.avg(v).over(w.rowsBetween(-4, 0)),
         "_low": F.min(v).over(whole),
         "_high": F.max(v).over(whole),
     })
-    return wide.withColumns({
+    return wide.join(period_means(df, ord, v), ord, "left").withColumns({
         "yoy_growth_pct": growth_expr(value, F.col("_prev"), digits(2)),
         "ma5_tonnes": rounded(F.col("_mean"), digits(2)),
         "cagr_5y_pct": cagr_expr(value, F.col("_base"), 5, digits(2)),
         "value_normalized": minmax_expr(value, F.col("_low"), F.col("_high"), digits(4)),
+        "pct_vs_global_avg": versus_expr(value, F.col("_avg"), digits(2)),
     }).select(*order, "pct_vs_global_avg", *rest)
 
 
@@ -175,6 +181,11 @@ def entities(df: DataFrame, key="area") -> DataFrame:
     return df.select(key).distinct().orderBy(key)
 
 
+def first_entities(df: DataFrame, n: int, key="area") -> DataFrame:
+    """Rows of the first ``n`` entities in list order; the broadcast side holds ``n`` rows."""
+    return df.join(F.broadcast(entities(df, key).limit(n)), key, "left_semi")
+
+
 def history(df: DataFrame, area=None, key="area", ord="year") -> DataFrame:
     """Series in order of entity and period; one entity only if ``area`` is given."""
     if area is None:

@@ -107,28 +107,24 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     correlated over the rows where both are known. Reads ``df`` twice; the means (one
     row) pass through the driver.
     """
-    first = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[e for c in columns for e in (F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}"),
-                                       F.count(c).alias(f"n_{c}"))],
-    ).first()
-    n = first["n"]
-    whole = {c for c in columns if first[f"n_{c}"] == n}
-
-    def z(c: str) -> Column:
-        return (F.col(c) - F.lit(float(first[f"m_{c}"]))) / F.lit(float(first[f"s_{c}"]))
-
-    def r(a: str, b: str) -> Column:
-        if not (first[f"s_{a}"] and first[f"s_{b}"]):
-            return F.lit(None).cast("double")
-        return F.sum(z(a) * z(b)) / F.lit(float(n)) if {a, b} <= whole else F.corr(a, b)
-
-    pairs = list(combinations(columns, 2))
-    wide = df.agg(*[r(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    rows = F.array(*[
-        F.struct(F.lit(b).alias("a"), F.lit(a).alias("b"), F.col(f"r{i}").alias("r")) for i, (a, b) in enumerate(pairs)
-    ])
-    return wide.select(F.inline(rows))
+    numbered = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
+    parts = [f"avg(x{i}) AS m{i}, stddev_pop(x{i}) AS s{i}, count(x{i}) AS n{i}" for i in range(len(columns))]
+    first = numbered.selectExpr("count(1) AS n", *", ".join(parts).split(", ")).first()
+    whole = {i for i in range(len(columns)) if first[f"n{i}"] == first["n"]}
+    varied = {i for i in range(len(columns)) if first[f"s{i}"]}
+    z = [(F.col(f"x{i}") - F.lit(first[f"m{i}"])) / F.lit(first[f"s{i}"]) if i in varied else F.lit(None).cast("double")
+         for i in range(len(columns))]
+
+    def r(i: int, j: int) -> str:
+        if {i, j} <= whole:
+            return f"sum(z{i} * z{j}) / {first['n']}D"
+        return f"corr(z{i}, z{j})"
+
+    pairs = list(combinations(range(len(columns)), 2))
+    standard = numbered.select(*[e.alias(f"z{i}") for i, e in enumerate(z)])
+    wide = standard.selectExpr(*[f"{r(i, j)} AS r{i}_{j}" for i, j in pairs])
+    rows = ", ".join(f"struct('{columns[j]}' AS a, '{columns[i]}' AS b, r{i}_{j} AS r)" for i, j in pairs)
+    return wide.selectExpr(f"inline(array({rows}))")
 
 
 def describe_vs_target(df: DataFrame, columns: Sequence[str], y: str) -> DataFrame:

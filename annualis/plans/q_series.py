@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from annualis.operators import series as S
 from annualis.operators import stats
-from annualis.operators.joins import overlay, spine
+from annualis.operators import joins as J
 from annualis.plans import views as V
 from annualis.plans.catalog import query, sql_round
 from annualis.session import stored
@@ -141,9 +141,9 @@ def future_spine(spark, sf):
 
 
 @query("SELECT c_custkey AS id, CAST(unnest(range(1995, 2002)) AS BIGINT) AS year, i AS copy FROM customer, range(1, 4) t(i)")
-def entity_spine(spark, sf):
+def spine(spark, sf):
     customers = V.table(spark, sf, "customer").select(F.col("c_custkey").alias("id"))
-    out = spine(customers, 1995, 2001, copies=3, copy_name="copy")
+    out = J.spine(customers, 1995, 2001, copies=3, copy_name="copy")
     return out.select("id", F.col("year").cast("bigint").alias("year"), F.col("copy").cast("bigint").alias("copy"))
 
 
@@ -217,14 +217,27 @@ SELECT area, make_date(year, 1, 1) AS ds, 'history' AS kind, {sql_round('v', 6)}
   CAST(NULL AS DOUBLE) AS lower, CAST(NULL AS DOUBLE) AS upper FROM scaled
 UNION ALL SELECT area, make_date(year, 1, 1), 'forecast', {sql_round('greatest(yhat, 0e0)', 6)},
   {sql_round('(yhat - half)', 6)}, {sql_round('(yhat + half)', 6)} FROM forecast""")
-def overlay_history(spark, sf):
+def overlay(spark, sf):
     from annualis.operators.forecast import forecast_trend as run
 
     past = _scaled(spark, sf)
-    both = overlay(past, run(past, cutoff=1999, digits=None))
+    both = J.overlay(past, run(past, cutoff=1999, digits=None))
     return V.round_features(both, {"value": 6, "lower": 6, "upper": 6})
 
 
+@query(f"""WITH {_TREND}, listed AS (SELECT DISTINCT area FROM scaled ORDER BY area LIMIT 6)
+SELECT area, make_date(year, 1, 1) AS ds, 'history' AS kind, {sql_round('v', 6)} AS value FROM scaled WHERE area IN (SELECT area FROM listed)
+UNION ALL SELECT area, make_date(year, 1, 1), 'forecast', {sql_round('greatest(yhat, 0e0)', 6)} FROM forecast
+WHERE area IN (SELECT area FROM listed)""")
+def overlay_first(spark, sf):
+    """The first six entities in list order, the selection of a report page."""
+    from annualis.operators.forecast import forecast_trend as run
+
+    past = S.first_entities(_scaled(spark, sf), 6)
+    both = J.overlay(past, run(past, cutoff=1999, digits=None))
+    return V.round_features(both, {"value": 6}).select("area", "ds", "kind", "value")
+
+
 @query()
 def forecast_piecewise(spark, sf):
     from annualis.operators.forecast import forecast_piecewise as run

@@ -43,9 +43,19 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_base[context.applicationId]
 
 
+def _application_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/annualis-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{_application_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the tables this application stored; call it when their readers are done."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_application_dir(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -134,3 +134,8 @@ def test_hashed_noise_is_standard_normal_and_ignores_partitioning(spark):
     assert abs(row.m) < 0.03 and abs(row.s - 1) < 0.03
     again = spark.range(0, 20000, 1, 13).withColumn("z", X.hashed_normal("id", 42))
     assert df.join(again, ["id", "z"]).count() == 20000
+
+
+def test_hashed_choice(spark):
+    out = {r.c: r["count"] for r in spark.range(9000).groupBy(X.hashed_choice("id", 7, ["a", "b", "c"]).alias("c")).count().collect()}
+    assert set(out) == {"a", "b", "c"} and min(out.values()) > 2800

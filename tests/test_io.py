@@ -142,3 +142,11 @@ def test_no_machine_local_folder_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_dir(Fake())
+
+
+def test_clear_scratch_removes_only_what_this_application_stored(spark):
+    df = session.stored(spark.range(3))
+    folder = session.scratch_path(spark, "x").rsplit("/", 1)[0]
+    assert df.count() == 3 and os.path.isdir(folder)
+    session.clear_scratch(spark)
+    assert not os.path.exists(folder) and os.path.isdir(session.shared_dir(spark))

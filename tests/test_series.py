@@ -76,6 +76,11 @@ def test_top_entities_breaks_ties_by_name(spark):
     assert [r.area for r in S.top_entities(df, 1).collect()] == ["B"]
 
 
+def test_first_entities_in_list_order(spark):
+    df = spark.createDataFrame([("C", 1, 5.0), ("A", 1, 5.0), ("B", 1, 1.0), ("A", 2, 1.0)], COLS)
+    assert sorted(r.area for r in S.first_entities(df, 2).collect()) == ["A", "A", "B"]
+
+
 # --- groups of any size ----------------------------------------------------------
 
 

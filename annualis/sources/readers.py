@@ -58,8 +58,7 @@ def read_forecast(spark: SparkSession, path: str, area: str | None = None) -> Da
     docs = spark.read.schema(T.StructType([*FORECAST.fields, T.StructField("area_key", T.StringType())])).json(path)
     if area is None:
         return docs
-    key = spark.range(1).select(sanitize_key(F.lit(area)).alias("k")).first()["k"]
-    return docs.filter(F.col("area_key") == key)
+    return docs.filter(F.col("area_key") == sanitize_key(F.lit(area)))
 
 
 def union_evolved(old: DataFrame, new: DataFrame) -> DataFrame:

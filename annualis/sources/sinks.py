@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from annualis.functions.scalar import sanitize_key
@@ -54,15 +55,18 @@ def append(df: DataFrame, path: str) -> None:
 
 def append_new(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     """Append the rows whose key the table does not hold; the table may not exist yet."""
-    spark = df.sparkSession
     unique = df.dropDuplicates(list(keys))
-    append(new_rows(unique, spark.read.parquet(path), keys) if _has_data(df, path) else unique, path)
+    held = _table_or_none(df.sparkSession, path)
+    append(unique if held is None else new_rows(unique, held, keys), path)
 
 
-def _has_data(df: DataFrame, path: str) -> bool:
-    spark = df.sparkSession
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+def _table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def log_rows(scored: DataFrame, model_name: str = MODEL_NAME, version: str | None = None,

@@ -13,7 +13,7 @@ from annualis.functions.scalar import clamp_min, iso_date, jan_first, rounded, s
 from annualis.operators.cleaning import split_by_time
 from annualis.operators.stats import mape
 from annualis.schemas import CHANGEPOINT_RANGE, CHANGEPOINT_SCALE, CHANGEPOINTS, CUTOFF_YEAR, HORIZON, INTERVAL
-from annualis.session import stored
+from annualis.session import attach
 
 
 def trend_fit(df: DataFrame, key="area", ord="year", v="value_tonnes", cutoff=CUTOFF_YEAR) -> DataFrame:
@@ -67,9 +67,8 @@ def forecast_trend(df: DataFrame, key="area", ord="year", v="value_tonnes", cuto
 def forecast_holdout(df: DataFrame, key="area", ord="year", v="value_tonnes", cutoff=CUTOFF_YEAR,
                      digits: int | None = 2) -> DataFrame:
     """MAPE of the line on the periods after ``cutoff``, per entity."""
-    fit = stored(trend_fit(df, key, ord, v, cutoff), "trend")
     _, test = split_by_time(df, ord, cutoff)
-    scored = test.join(fit, key).withColumn("_yhat", line_at(ord))
+    scored = attach(test, trend_fit(df, key, ord, v, cutoff), [key], "trend").withColumn("_yhat", line_at(ord))
     return mape(scored, v, "_yhat", [key], digits)
 
 
@@ -93,7 +92,7 @@ def _segment_sums(df: DataFrame, key: str, ord: str, v: str, cutoff, changepoint
         F.min(at).cast("double").alias("t0"), F.max(at).cast("double").alias("t1"),
         F.max(F.when(seen, F.abs(v))).cast("double").alias("scale"), F.max(ord).cast("double").alias("last"),
     )
-    wide = train.join(stored(ends, "ends"), key)
+    wide = attach(train, ends, [key], "ends")
     t = safe_div(F.col(ord).cast("double") - F.col("t0"), F.col("t1") - F.col("t0"), F.lit(0.0))
     y = safe_div(F.col(v).cast("double"), F.col("scale"), F.lit(0.0))
     points = wide.select(key, "t0", "t1", "scale", "last", t.alias("t"), y.alias("y"))

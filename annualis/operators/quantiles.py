@@ -2,7 +2,8 @@
 
 ``percentile`` keeps all distinct values of a group in one task. Here quantiles are
 found by narrowing: count values in equal bins of each group's range, keep the bins
-that hold the wanted ranks, and bin those again. What is shuffled are bin counts.
+that hold the wanted ranks, and bin those again until few rows are left. What is
+shuffled are bin counts.
 """
 
 from __future__ import annotations
@@ -14,9 +15,7 @@ from pyspark.sql import functions as F
 
 from annualis.functions.scalar import with_normal_quantile
 from annualis.operators.ordered import ordered_rank
-from annualis.session import stored
-
-_BINS = 4096
+from annualis.session import attach, stored_with
 
 
 def _locate(cells: DataFrame, keys: Sequence[str], targets: DataFrame, order: str) -> DataFrame:
@@ -32,43 +31,54 @@ def _inside(rows: DataFrame, keys: Sequence[str], targets: DataFrame) -> DataFra
     cells = targets.select(*keys, "_seg", "_lo", "_hi").distinct()
     within = (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
     if keys:
-        return rows.join(cells, list(keys)).filter(within)
+        return attach(rows, cells, list(keys), "cells").filter(within)
     return rows.join(F.broadcast(cells), within)
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], v: str, qs: Sequence[float], levels: int = 2,
-                    bins: int = _BINS) -> DataFrame:
-    """Quantiles with linear interpolation, per group: ``(keys, q, value, n)``.
+def _store_targets(targets: DataFrame) -> tuple[DataFrame, int]:
+    """The targets, and the rows of the largest cell that holds more than one value."""
+    largest = F.max(F.when(F.col("_lo") < F.col("_hi"), F.col("_size")))
+    out, seen = stored_with(targets, "targets", largest=largest)
+    return out, seen["largest"] or 0
+
 
-    Each level reads one column, shuffles at most ``bins`` counts per searched cell
-    and task, and shrinks a cell to 1/``bins`` of its range. The last step counts
-    distinct values inside cells of 1/``bins``^``levels`` of the range.
+def exact_quantiles(df: DataFrame, keys: Sequence[str], v: str, qs: Sequence[float], cell_rows: int = 1_000_000,
+                    bins: int = 4096) -> DataFrame:
+    """Quantiles with linear interpolation, per group: ``(keys, q, value, n)``; NULL and NaN do not count.
+
+    As long as a searched cell (at first a whole group) has more than ``cell_rows`` rows, it is
+    cut into ``bins`` equal bins of its own range. A round reads one column and shuffles
+    at most ``bins`` counts per cell and task. At the end the distinct values inside the
+    cells are counted and picked by rank.
     """
     keys = list(keys)
-    rows = df.filter(F.col(v).isNotNull()).select(*keys, F.col(v).cast("double").alias("_v"))
+    rows = df.select(*keys, F.col(v).cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
     ends = rows.groupBy(*keys).agg(
         F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("n")
     )
     at = F.col("q") * (F.col("n") - 1)
     wanted = ends.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs])))
-    wanted = wanted.withColumn("_rank", F.explode(F.array(F.floor(at), F.ceil(at))))
-    targets = stored(
-        wanted.withColumn("_goal", F.col("_rank")).distinct().withColumn("_seg", F.lit("0")), "targets"
-    )
-    for _ in range(levels):
+    wanted = wanted.withColumn("_rank", F.explode(F.array_distinct(F.array(F.floor(at), F.ceil(at)))))
+    targets, largest = _store_targets(
+        wanted.withColumns({"_goal": F.col("_rank"), "_seg": F.lit("0"), "_size": F.col("n")}))
+    columns = [*keys, "_seg", "q", "n", "_goal", "_rank"]
+    while largest > cell_rows:
         inside = _inside(rows, keys, targets)
         span = F.col("_hi") - F.col("_lo")
         slot = F.when(span == 0, F.lit(0)).otherwise(
             F.least(F.floor((F.col("_v") - F.col("_lo")) / span * F.lit(float(bins))), F.lit(bins - 1)))
         counts = inside.groupBy(*keys, "_seg", slot.cast("bigint").alias("_bin")).agg(
             F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo2"), F.max("_v").alias("_hi2"))
-        found = _locate(counts, keys, targets.select(*keys, "_seg", "q", "n", "_goal", "_rank"), "_bin")
-        targets = stored(found.select(
+        found = _locate(counts, keys, targets.select(*columns), "_bin")
+        before = largest
+        targets, largest = _store_targets(found.select(
             *keys, "q", "n", "_goal", (F.col("_rank") - F.col("_before")).alias("_rank"),
             F.concat_ws(".", "_seg", F.col("_bin").cast("string")).alias("_seg"),
-            F.col("_lo2").alias("_lo"), F.col("_hi2").alias("_hi")), "targets")
+            F.col("_lo2").alias("_lo"), F.col("_hi2").alias("_hi"), F.col("_n").alias("_size")))
+        if largest == before:  # only infinite ranges do not shrink
+            break
     counts = _inside(rows, keys, targets).groupBy(*keys, "_seg", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    found = _locate(counts, keys, targets.select(*keys, "_seg", "q", "n", "_goal", "_rank"), "_v")
+    found = _locate(counts, keys, targets.select(*columns), "_v")
     share = F.col("q") * (F.col("n") - 1) - F.floor(F.col("q") * (F.col("n") - 1))
     ends = found.groupBy(*keys, "q", "n").agg(
         F.min_by("_v", "_goal").alias("_a"), F.max_by("_v", "_goal").alias("_b"))
@@ -91,12 +101,11 @@ def box_stats(df: DataFrame, keys: Sequence[str], v: str, exact: bool = True) ->
     find = exact_quantiles if exact else approx_quantiles
     long = find(df, keys, v, [0.25, 0.5, 0.75])
     at = lambda q: F.max(F.when(F.col("q") == q, F.col("value")))
-    quartiles = stored(
-        long.groupBy(*keys).agg(at(0.25).alias("q1"), at(0.5).alias("median"), at(0.75).alias("q3")), "quartiles")
+    quartiles = long.groupBy(*keys).agg(at(0.25).alias("q1"), at(0.5).alias("median"), at(0.75).alias("q3"))
     low = F.col("q1") - F.lit(1.5) * (F.col("q3") - F.col("q1"))
     high = F.col("q3") + F.lit(1.5) * (F.col("q3") - F.col("q1"))
     x = F.col(v)
-    return df.filter(x.isNotNull()).join(quartiles, keys).groupBy(*keys, "q1", "median", "q3").agg(
+    return attach(df.filter(x.isNotNull()), quartiles, keys, "quartiles").groupBy(*keys, "q1", "median", "q3").agg(
         F.min(F.when(x >= low, x)).alias("whisker_low"),
         F.max(F.when(x <= high, x)).alias("whisker_high"),
         F.count_if((x < low) | (x > high)).alias("outliers"),
@@ -106,10 +115,10 @@ def box_stats(df: DataFrame, keys: Sequence[str], v: str, exact: bool = True) ->
 
 def outliers(df: DataFrame, keys: Sequence[str], v: str, boxes: DataFrame) -> DataFrame:
     """The rows outside the whiskers of ``boxes``."""
-    ends = stored(boxes.select(*keys, "whisker_low", "whisker_high"), "boxes")
+    ends = boxes.select(*keys, "whisker_low", "whisker_high")
     x = F.col(v)
     outside = (x < F.col("whisker_low")) | (x > F.col("whisker_high"))
-    return df.join(ends, list(keys)).filter(outside).select(*df.columns)
+    return attach(df, ends, list(keys), "boxes").filter(outside).select(*df.columns)
 
 
 def qq_points(df: DataFrame, c: str, tie: str, partitions: int | None = None) -> DataFrame:

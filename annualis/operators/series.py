@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from annualis.functions.scalar import rounded
 from annualis.operators.ordered import ordered_rank, over_blocks
-from annualis.session import stored
+from annualis.session import attach
 
 
 def growth_expr(v: Column, prev: Column, digits: int | None = 2) -> Column:
@@ -68,27 +68,26 @@ def minmax(df: DataFrame, key="area", v="value_tonnes", name="value_normalized",
     of any number of rows stays spread over tasks.
     """
     if any_size:
-        bounds = stored(df.groupBy(key).agg(F.min(v).alias("_low"), F.max(v).alias("_high")), "bounds")
-        wide = df.join(bounds, key, "left")
+        bounds = df.groupBy(key).agg(F.min(v).alias("_low"), F.max(v).alias("_high"))
+        wide = attach(df, bounds, [key], "bounds", "left")
     else:
         w = Window.partitionBy(key)
         wide = df.withColumn("_low", F.min(v).over(w)).withColumn("_high", F.max(v).over(w))
     return wide.withColumn(name, minmax_expr(F.col(v), F.col("_low"), F.col("_high"), digits)).drop("_low", "_high")
 
 
-def period_means(df: DataFrame, period="year", v="value_tonnes") -> DataFrame:
-    """Mean of each period over all entities, stored."""
-    return stored(df.groupBy(period).agg(F.avg(v).alias("_avg")), "period-means")
+def _with_period_mean(rows: DataFrame, df: DataFrame, period: str, v: str) -> DataFrame:
+    means = df.groupBy(period).agg(F.avg(v).alias("_avg"))
+    return attach(rows, means, [period], "period-means", "left")
 
 
 def vs_period_avg(df: DataFrame, period="year", v="value_tonnes", name="pct_vs_global_avg", digits=2) -> DataFrame:
     """Distance of each value from the mean of its period over all entities.
 
     The means are aggregated with map-side combine and joined back, because a window
-    by period would put all entities of a period into one task. They are stored
-    first, so the planner broadcasts them only if their real size allows it.
+    by period would put all entities of a period into one task.
     """
-    joined = df.join(period_means(df, period, v), period, "left")
+    joined = _with_period_mean(df, df, period, v)
     return joined.withColumn(name, versus_expr(F.col(v), F.col("_avg"), digits)).drop("_avg")
 
 
@@ -111,7 +110,7 @@ def series_features(df: DataFrame, key="area", ord="year", v="value_tonnes", rou
         "_low": F.min(v).over(whole),
         "_high": F.max(v).over(whole),
     })
-    return wide.join(period_means(df, ord, v), ord, "left").withColumns({
+    return _with_period_mean(wide, df, ord, v).withColumns({
         "yoy_growth_pct": growth_expr(value, F.col("_prev"), digits(2)),
         "ma5_tonnes": rounded(F.col("_mean"), digits(2)),
         "cagr_5y_pct": cagr_expr(value, F.col("_base"), 5, digits(2)),
@@ -143,9 +142,9 @@ def long_series_features(df: DataFrame, key: str, order: Sequence[str], v: str,
         "ma5": rounded(F.col("_mean"), digits(2)),
         "cagr_5_pct": cagr_expr(value, F.col("_base"), 5, digits(2)),
     }).drop("_prev", "_base", "_mean", "_rank")
-    bounds = stored(df.groupBy(key).agg(F.min(v).alias("_low"), F.max(v).alias("_high")), "bounds")
+    bounds = df.groupBy(key).agg(F.min(v).alias("_low"), F.max(v).alias("_high"))
     normalised = minmax_expr(value, F.col("_low"), F.col("_high"), digits(4))
-    return wide.join(bounds, key, "left").withColumn("normalized", normalised).drop("_low", "_high")
+    return attach(wide, bounds, [key], "bounds", "left").withColumn("normalized", normalised).drop("_low", "_high")
 
 
 def densify(df: DataFrame, key="area", ord="year") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annualis.functions.scalar import normal_pdf, safe_div
-from annualis.session import stored
+from annualis.session import attach
 
 
 def value_counts(df: DataFrame, c: str, name: str = "n") -> DataFrame:
@@ -179,12 +179,12 @@ def normal_curve(df: DataFrame, c: str, points: int = 200, reach: float = 4.0) -
 def range_scale(df: DataFrame, keys: Sequence[str], columns: Sequence[str], eps: float = 1e-9) -> DataFrame:
     """Each column scaled to its class range, ``(x - min) / (max - min + eps)``, as ``<column>_scaled``."""
     ends = [e for c in columns for e in (F.min(c).alias(f"_lo_{c}"), F.max(c).alias(f"_hi_{c}"))]
-    bounds = stored(df.groupBy(*keys).agg(*ends), "ranges")
+    wide = attach(df, df.groupBy(*keys).agg(*ends), list(keys), "ranges", "left")
     scaled = [
         ((F.col(c) - F.col(f"_lo_{c}")) / (F.col(f"_hi_{c}") - F.col(f"_lo_{c}") + F.lit(eps))).alias(f"{c}_scaled")
         for c in columns
     ]
-    return df.join(bounds, list(keys), "left").select(*df.columns, *scaled)
+    return wide.select(*df.columns, *scaled)
 
 
 def quad_fit(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
@@ -199,7 +199,7 @@ def quad_fit(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame
     place = [F.avg("_x").alias("center"), F.stddev_pop("_x").alias("scale"),
              F.min("_x").alias("x_min"), F.max("_x").alias("x_max")]
     if by:
-        centred = pairs.join(stored(pairs.groupBy(*by).agg(*place), "centers"), list(by))
+        centred = attach(pairs, pairs.groupBy(*by).agg(*place), list(by), "centers")
     else:
         where = pairs.agg(F.struct(*place).alias("p")).scalar()
         centred = pairs.select("_x", "_y", *[where[n].alias(n) for n in ("center", "scale", "x_min", "x_max")])

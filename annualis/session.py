@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _local_base: dict[str, str] = {}
 
@@ -19,6 +20,7 @@ def build_session(app: str = "annualis", master: str | None = None, **conf) -> S
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     settings.update({k.replace("_", "."): str(v) for k, v in conf.items()})
@@ -77,3 +79,31 @@ def stored(df: DataFrame, label: str = "step") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stored_with(df: DataFrame, label: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """``stored`` together with aggregates over the rows, taken while they are written."""
+    seen = Observation(f"{label}-{uuid.uuid4().hex}")
+    out = stored(df.observe(seen, *[e.alias(n) for n, e in measures.items()]), label)
+    return out, seen.get
+
+
+BROADCAST_ROWS = 100_000  # rows of a key and some numbers, about 10 MB
+SALTS = 32
+
+
+def attach(df: DataFrame, per_key: DataFrame, keys: list[str], label: str, how: str = "inner") -> DataFrame:
+    """Join a computed table, one or a few rows per key, to rows among which keys may be hot.
+
+    The table is stored and its rows are counted on the way. Up to ``BROADCAST_ROWS`` it is
+    broadcast. Beyond, both sides are salted: the rows by the number of the partition
+    they come from, which a retried task keeps, the table by copies. A join on the key
+    alone would leave a hot key in one task whenever an aggregation by that key follows,
+    because Spark then reuses the partitioning of the join.
+    """
+    small, seen = stored_with(per_key, label, n=F.count(F.lit(1)))
+    if seen["n"] <= BROADCAST_ROWS:
+        return df.join(F.broadcast(small), keys, how)
+    spread = df.withColumn("_salt", F.spark_partition_id() % SALTS)
+    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return spread.join(copies, [*keys, "_salt"], how).drop("_salt")

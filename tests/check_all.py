@@ -1,6 +1,7 @@
 """Run every query against its SQL: ``python tests/check_all.py DIR [KEY=VALUE...] [NAME...]``.
 
-``KEY=VALUE`` are Spark settings, such as ``spark.sql.autoBroadcastJoinThreshold=-1``.
+``KEY=VALUE`` are Spark settings, such as ``spark.sql.autoBroadcastJoinThreshold=-1``;
+``BROADCAST_ROWS=0`` makes every checked join take its salted form.
 """
 
 import os
@@ -11,6 +12,7 @@ import traceback
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), ".."))
 
 from __spark_entry__ import oracle_sql, queries  # noqa: E402
+from annualis import session  # noqa: E402
 from annualis.session import build_session  # noqa: E402
 from tests.parity import compare, connect  # noqa: E402
 
@@ -20,7 +22,11 @@ def main(sf_dir: str, names: list[str]) -> int:
                           spark_ui_showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     for setting in [n for n in names if "=" in n]:
-        spark.conf.set(*setting.split("=", 1))
+        key, value = setting.split("=", 1)
+        if key == "BROADCAST_ROWS":
+            session.BROADCAST_ROWS = int(value)
+        else:
+            spark.conf.set(key, value)
     names = [n for n in names if "=" not in n]
     con, sql, bad = connect(sf_dir), oracle_sql(), 0
     for name, run in queries().items():

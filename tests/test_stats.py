@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from annualis import session
 from annualis.operators import attribution as A
 from annualis.operators import quantiles as Q
 from annualis.operators import stats as S
@@ -63,19 +64,41 @@ def test_corr_matrix_with_nulls_and_a_constant(spark, data):
             assert r == pytest.approx(ref.loc[a, b], abs=1e-9)
 
 
-@pytest.mark.parametrize("bins, levels", [(4096, 2), (4, 2), (2, 1)])
-def test_exact_quantiles(data, bins, levels):
+@pytest.mark.parametrize("bins, cell_rows, broadcast_rows", [(4096, 10**6, 10**5), (4, 50, 10**5), (2, 1, 10**5), (64, 20, 0)])
+def test_exact_quantiles(data, bins, cell_rows, broadcast_rows, monkeypatch):
     pdf, df = data
+    monkeypatch.setattr(session, "BROADCAST_ROWS", broadcast_rows)
     qs = [0.0, 0.25, 0.5, 0.75, 0.937, 1.0]
     for c in ("x", "w"):
-        got = Q.exact_quantiles(df, ["g"], c, qs, levels, bins).toPandas()
+        got = Q.exact_quantiles(df, ["g"], c, qs, cell_rows, bins).toPandas()
         assert len(got) == 3 * len(qs)
         for r in got.itertuples():
             assert r.value == pytest.approx(np.quantile(pdf[pdf.g == r.g][c], r.q), rel=1e-12)
-    overall = {r.q: r.value for r in Q.exact_quantiles(df, [], "w", qs, levels, bins).collect()}
+    overall = {r.q: r.value for r in Q.exact_quantiles(df, [], "w", qs, cell_rows, bins).collect()}
     assert overall == pytest.approx({q: np.quantile(pdf.w, q) for q in qs})
 
 
+def test_quantiles_with_a_far_outlier_and_infinity(spark):
+    values = [float(i) for i in range(400)] + [1e300]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    out = {r.q: r.value for r in Q.exact_quantiles(df, [], "v", [0.25, 0.5], cell_rows=10, bins=16).collect()}
+    assert out == {0.25: 100.0, 0.5: 200.0}
+    endless = df.unionByName(spark.createDataFrame([(float("inf"),), (float("nan"),)], "v double"))
+    assert Q.exact_quantiles(endless, [], "v", [0.5], cell_rows=10, bins=16).first().value == 200.5
+
+
+def test_box_stats_and_fits_of_many_keys_are_salted(data, monkeypatch):
+    pdf, df = data
+    want = {tuple(r) for r in Q.box_stats(df, ["g"], "w").collect()}
+    fits = {r.g: (r.c0, r.c1, r.c2) for r in S.quad_fit(df, "x", "y", ["g"]).collect()}
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 0)
+    salted = Q.box_stats(df, ["g"], "w")
+    assert {tuple(r) for r in salted.collect()} == want
+    assert "_salt" in salted._jdf.queryExecution().analyzed().toString()
+    for r in S.quad_fit(df, "x", "y", ["g"]).collect():
+        assert (r.c0, r.c1, r.c2) == pytest.approx(fits[r.g])
+
+
 def test_quantiles_of_tiny_groups(spark):
     df = spark.createDataFrame([("one", 5.0), ("two", 1.0), ("two", 2.0), ("none", None)], "g string, v double")
     out = {(r.g, r.q): r.value for r in Q.exact_quantiles(df, ["g"], "v", [0.25, 0.5]).collect()}

@@ -54,10 +54,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{_application_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Remove the tables this application stored; call it when their readers are done."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_application_dir(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    files, place = _file_system(spark, _application_dir(spark))
+    files.delete(place, True)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from annualis.functions.scalar import sanitize_key
 from annualis.operators.quality import new_rows
 from annualis.schemas import CONFIDENCE, MODEL_NAME
+from annualis.session import path_exists
 
 
 def write_partitioned(df: DataFrame, path: str, by: str = "year", sort: Sequence[str] = (),
@@ -56,17 +56,8 @@ def append(df: DataFrame, path: str) -> None:
 def append_new(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     """Append the rows whose key the table does not hold; the table may not exist yet."""
     unique = df.dropDuplicates(list(keys))
-    held = _table_or_none(df.sparkSession, path)
-    append(unique if held is None else new_rows(unique, held, keys), path)
-
-
-def _table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+    held = path_exists(df.sparkSession, path)
+    append(new_rows(unique, df.sparkSession.read.parquet(path), keys) if held else unique, path)
 
 
 def log_rows(scored: DataFrame, model_name: str = MODEL_NAME, version: str | None = None,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation
@@ -14,8 +15,8 @@ from annualis.session import path_exists
 
 
 def write_partitioned(df: DataFrame, path: str, by: str = "year", sort: Sequence[str] = (),
-                      only_present: bool = False) -> None:
-    """Overwrite a Parquet table with one folder per value of ``by``.
+                      only_present: bool = False) -> int:
+    """Overwrite a Parquet table with one folder per value of ``by``; returns the rows written.
 
     Rows are gathered by value so that not every task writes every folder; AQE splits
     a value that is too big for one task and joins small ones. ``sort`` orders rows
@@ -25,12 +26,18 @@ def write_partitioned(df: DataFrame, path: str, by: str = "year", sort: Sequence
     if sort:
         df = df.sortWithinPartitions(by, *sort)
     mode = "dynamic" if only_present else "static"
-    df.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(by).parquet(path)
+    counted, seen = with_row_count(df)
+    counted.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(by).parquet(path)
+    return seen.get["n"]
 
 
-def with_row_count(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
-    """``df`` that counts its rows while it is written; read ``observation.get['n']`` afterwards."""
-    seen = Observation(name)
+def with_row_count(df: DataFrame, name: str | None = None) -> tuple[DataFrame, Observation]:
+    """``df`` that counts its rows while it is written; read ``observation.get['n']`` afterwards.
+
+    Use it last before the write: behind a further shuffle a stage that runs again after
+    a lost executor would count its rows again.
+    """
+    seen = Observation(name or f"rows-{uuid.uuid4().hex}")
     return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
 
 

@@ -1,7 +1,7 @@
 """Exact quantiles, box-plot summaries and Q-Q points without a global sort in one task.
 
-``percentile`` keeps all distinct values of a group in one task. Here quantiles are
-found by narrowing: count values in equal bins of each group's range, keep the bins
+``percentile`` keeps all distinct values of a group in one task. Quantiles of large groups
+are found by narrowing: count values in equal bins of each group's range, keep the bins
 that hold the wanted ranks, and bin those again until few rows are left. What is
 shuffled are bin counts.
 """
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from annualis.functions.scalar import with_normal_quantile
 from annualis.operators.ordered import ordered_rank
-from annualis.session import attach, stored_with
+from annualis.session import attach, join_counted, stored_with
 
 
 def _locate(cells: DataFrame, keys: Sequence[str], targets: DataFrame, order: str) -> DataFrame:
@@ -46,18 +46,41 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], v: str, qs: Sequence[flo
                     bins: int = 4096) -> DataFrame:
     """Quantiles with linear interpolation, per group: ``(keys, q, value, n)``; NULL and NaN do not count.
 
-    As long as a searched cell (at first a whole group) has more than ``cell_rows`` rows, it is
-    cut into ``bins`` equal bins of its own range. A round reads one column and shuffles
-    at most ``bins`` counts per cell and task. At the end the distinct values inside the
-    cells are counted and picked by rank.
+    Groups up to ``cell_rows`` rows take Spark's ``percentile``, which holds a group's values
+    in one task; larger ones are narrowed. Rows with a NULL key are left out.
     """
     keys = list(keys)
-    rows = df.select(*keys, F.col(v).cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    ends = rows.groupBy(*keys).agg(
+    rows = df.select(*keys, F.col(v).cast("double").alias("_v")).dropna()
+    sizes = rows.groupBy(*keys).agg(
         F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("n")
     )
+    large, seen = stored_with(sizes.filter(F.col("n") > cell_rows), "large-groups", n=F.count(F.lit(1)))
+    if not seen["n"]:
+        return _of_small_groups(rows, keys, qs)
+    narrowed = _of_large_groups(rows, keys, large, qs, cell_rows, bins)
+    if not keys:
+        return narrowed
+    others = join_counted(rows, large.select(*keys), seen["n"], keys, "left_anti")
+    return _of_small_groups(others, keys, qs).unionByName(narrowed)
+
+
+def _of_small_groups(rows: DataFrame, keys: Sequence[str], qs: Sequence[float]) -> DataFrame:
+    probs = F.array(*[F.lit(float(q)) for q in qs])
+    wide = rows.groupBy(*keys).agg(F.percentile("_v", probs).alias("_p"), F.count(F.lit(1)).alias("n"))
+    wide = wide.filter(F.col("n") > 0)
+    return wide.select(*keys, F.inline(F.arrays_zip(probs, "_p")).alias("q", "value"), "n")
+
+
+def _of_large_groups(rows: DataFrame, keys: Sequence[str], large: DataFrame, qs: Sequence[float], cell_rows: int,
+                     bins: int) -> DataFrame:
+    """As long as a searched cell (at first a whole group) has more than ``cell_rows`` rows, cut it.
+
+    A cell is cut into ``bins`` equal bins of its own range. A round reads one column and
+    shuffles at most ``bins`` counts per cell and task. At the end the distinct values inside
+    the cells are counted and picked by rank.
+    """
     at = F.col("q") * (F.col("n") - 1)
-    wanted = ends.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs])))
+    wanted = large.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs])))
     wanted = wanted.withColumn("_rank", F.explode(F.array_distinct(F.array(F.floor(at), F.ceil(at)))))
     targets, largest = _store_targets(
         wanted.withColumns({"_goal": F.col("_rank"), "_seg": F.lit("0"), "_size": F.col("n")}))

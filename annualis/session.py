@@ -105,14 +105,21 @@ SALTS = 32
 def attach(df: DataFrame, per_key: DataFrame, keys: list[str], label: str, how: str = "inner") -> DataFrame:
     """Join a computed table, one or a few rows per key, to rows among which keys may be hot.
 
-    The table is stored and its rows are counted on the way. Up to ``BROADCAST_ROWS`` it is
-    broadcast. Beyond, both sides are salted: the rows by the number of the partition
-    they come from, which a retried task keeps, the table by copies. A join on the key
-    alone would leave a hot key in one task whenever an aggregation by that key follows,
-    because Spark then reuses the partitioning of the join.
+    The table is stored and its rows are counted on the way; see ``join_counted``.
     """
     small, seen = stored_with(per_key, label, n=F.count(F.lit(1)))
-    if seen["n"] <= BROADCAST_ROWS:
+    return join_counted(df, small, seen["n"], keys, how)
+
+
+def join_counted(df: DataFrame, small: DataFrame, n: int, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join a stored table of ``n`` rows: up to ``BROADCAST_ROWS`` by broadcast.
+
+    Beyond, both sides are salted: the rows by the number of the partition they come
+    from, which a retried task keeps, the table by copies. A join on the key alone
+    would leave a hot key in one task whenever an aggregation by that key follows, because
+    Spark then reuses the partitioning of the join.
+    """
+    if n <= BROADCAST_ROWS:
         return df.join(F.broadcast(small), keys, how)
     spread = df.withColumn("_salt", F.spark_partition_id() % SALTS)
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

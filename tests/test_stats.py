@@ -64,7 +64,7 @@ def test_corr_matrix_with_nulls_and_a_constant(spark, data):
             assert r == pytest.approx(ref.loc[a, b], abs=1e-9)
 
 
-@pytest.mark.parametrize("bins, cell_rows, broadcast_rows", [(4096, 10**6, 10**5), (4, 50, 10**5), (2, 1, 10**5), (64, 20, 0)])
+@pytest.mark.parametrize("bins, cell_rows, broadcast_rows", [(4096, 10**6, 10**5), (16, 1000, 10**5), (4, 50, 10**5), (2, 1, 10**5), (64, 1000, 0)])
 def test_exact_quantiles(data, bins, cell_rows, broadcast_rows, monkeypatch):
     pdf, df = data
     monkeypatch.setattr(session, "BROADCAST_ROWS", broadcast_rows)

@@ -12,7 +12,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from annualis.functions.scalar import map_lookup
 from annualis.operators.stats import relative_to_max
+from annualis.schemas import FEATURE_LABELS
 
 
 def univariate_slopes(df: DataFrame, columns: Sequence[str], y: str) -> DataFrame:
@@ -53,9 +55,10 @@ def top_features(table: DataFrame, n: int, by: Sequence[str] = ()) -> DataFrame:
     return table.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
-def importance_table(table: DataFrame) -> DataFrame:
-    """Features with their percent of the largest, from the largest."""
-    return relative_to_max(table, "mean_abs").orderBy(F.desc("mean_abs"), "feature")
+def importance_table(table: DataFrame, labels: Mapping[str, str] = FEATURE_LABELS) -> DataFrame:
+    """Features with their label and percent of the largest, from the largest."""
+    label = F.coalesce(map_lookup("feature", labels), F.col("feature"))
+    return relative_to_max(table, "mean_abs").withColumn("label", label).orderBy(F.desc("mean_abs"), "feature")
 
 
 def model_coefficients(model, columns: Sequence[str], df: DataFrame) -> dict[str, tuple[float, float]]:

@@ -11,7 +11,7 @@ from annualis.operators import stats as S
 from annualis.plans import views as V
 from annualis.plans.catalog import query, sql_round
 from annualis.plans.q_joins import matrix, training
-from annualis.schemas import CROP_CLASSES, FEATURES, TARGET
+from annualis.schemas import CROP_CLASSES, FEATURE_LABELS, FEATURES, TARGET
 from annualis.session import stored
 
 
@@ -339,7 +339,8 @@ def attributions_top(spark, sf):
 
 
 @query(f"""WITH {_MEAN_ABS}, m AS (SELECT feature, avg(v) AS mean_abs FROM long GROUP BY 1)
-SELECT feature, {sql_round('mean_abs', 6)} AS mean_abs, {sql_round('(mean_abs * 100e0 / (SELECT max(mean_abs) FROM m))', 4)} AS pct_of_max FROM m""")
+SELECT feature, {sql_round('mean_abs', 6)} AS mean_abs, {sql_round('(mean_abs * 100e0 / (SELECT max(mean_abs) FROM m))', 4)} AS pct_of_max,
+  CASE feature {' '.join(f"WHEN '{c}' THEN '{FEATURE_LABELS[c]}'" for c in _INPUTS)} END AS label FROM m""")
 def relative_to_max(spark, sf):
     rows, coef = _attributed(spark, sf)
     table = A.importance_table(A.mean_abs_attributions(rows, _INPUTS, coef))

@@ -9,6 +9,8 @@ word beginnings, with log-odds learned from labels; the weights of the kinds of
 from __future__ import annotations
 
 import math
+import zlib
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -19,9 +21,11 @@ from pyspark.sql import functions as F
 from annualis.session import stored
 
 FIT_ROWS = 16_000  # bound of the labelled rows used for fitting
-MAX_TERMS = 2_000
+CANDIDATES = 50_000  # bound of the terms of toxic texts that are compared with clean ones
+LEAST_RATIO, LEAST_ODDS = 30.0, 3.0
+PUNCTUATION = ".,;:!?\"'()[]{}|«»“”„*#$%&-_…"
 CACHE = 400_000
-STEMS = (4, 5, 6, 7)
+STEMS = (3, 4, 5, 6, 7, 8)
 
 # Function words of English, German, French and Spanish, and seed terms.
 TARGETS = "you your you're youre he she they his her their him them u ihr ihnen euch dich dir du sie er tu te vous ton ta tes il elle ils elles tú usted ustedes él ella ellos".split()
@@ -32,8 +36,8 @@ INSULTS = "idiot moron stupid loser scum trash pathetic worthless disgusting dum
 PRIOR = 2.0  # weight of a seed term that the labels say nothing about
 
 KINDS = ("insult", "aimed_insult", "threat", "aimed_threat", "denied", "reported")
-# Prior means of the fitted weights: bias, a weight per kind of clause for the strongest, and one for their number.
-MEANS = np.array([-2.0, 1.0, 1.5, 1.0, 2.0, 0.3, 0.3, 0.5, 0.5, 0.5, 0.5, 0.1, 0.1])
+# Prior means of the fitted weights: bias, length, strongest clause, then sum and rate for each kind of clause.
+MEANS = np.array([-2.0, -0.3, 0.2, 0.5, 0.5, 0.5, 0.5, 0.1, 0.1, 0.2, 0.2, 0.2, 0.2, 0.05, 0.05])
 
 
 def _machine(moves: dict[tuple[str, str], str], start: str) -> tuple[str, dict]:
@@ -95,7 +99,7 @@ class Lexicon:
 
     def symbols(self, raw: str) -> tuple:
         """(symbol, weight) pairs of a chunk of text without white space; "B" ends a clause."""
-        word = raw.strip(".,;:!?\"'()[]{}|«»“”„*#$%&-_…")
+        word = raw.strip(PUNCTUATION)
         out = []
         if any(c in raw for c in "\"“”„«»"):
             out.append(("R", 0.0))
@@ -144,12 +148,14 @@ def clauses(text: str, lexicon: Lexicon):
 
 
 def features(text: str | None, lexicon: Lexicon) -> np.ndarray:
-    """1, the strongest clause of each kind, and the logarithm of the number of each kind."""
-    top, count = np.zeros(len(KINDS)), np.zeros(len(KINDS))
-    for kind, weight in clauses(text or "", lexicon):
-        top[kind] = max(top[kind], weight)
-        count[kind] += 1
-    return np.concatenate([[1.0], top, np.log1p(count)])
+    """1, length, strongest clause, and for each kind of clause the sum of weights and that sum for 100 words."""
+    text = text or ""
+    words = len(text.split())
+    top, total = 0.0, np.zeros(len(KINDS))
+    for kind, weight in clauses(text, lexicon):
+        top = max(top, weight)
+        total[kind] += weight
+    return np.concatenate([[1.0, math.log1p(words), top], np.log1p(total), 100 * total / (words + 20)])
 
 
 def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -183,47 +189,96 @@ class Model:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def _term_counts(frames):
-    """(term, toxic, clean): in how many texts of each label a word or a word beginning occurs."""
-    for frame in frames:
-        counts: dict[str, list[int]] = {}
-        for text, toxic in zip(frame["text"], frame["toxic"]):
-            words = {c.strip(".,;:!?\"'()[]{}|«»“”„*#$%&-_…") for c in (text or "").lower().split()}
-            terms = {f"={w}" for w in words if w} | {f"<{w[:n]}" for w in words for n in STEMS if len(w) >= n}
-            for term in terms:
-                counts.setdefault(term, [0, 0])[0 if toxic else 1] += 1
-        yield pd.DataFrame({"term": list(counts), "toxic": [c[0] for c in counts.values()], "clean": [c[1] for c in counts.values()]})
+def _words(text: str | None) -> list[str]:
+    return [w for c in (text or "").lower().split() if (w := c.strip(PUNCTUATION))]
+
+
+def _term_counts(only: set[str] | None):
+    """(term, seen, often, uses): texts with the term, texts with it twice or more, and all its uses.
+
+    A term is a word ("=word") or the beginning of words ("<begin").
+    """
+    def run(frames):
+        for frame in frames:
+            counts: dict[str, list[int]] = {}
+            for text in frame["text"]:
+                own: Counter = Counter()
+                for word, n in Counter(_words(text)).items():
+                    for term in (f"={word}", *[f"<{word[:k]}" for k in STEMS if len(word) >= k]):
+                        if only is None or term in only:
+                            own[term] += n
+                for term, n in own.items():
+                    c = counts.setdefault(term, [0, 0, 0])
+                    c[0] += 1
+                    c[1] += n > 1
+                    c[2] += n
+            yield pd.DataFrame({"term": list(counts), **{k: [c[i] for c in counts.values()] for i, k in enumerate(("seen", "often", "uses"))}})
+
+    return run
+
+
+def _sum_terms(texts: DataFrame, only: set[str] | None = None) -> DataFrame:
+    return (texts.select("text").mapInPandas(_term_counts(only), "term string, seen long, often long, uses long")
+            .groupBy("term").agg(F.sum("seen").alias("seen"), F.sum("often").alias("often"), F.sum("uses").alias("uses")))
+
+
+def likelihood_ratio(a, b, n_a: int, n_b: int):
+    """G squared of ``a`` of ``n_a`` texts against ``b`` of ``n_b``; 0 where the first share is not the larger."""
+    a, b = np.asarray(a, float), np.asarray(b, float)
+    share = (a + b) / (n_a + n_b)
+
+    def part(seen, n, p):
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return np.where(seen > 0, seen * np.log(seen / (n * p)), 0.0)
+
+    g = 2 * (part(a, n_a, share) + part(b, n_b, share) + part(n_a - a, n_a, 1 - share) + part(n_b - b, n_b, 1 - share))
+    return np.where(a / n_a > b / n_b, g, 0.0)
 
 
 def learn_terms(sample: DataFrame) -> Lexicon:
-    """Terms much more frequent in toxic than in clean texts of ``sample`` (text, toxic), with log-odds."""
-    totals = sample.agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n")).first()
-    toxic, clean = int(totals["t"] or 0), int(totals["n"]) - int(totals["t"] or 0)
-    words = {w: PRIOR for w in INSULTS}
-    stems: dict[str, float] = {}
-    if not toxic or not clean:
-        return Lexicon(words, stems)
-    counted = (sample.mapInPandas(_term_counts, "term string, toxic long, clean long")
-               .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
-    odds = F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (clean + 1.0))
-    least = max(3, toxic // 200)
-    rows = (counted.filter(F.col("toxic") >= least).withColumn("odds", odds).filter("odds >= 3")
-            .orderBy(F.desc("toxic"), "term").limit(MAX_TERMS).collect())
-    for r in rows:
-        (words if r["term"][0] == "=" else stems)[r["term"][1:]] = float(r["odds"])
+    """Terms that mark toxic texts of ``sample`` (text, words, toxic), weighted by the log-odds of their use.
+
+    A term is taken if the likelihood ratio over texts (with it, or with it twice) is far above
+    what the best of all terms reaches by chance.
+    """
+    totals = {r["toxic"]: r for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n"), F.sum("words").alias("words")).collect()}
+    seeds = {w: PRIOR for w in INSULTS}
+    if len(totals) < 2:
+        return Lexicon(seeds, {})
+    toxic, clean = totals[1], totals[0]
+    found = (_sum_terms(sample.filter("toxic = 1")).filter(F.col("seen") >= max(3, toxic["n"] // 200))
+             .orderBy(F.desc("seen"), "term").limit(CANDIDATES).collect())
+    others = {r["term"]: r for r in _sum_terms(sample.filter("toxic = 0"), {r["term"] for r in found}).collect()}
+    none = {"seen": 0, "often": 0, "uses": 0}
+    pairs = [(r, others.get(r["term"], none)) for r in found]
+    ratio = np.maximum(*[likelihood_ratio([a[k] for a, _ in pairs], [b[k] for _, b in pairs], toxic["n"], clean["n"]) for k in ("seen", "often")])
+    words, stems = dict(seeds), {}
+    for (a, b), g in zip(pairs, ratio):
+        odds = math.log((a["uses"] + 0.5) / (toxic["words"] + 1)) - math.log((b["uses"] + 0.5) / (clean["words"] + 1))
+        if g >= LEAST_RATIO and odds >= LEAST_ODDS:
+            (words if a["term"][0] == "=" else stems)[a["term"][1:]] = odds
     return Lexicon(words, stems)
 
 
+def _sketch(frames):
+    """Adds the number of words and the smallest hash of five words in a row, which near copies mostly share."""
+    for frame in frames:
+        words = [_words(t) for t in frame["text"]]
+        keys = [min((zlib.crc32(" ".join(w[k:k + 5]).encode()) for k in range(max(1, len(w) - 4))), default=0) for w in words]
+        yield frame.assign(words=[len(w) for w in words], sketch=keys)
+
+
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     """Fit on at most ``fit_rows`` labelled texts, those with the smallest hash of doc_id.
 
-    Labels that are null or not 0 or 1 are left out; a text that repeats under one label counts once.
+    Labels that are null or not 0 or 1 are left out; near copies under one label mostly count once.
     With no usable label of either kind the seed terms and the prior weights score.
     """
     picked = (labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic in (0, 1)")
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows))
     sample = stored(docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(picked), "doc_id")
-                    .select("text", "toxic").distinct(), "toxic-sample")
+                    .select("text", "toxic").mapInPandas(_sketch, "text string, toxic int, words long, sketch long")
+                    .dropDuplicates(["sketch", "toxic"]).select("text", "words", "toxic"), "toxic-sample")
     lexicon = learn_terms(sample)
 
     def measure(frames):
@@ -231,13 +286,11 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model
             rows = [features(t, lexicon).tolist() for t in frame["text"]]
             yield pd.DataFrame({"x": rows, "y": frame["toxic"].astype("int")})
 
-    # Few distinct feature rows: texts without any clause are all alike.
-    got = sample.mapInPandas(measure, "x array<double>, y int").groupBy("x", "y").count().collect()
+    got = sample.select("text", "toxic").mapInPandas(measure, "x array<double>, y int").collect()
     if len({r["y"] for r in got}) < 2:
         return Model(lexicon, MEANS.copy())
     x = np.array([r["x"] for r in got])
-    times = np.array([r["count"] for r in got])
-    return Model(lexicon, fit_weights(np.repeat(x, times, axis=0), np.repeat([float(r["y"]) for r in got], times)))
+    return Model(lexicon, fit_weights(x, np.array([float(r["y"]) for r in got])))
 
 
 def score_column(model: Model, text):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from annualis.llm import prefix_bpe, repeats, sharding, simhash_vp, toxicity, url_filter
+from annualis.llm import lsa_decontam, prefix_bpe, repeats, sharding, simhash_vp, toxicity, url_filter
 from annualis.llm.common import read
 
 SHARDS = 16
@@ -39,8 +39,12 @@ def op9_prefix_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.document_repeats(read(spark, sf_dir, "documents"))
 
 
+def op10_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsa_decontam.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_jump_shards, op5_toxicity_grammar, op6_prefix_bpe, op7_simhash_vantage, op8_url_bloom, op9_prefix_intervals)
+    f.__name__: f for f in (op1_jump_shards, op5_toxicity_grammar, op6_prefix_bpe, op7_simhash_vantage, op8_url_bloom, op9_prefix_intervals, op10_latent_decontamination)
 }
 
 _RULES = " UNION ALL ".join(f"SELECT '{h}' AS rule_host, '{p}' AS rule_path, '{v}' AS rule_verdict" for h, p, v in url_filter.RULES)

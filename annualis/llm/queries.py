@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from annualis.llm import lsa_decontam, prefix_bpe, repeats, sharding, simhash_vp, toxicity, url_filter
+from annualis.llm import lsa_decontam, prefix_bpe, rans, repeats, sharding, simhash_vp, toxicity, url_filter
 from annualis.llm.common import read
 
 SHARDS = 16
+TOKENIZER_FILE, END_ID = "word_bpe_49k.json", 2
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -43,8 +44,12 @@ def op10_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsa_decontam.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op3_range_ans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rans.document_tokens(read(spark, sf_dir, "documents"), TOKENIZER_FILE, END_ID)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_jump_shards, op5_toxicity_grammar, op6_prefix_bpe, op7_simhash_vantage, op8_url_bloom, op9_prefix_intervals, op10_latent_decontamination)
+    f.__name__: f for f in (op1_jump_shards, op3_range_ans, op5_toxicity_grammar, op6_prefix_bpe, op7_simhash_vantage, op8_url_bloom, op9_prefix_intervals, op10_latent_decontamination)
 }
 
 _RULES = " UNION ALL ".join(f"SELECT '{h}' AS rule_host, '{p}' AS rule_path, '{v}' AS rule_verdict" for h, p, v in url_filter.RULES)

@@ -53,6 +53,23 @@ def merge_labels(label: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.n
             label = up
 
 
+def spread_work(routed: DataFrame, members: int, asking: int) -> DataFrame:
+    """Rows (list, block, turn, own, ask) of bounded comparing tasks, to be grouped by the first three.
+
+    ``routed`` has rows (list, batch, members, asking, own, ask): what a batch of rows puts into a list and
+    what it asks the list for. A list is cut into blocks of about ``members`` and turns of about ``asking``;
+    each block meets each turn once. There must be few lists.
+    """
+    sizes = routed.groupBy("list").agg(
+        F.ceil(F.sum("members") / members).alias("blocks"), F.ceil(F.sum("asking") / asking).alias("turns"))
+    split = routed.join(F.broadcast(sizes), "list").filter("blocks > 0")
+    blank, spread = F.lit(None).cast("binary"), F.xxhash64("list", "batch")
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    owned = split.filter("members > 0").select("list", F.pmod(spread, "blocks").alias("block"), upto("turns").alias("turn"), "own", blank.alias("ask"))
+    asked = split.select("list", upto("blocks").alias("block"), F.pmod(spread, "turns").alias("turn"), blank.alias("own"), "ask")
+    return owned.unionAll(asked)
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b: long); the component is its smallest node.
 

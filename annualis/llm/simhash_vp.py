@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annualis.llm.common import connected_components, merge_labels, utf8
+from annualis.llm.common import connected_components, merge_labels, spread_work, utf8
 from annualis.session import stored, stored_with
 
 WORDS = 4
@@ -130,19 +130,7 @@ def link_fingerprints(distinct: DataFrame, n: int) -> DataFrame:
     points, radius = choose_points(np.array(sample, np.int64).view(np.uint64), n)
     routed = stored(distinct.select("fp").mapInPandas(
         _router(points, radius), "list int, batch long, members long, asking long, own binary, ask binary"), "routed")
-    sizes = routed.groupBy("list").agg(
-        F.ceil(F.sum("members") / MEMBERS).alias("blocks"), F.ceil(F.sum("asking") / ASKING).alias("turns"))
-    # One row per vantage point at most, so the table of block numbers is bounded.
-    split = routed.join(F.broadcast(sizes), "list").filter("blocks > 0")
-    blank = F.lit(None).cast("binary")
-    spread = F.xxhash64("list", "batch")
-    owned = split.filter("members > 0").select(
-        "list", F.pmod(spread, "blocks").alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("turns") - 1)).alias("turn"),
-        "own", blank.alias("ask"))
-    asked = split.select(
-        "list", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.pmod(spread, "turns").alias("turn"),
-        blank.alias("own"), "ask")
-    work = owned.unionAll(asked)
+    work = spread_work(routed, MEMBERS, ASKING)
     return work.groupBy("list", "block", "turn").applyInPandas(_compare, "a long, b long")
 
 

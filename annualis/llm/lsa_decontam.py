@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annualis.llm.common import pieces, utf8
+from annualis.llm.common import pieces, sum_arrays, utf8
 from annualis.llm.tokens import PARTING, joined, word_hashes
 from annualis.session import stored
 
@@ -30,7 +30,6 @@ LEAST_WORDS = 5  # items with fewer words are too short to be told from chance
 COMMON_ITEMS, COMMON_PASSAGES = 0.1, 0.05  # a word in more items and passages than that has no weight
 ITEMS = 10_000  # items searched in one turn
 BYTES = 2 << 20  # of text worked on at a time
-SUM_GROUPS = 64
 
 
 @dataclass
@@ -179,21 +178,11 @@ def _sums(weights: np.ndarray, matrix: np.ndarray, small: bool):
     return run
 
 
-def _add_up(frame: pd.DataFrame) -> pd.DataFrame:
-    total = np.zeros(len(frame["data"].iloc[0]) // 8)
-    for data in frame["data"]:
-        total += np.frombuffer(data)
-    return pd.DataFrame({"part": [0], "data": [total.tobytes()]})
-
-
 def _total(numbered: DataFrame, weights: np.ndarray, matrix: np.ndarray, small: bool) -> np.ndarray:
-    """Sum over all passages; tasks' sums are added in groups before the last one."""
-    sums = numbered.mapInPandas(_sums(weights, matrix, small), "part int, data binary")
-    for groups in (SUM_GROUPS, 1):
-        sums = sums.groupBy(F.pmod("part", F.lit(groups))).applyInPandas(_add_up, "part int, data binary")
-    row = sums.first()
+    """Sum over all passages, of one array a task."""
     shape = (matrix.shape[1], matrix.shape[1]) if small else matrix.shape
-    return np.frombuffer(row["data"]).reshape(shape) if row else np.zeros(shape)
+    total = sum_arrays(numbered.mapInPandas(_sums(weights, matrix, small), "part int, data binary"))
+    return np.zeros(shape) if total is None else total.reshape(shape)
 
 
 def _item_pieces(items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

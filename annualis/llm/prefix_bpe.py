@@ -237,8 +237,8 @@ def decode_documents(encoded: DataFrame, name: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInPandas(run, "doc_id long, data binary")
 
 
-def round_trip(docs: DataFrame, name: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256: every text encoded and its ids decoded.
+def round_trip(docs: DataFrame, name: str, with_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 (and ids): every text encoded and its ids decoded.
 
     Both steps run on a batch of rows in one task; null and empty texts have no ids, repeated rows
     and null ids are treated like any other. Only doc_id and text are read.
@@ -251,9 +251,10 @@ def round_trip(docs: DataFrame, name: str) -> DataFrame:
             for text in _texts(frame):
                 ids = encoder.encode(text)
                 decoded = vocabulary.decode(np.frombuffer(ids, "<u4").tolist())
-                rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()))
-            out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+                row = (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest())
+                rows.append((*row, ids) if with_ids else row)
+            out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", "ids"][: 3 + with_ids])
             out.insert(0, "doc_id", frame["doc_id"].astype("Int64").to_numpy())
             yield out
 
-    return docs.select("doc_id", "text").mapInPandas(run, DIGEST)
+    return docs.select("doc_id", "text").mapInPandas(run, DIGEST + ", ids binary" * with_ids)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from annualis.llm import embedding_pq, lsa_decontam, prefix_bpe, rans, repeats, sharding, simhash_vp, toxicity, url_filter
+from annualis.llm import embedding_pq, hpylm, lsa_decontam, prefix_bpe, rans, repeats, sharding, simhash_vp, toxicity, url_filter
 from annualis.llm.common import read
 
 SHARDS = 16
@@ -52,8 +52,12 @@ def op2_product_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_pq.embedding_links(read(spark, sf_dir, "embeddings"))
 
 
+def op4_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hpylm.score_documents(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_jump_shards, op2_product_quantisation, op3_range_ans, op5_toxicity_grammar, op6_prefix_bpe, op7_simhash_vantage, op8_url_bloom, op9_prefix_intervals, op10_latent_decontamination)
+    f.__name__: f for f in (op1_jump_shards, op2_product_quantisation, op3_range_ans, op4_pitman_yor, op5_toxicity_grammar, op6_prefix_bpe, op7_simhash_vantage, op8_url_bloom, op9_prefix_intervals, op10_latent_decontamination)
 }
 
 _RULES = " UNION ALL ".join(f"SELECT '{h}' AS rule_host, '{p}' AS rule_path, '{v}' AS rule_verdict" for h, p, v in url_filter.RULES)

@@ -169,6 +169,11 @@ def keep_first(docs: DataFrame) -> DataFrame:
 
     Of repeated rows with that doc_id one stays; rows without a doc_id stay, as nothing names them.
     """
-    others = simhash_components(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(others, F.col("doc_id") == F.col("_gone"), "left_anti")
-    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionAll(kept.filter("doc_id is null"))
+    found = stored(simhash_components(docs).select("doc_id", "component_id"), "components")
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    kept = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    again = stored(found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_again")).count().filter("count > 1").select("_again"), "repeated")
+    if again.isEmpty():
+        return kept
+    same = F.col("doc_id") == F.col("_again")
+    return kept.join(again, same, "left_anti").unionAll(kept.join(again, same, "left_semi").dropDuplicates(["doc_id"]))

@@ -19,6 +19,20 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without(df: DataFrame, column: str, values: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``column`` is not in the one column of ``values``; nulls stay."""
+    name = fresh(df, "gone")
+    return df.join(values.toDF(name), F.col(column) == F.col(name), "left_anti")
+
+
 def utf8(values: Iterable) -> list[bytes]:
     """Texts as UTF-8; null counts as empty, a lone surrogate keeps its three bytes."""
     return [x.encode("utf-8", "surrogatepass") if isinstance(x, str) else b"" for x in values]

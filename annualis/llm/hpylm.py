@@ -135,7 +135,7 @@ USES = (np.uint32, np.int64, np.uint32)
 def _gather(frame: pd.DataFrame) -> pd.DataFrame:
     """One part's tokens to its types (word, restaurant, customers) and their uses by document."""
     if frame["kind"].iloc[0] == "docs":
-        return frame
+        return pd.DataFrame({c: frame[c].tolist() for c in frame.columns})
     fields = [_expand(d, *TOKENS) for d in frame["uses"]]
     words = np.concatenate([np.repeat(f[0], f[1]) for f in fields])
     rooms = np.concatenate([f[2] for f in fields])

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annualis.llm.common import pieces, sum_arrays, utf8
+from annualis.llm.common import pieces, sum_arrays, utf8, without
 from annualis.llm.tokens import PARTING, joined, word_hashes
 from annualis.session import stored
 
@@ -327,5 +327,5 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark item, with their columns; rows without a doc_id stay."""
-    gone = stored(find_leaks(docs, benchmark).select(F.col("doc_id").alias("_gone")).filter("_gone is not null").distinct(), "leaking")
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    leaking = find_leaks(docs, benchmark).select("doc_id").filter("doc_id is not null").distinct()
+    return without(docs, "doc_id", stored(leaking, "leaking"))

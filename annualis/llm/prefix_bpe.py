@@ -219,7 +219,7 @@ def encode_documents(docs: DataFrame, name: str) -> DataFrame:
     """
     def run(frames):
         encoder = text_encoder(*vocabulary_file(name))
-        for frame in frames:
+        for frame in filter(len, frames):
             ids = [encoder.encode(t) for t in _texts(frame)]
             yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "n_tokens": [len(x) // 4 for x in ids], "ids": ids})
 
@@ -230,7 +230,7 @@ def decode_documents(encoded: DataFrame, name: str) -> DataFrame:
     """doc_id and the bytes (binary) that the ids of ``encoded`` stand for."""
     def run(frames):
         vocabulary = load_vocabulary(vocabulary_file(name)[0])
-        for frame in frames:
+        for frame in filter(len, frames):
             data = [vocabulary.decode(np.frombuffer(x or b"", "<u4").tolist()) for x in frame["ids"]]
             yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "data": data})
 
@@ -246,7 +246,7 @@ def round_trip(docs: DataFrame, name: str, with_ids: bool = False) -> DataFrame:
     def run(frames):
         encoder = text_encoder(*vocabulary_file(name))
         vocabulary = encoder.vocabulary
-        for frame in frames:
+        for frame in filter(len, frames):
             rows = []
             for text in _texts(frame):
                 ids = encoder.encode(text)

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annualis.llm.common import connected_components, merge_labels, spread_work, utf8
+from annualis.llm.common import connected_components, merge_labels, spread_work, utf8, without
 from annualis.session import stored, stored_with
 
 WORDS = 4
@@ -170,10 +170,9 @@ def keep_first(docs: DataFrame) -> DataFrame:
     Of repeated rows with that doc_id one stays; rows without a doc_id stay, as nothing names them.
     """
     found = stored(simhash_components(docs).select("doc_id", "component_id"), "components")
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    again = stored(found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_again")).count().filter("count > 1").select("_again"), "repeated")
+    kept = without(docs, "doc_id", found.filter("doc_id <> component_id").select("doc_id").distinct())
+    again = stored(found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
     if again.isEmpty():
         return kept
-    same = F.col("doc_id") == F.col("_again")
-    return kept.join(again, same, "left_anti").unionAll(kept.join(again, same, "left_semi").dropDuplicates(["doc_id"]))
+    once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(kept.columns)
+    return without(kept, "doc_id", again).unionAll(once)

@@ -212,7 +212,8 @@ def _term_counts(only: set[str] | None):
                     c[0] += 1
                     c[1] += n > 1
                     c[2] += n
-            yield pd.DataFrame({"term": list(counts), **{k: [c[i] for c in counts.values()] for i, k in enumerate(("seen", "often", "uses"))}})
+            if counts:
+                yield pd.DataFrame({"term": list(counts), **{k: [c[i] for c in counts.values()] for i, k in enumerate(("seen", "often", "uses"))}})
 
     return run
 
@@ -262,10 +263,10 @@ def learn_terms(sample: DataFrame) -> Lexicon:
 
 def _sketch(frames):
     """Adds the number of words and the smallest hash of five words in a row, which near copies mostly share."""
-    for frame in frames:
+    for frame in filter(len, frames):
         words = [_words(t) for t in frame["text"]]
         keys = [min((zlib.crc32(" ".join(w[k:k + 5]).encode()) for k in range(max(1, len(w) - 4))), default=0) for w in words]
-        yield frame.assign(words=[len(w) for w in words], sketch=keys)
+        yield pd.DataFrame({"text": frame["text"].tolist(), "toxic": frame["toxic"].tolist(), "words": [len(w) for w in words], "sketch": keys})
 
 
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
@@ -282,7 +283,7 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model
     lexicon = learn_terms(sample)
 
     def measure(frames):
-        for frame in frames:
+        for frame in filter(len, frames):
             rows = [features(t, lexicon).tolist() for t in frame["text"]]
             yield pd.DataFrame({"x": rows, "y": frame["toxic"].astype("int")})
 

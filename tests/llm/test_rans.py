@@ -10,6 +10,9 @@ from annualis.llm import rans
 from annualis.llm.queries import END_ID, TOKENIZER_FILE
 
 
+ODD = "aBé\u0301'12 \n\t\xa0\u2003\x1c\x85ß漢🙂Σςİ.,\r"
+
+
 @pytest.fixture(scope="module")
 def library():
     import public_tokenizers
@@ -89,7 +92,7 @@ def test_skewed_table_keeps_all_symbols():
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.text(alphabet=st.sampled_from(list("aBé́'12 \n\t\xa0 \x1c\x85ß漢🙂Σςİ.,\r") + ["'s", "<|endoftext|>", "the"]), max_size=30))
+@given(st.lists(st.sampled_from([*ODD, "'s", "<|endoftext|>", "the"]), max_size=30).map("".join))
 def test_stretches_give_the_ids_of_the_text(library, text):
     got = np.frombuffer(rans.tokenizer_of(TOKENIZER_FILE).encode(text.encode()), "<u4").tolist()
     assert got == library.encode(text, add_special_tokens=False).ids

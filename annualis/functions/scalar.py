@@ -13,8 +13,8 @@ def as_col(x: Column | str) -> Column:
 
 
 def rounded(x: Column | str, digits: int | None) -> Column:
-    """``round`` half up, or ``x`` unchanged when ``digits`` is None."""
-    return as_col(x) if digits is None else F.round(as_col(x), digits)
+    """``round_arith``, or ``x`` unchanged when ``digits`` is None."""
+    return as_col(x) if digits is None else round_arith(x, digits)
 
 
 def round_arith(x: Column | str, digits: int) -> Column:
@@ -100,10 +100,19 @@ def capitalised(x: Column | str) -> Column:
     return F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substring(x, 2, 1 << 30)))
 
 
+def text_hash(seed: int, *parts: Column) -> Column:
+    """A number below 2 ** 60: the first 15 hex digits of the MD5 of ``seed|part|...``, with NULL as empty text.
+
+    Every engine can compute it, and it does not depend on the partitioning.
+    """
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
 def hashed_uniform(key: Column | str, seed: int) -> Column:
     """Uniform in (0, 1) from a key, the same for every partitioning."""
-    bits = F.shiftrightunsigned(F.xxhash64(as_col(key), F.lit(seed)), 11)
-    return (bits.cast("double") + F.lit(0.5)) / F.lit(float(1 << 53))
+    bits = F.shiftrightunsigned(text_hash(seed, as_col(key)), 8)  # 52 of the 60 bits
+    return (bits.cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
 def hashed_normal(key: Column | str, seed: int) -> Column:

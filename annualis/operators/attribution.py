@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annualis.functions.scalar import map_lookup
-from annualis.operators.stats import relative_to_max
+from annualis.operators.stats import quad_fit, relative_to_max
 from annualis.schemas import FEATURE_LABELS
 
 
@@ -61,6 +61,16 @@ def importance_table(table: DataFrame, labels: Mapping[str, str] = FEATURE_LABEL
     return relative_to_max(table, "mean_abs").withColumn("label", label).orderBy(F.desc("mean_abs"), "feature")
 
 
+def attribution_trend(df: DataFrame, columns: Sequence[str], coefficients, n: int = 4) -> DataFrame:
+    """``quad_fit`` of contribution on feature value for the ``n`` features with the largest mean contribution, by feature."""
+    top = top_features(mean_abs_attributions(df, columns, coefficients), n).select("feature").collect()  # n names
+    parts = _contributions(columns, coefficients)
+    points = df.select(F.inline(F.array(*[
+        F.struct(F.lit(r["feature"]).alias("feature"), F.col(r["feature"]).cast("double").alias("x"), parts[r["feature"]].cast("double").alias("contribution"))
+        for r in top])))
+    return quad_fit(points, "x", "contribution", ["feature"])
+
+
 def model_coefficients(model, columns: Sequence[str], df: DataFrame) -> dict[str, tuple[float, float]]:
     """Slopes of a fitted linear model with the column means, a number pair per input."""
     means = df.agg(*[F.avg(c).alias(c) for c in columns]).first()

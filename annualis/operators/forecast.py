@@ -13,7 +13,6 @@ from annualis.functions.scalar import clamp_min, iso_date, jan_first, rounded, s
 from annualis.operators.cleaning import split_by_time
 from annualis.operators.stats import mape
 from annualis.schemas import CHANGEPOINT_RANGE, CHANGEPOINT_SCALE, CHANGEPOINTS, CUTOFF_YEAR, HORIZON, INTERVAL
-from annualis.session import attach
 
 
 def trend_fit(df: DataFrame, key="area", ord="year", v="value_tonnes", cutoff=CUTOFF_YEAR) -> DataFrame:
@@ -66,9 +65,12 @@ def forecast_trend(df: DataFrame, key="area", ord="year", v="value_tonnes", cuto
 
 def forecast_holdout(df: DataFrame, key="area", ord="year", v="value_tonnes", cutoff=CUTOFF_YEAR,
                      digits: int | None = 2) -> DataFrame:
-    """MAPE of the line on the periods after ``cutoff``, per entity."""
+    """MAPE of the line on the periods after ``cutoff``, per entity.
+
+    (entity, period) is unique, so no entity is hot and both sides share the aggregation's partitioning.
+    """
     _, test = split_by_time(df, ord, cutoff)
-    scored = attach(test, trend_fit(df, key, ord, v, cutoff), [key], "trend").withColumn("_yhat", line_at(ord))
+    scored = test.join(trend_fit(df, key, ord, v, cutoff), key).withColumn("_yhat", line_at(ord))
     return mape(scored, v, "_yhat", [key], digits)
 
 
@@ -92,7 +94,7 @@ def _segment_sums(df: DataFrame, key: str, ord: str, v: str, cutoff, changepoint
         F.min(at).cast("double").alias("t0"), F.max(at).cast("double").alias("t1"),
         F.max(F.when(seen, F.abs(v))).cast("double").alias("scale"), F.max(ord).cast("double").alias("last"),
     )
-    wide = attach(train, ends, [key], "ends")
+    wide = train.join(ends, key)
     t = safe_div(F.col(ord).cast("double") - F.col("t0"), F.col("t1") - F.col("t0"), F.lit(0.0))
     y = safe_div(F.col(v).cast("double"), F.col("scale"), F.lit(0.0))
     points = wide.select(key, "t0", "t1", "scale", "last", t.alias("t"), y.alias("y"))
@@ -124,66 +126,124 @@ def hinge_system(sums: np.ndarray, knots: np.ndarray) -> tuple[np.ndarray, np.nd
     return gram, right, syy, n
 
 
-def solve_hinges(gram: np.ndarray, right: np.ndarray, syy: float, n: float, prior: float, rounds: int = 200):
-    """Posterior mode with a Laplace prior on slope changes: coordinate descent on the normal equations.
+def penalised_minimum(gram: np.ndarray, right: np.ndarray, penalty: float, free: int = 2) -> tuple[np.ndarray, bool]:
+    """Minimise ``b'Gb/2 - r'b + penalty * sum |b[free:]|`` by an active set; the second value tells if it is the minimum.
 
-    The noise variance is re-estimated as the fit proceeds.
+    A coefficient at 0 whose slope exceeds the penalty joins the set with the sign that lowers the value. The set is solved
+    with its signs held; on the way there the value is compared wherever a coefficient reaches 0, and the best point is
+    kept. The value falls with each step and there are finitely many sets, so this ends.
     """
     size = len(right)
-    beta = np.zeros(size)
+    beta, sign = np.zeros(size), np.zeros(size)
+    usable = np.diag(gram) > 1e-12
+    active = usable & (np.arange(size) < free)
+    tolerance = 1e-9 * max(penalty, np.abs(right).max(initial=0), 1e-300)
+    value = lambda b: b @ gram @ b / 2 - right @ b + penalty * np.abs(b[free:]).sum()
+    for _ in range(100 * size):
+        on = np.flatnonzero(active)
+        goal = np.zeros(size)
+        goal[on] = np.linalg.lstsq(gram[np.ix_(on, on)], right[on] - penalty * sign[on], rcond=None)[0]
+        steps = [1.0]
+        for j in on:
+            if j >= free and beta[j] * goal[j] < 0:
+                steps.append(beta[j] / (beta[j] - goal[j]))
+        best = min((beta + s * (goal - beta) for s in steps), key=value)
+        best[free:][np.abs(best[free:]) < 1e-14] = 0.0
+        moved, beta = np.abs(best - beta).max() > 1e-14, best
+        sign[free:] = np.sign(beta[free:])
+        active = usable & ((np.arange(size) < free) | (beta != 0))
+        slope = gram @ beta - right
+        inside = np.abs(slope + penalty * sign)[active].max(initial=0) <= tolerance
+        outside = np.where(usable & ~active, np.abs(slope) - penalty, -np.inf)
+        if (inside or not moved) and outside.max(initial=-np.inf) <= tolerance:
+            return beta, bool(inside)
+        if inside or not moved:
+            j = int(outside.argmax())
+            active[j], sign[j] = True, -np.sign(slope[j])
+    return beta, False
+
+
+def solve_hinges(gram: np.ndarray, right: np.ndarray, syy: float, n: float, prior: float, rounds: int = 2_000) -> tuple[np.ndarray, float, bool]:
+    """Posterior mode with a Laplace prior on slope changes and Normal(0, 5) on level and slope: (coefficients, noise, converged).
+
+    Coefficients and noise variance are the minimum for each other in turn, which lowers one common value; ``converged``
+    tells that the noise settled and the coefficients are the minimum for it.
+    """
     noise = max(syy / max(n, 1.0), 1e-8)
     for _ in range(rounds):
-        before = beta.copy()
-        flat = gram[:2, :2] + np.eye(2) * noise / 25.0  # Normal(0, 5) on level and slope
-        beta[:2] = np.linalg.solve(flat, right[:2] - gram[:2, 2:] @ beta[2:])
-        for j in range(2, size):
-            if gram[j, j] <= 1e-12:
-                beta[j] = 0.0
-                continue
-            rho = right[j] - gram[j] @ beta + gram[j, j] * beta[j]
-            beta[j] = np.sign(rho) * max(abs(rho) - noise / prior, 0.0) / gram[j, j]
+        flat = gram.copy()
+        flat[[0, 1], [0, 1]] += noise / 25.0
+        beta, exact = penalised_minimum(flat, right, noise / prior)
         sse = max(syy - 2 * beta @ right + beta @ gram @ beta, 0.0)
-        noise = max(sse / max(n, 1.0), 1e-8)
-        if np.max(np.abs(beta - before)) < 1e-9:
-            break
-    return beta, np.sqrt(noise)
+        before, noise = noise, max(sse / max(n, 1.0), 1e-8)
+        if abs(noise - before) <= 1e-10 * before:
+            return beta, float(np.sqrt(noise)), exact
+    return beta, float(np.sqrt(noise)), False
 
 
-def forecast_piecewise(df: DataFrame, key="area", ord="year", v="value_tonnes", cutoff=CUTOFF_YEAR, horizon=HORIZON,
-                       level=INTERVAL, changepoints=CHANGEPOINTS, share=CHANGEPOINT_RANGE, prior=CHANGEPOINT_SCALE,
-                       digits: int | None = 1) -> DataFrame:
-    """Piecewise linear trend per entity with sparse slope changes (Taylor and Letham 2018).
+def piecewise_fit(df: DataFrame, key="area", ord="year", v="value_tonnes", cutoff=CUTOFF_YEAR, changepoints=CHANGEPOINTS,
+                  share=CHANGEPOINT_RANGE, prior=CHANGEPOINT_SCALE) -> DataFrame:
+    """Per entity the coefficients ``beta`` (level, slope, slope changes), ``sigma``, ``converged`` and the scaling.
 
-    The interval adds to the noise the variance of future slope changes, which come
-    at the historical rate with the historical mean size. The Python step sees at
-    most ``changepoints`` + 1 rows of sums per entity, whatever the entity's length.
+    The Python step sees at most ``changepoints`` + 1 rows of sums per entity, whatever the entity's length.
     """
     sums = _segment_sums(df, key, ord, v, cutoff, changepoints, share)
     knots = np.arange(1, changepoints + 1) * share / changepoints
-    z = NormalDist().inv_cdf(0.5 + level / 2)
     kind = df.schema[key].dataType.simpleString()
 
-    def forecast(pdf: pd.DataFrame) -> pd.DataFrame:
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         head = pdf.iloc[0]
         full = np.zeros((changepoints + 1, len(_SUMS)))
         full[pdf["segment"].to_numpy()] = pdf[_SUMS].to_numpy()
-        gram, right, syy, n = hinge_system(full, knots)
-        beta, sigma = solve_hinges(gram, right, syy, n, prior)
-        periods = head["last"] + np.arange(1, horizon + 1)
-        t = (periods - head["t0"]) / max(head["t1"] - head["t0"], 1.0)
-        yhat = beta[0] + beta[1] * t + np.maximum(0.0, t[:, None] - knots) @ beta[2:]
-        size = np.mean(np.abs(beta[2:]))
-        ahead = np.maximum(t - 1.0, 0.0)
-        drift = changepoints / share * 2.0 * size**2 * ahead**3 / 3.0
-        half = z * np.sqrt(sigma**2 + drift)
-        return pd.DataFrame({
-            key: head[key], ord: periods.astype("int64"), "yhat": yhat * head["scale"],
-            "yhat_lower": (yhat - half) * head["scale"], "yhat_upper": (yhat + half) * head["scale"],
-        })
-
-    schema = f"`{key}` {kind}, `{ord}` bigint, yhat double, yhat_lower double, yhat_upper double"
-    out = sums.groupBy(key).applyInPandas(forecast, schema)
+        beta, sigma, converged = solve_hinges(*hinge_system(full, knots), prior)
+        return pd.DataFrame({key: [head[key]], "t0": [head["t0"]], "t1": [head["t1"]], "scale": [head["scale"]], "last": [head["last"]],
+                             "beta": [beta.tolist()], "sigma": [sigma], "converged": [converged]})
+
+    schema = f"`{key}` {kind}, t0 double, t1 double, scale double, last double, beta array<double>, sigma double, converged boolean"
+    return sums.groupBy(key).applyInPandas(fit, schema)
+
+
+def _scaled_time(ord: str) -> Column:
+    return (F.col(ord).cast("double") - F.col("t0")) / F.greatest(F.col("t1") - F.col("t0"), F.lit(1.0))
+
+
+def piecewise_at(ord: str, changepoints=CHANGEPOINTS, share=CHANGEPOINT_RANGE) -> Column:
+    """The trend of ``piecewise_fit`` at a period, in units of the entity's scale."""
+    t = _scaled_time(ord)
+    knots = F.array(*[F.lit((j + 1) * share / changepoints) for j in range(changepoints)])
+    bends = F.zip_with(F.slice("beta", 3, changepoints), knots, lambda b, k: b * F.greatest(t - k, F.lit(0.0)))
+    return F.aggregate(bends, F.col("beta")[0] + F.col("beta")[1] * t, lambda a, x: a + x)
+
+
+def forecast_piecewise(df: DataFrame, key="area", ord="year", v="value_tonnes", cutoff=CUTOFF_YEAR, horizon=HORIZON,
+                       level=INTERVAL, changepoints=CHANGEPOINTS, share=CHANGEPOINT_RANGE, prior=CHANGEPOINT_SCALE,
+                       digits: int | None = 1) -> DataFrame:
+    """Piecewise linear trend per entity with sparse slope changes (Taylor and Letham 2018).
+
+    The interval adds to the noise the variance of future slope changes, which come
+    at the historical rate with the historical mean size. ``converged`` is that of the fit.
+    """
+    fit = piecewise_fit(df, key, ord, v, cutoff, changepoints, share, prior)
+    last = F.col("last").cast("bigint")
+    ahead = fit.withColumn(ord, F.explode(F.sequence(last + 1, last + horizon)))
+    size = F.aggregate(F.slice("beta", 3, changepoints), F.lit(0.0), lambda a, b: a + F.abs(b)) / changepoints
+    beyond = F.greatest(_scaled_time(ord) - 1, F.lit(0.0))
+    drift = F.lit(changepoints / share * 2.0 / 3.0) * size * size * beyond * beyond * beyond
+    half = F.lit(NormalDist().inv_cdf(0.5 + level / 2)) * F.sqrt(F.col("sigma") * F.col("sigma") + drift)
+    yhat = piecewise_at(ord, changepoints, share)
+    out = ahead.select(key, ord, yhat.alias("yhat"), half.alias("half"), "scale", "converged")
     return out.select(
         key, ord, iso_date(jan_first(F.col(ord).cast("int"))).alias("ds"),
-        rounded(clamp_min("yhat", 0.0), digits).alias("yhat"), "yhat_lower", "yhat_upper",
+        rounded(clamp_min(F.col("yhat") * F.col("scale"), 0.0), digits).alias("yhat"),
+        ((F.col("yhat") - F.col("half")) * F.col("scale")).alias("yhat_lower"),
+        ((F.col("yhat") + F.col("half")) * F.col("scale")).alias("yhat_upper"), "converged",
     )
+
+
+def piecewise_holdout(df: DataFrame, key="area", ord="year", v="value_tonnes", cutoff=CUTOFF_YEAR, changepoints=CHANGEPOINTS,
+                      share=CHANGEPOINT_RANGE, prior=CHANGEPOINT_SCALE, digits: int | None = 2) -> DataFrame:
+    """MAPE of the piecewise trend on the periods after ``cutoff``, per entity."""
+    _, test = split_by_time(df, ord, cutoff)
+    fit = piecewise_fit(df, key, ord, v, cutoff, changepoints, share, prior)
+    scored = test.join(fit, key).withColumn("_yhat", piecewise_at(ord, changepoints, share) * F.col("scale"))
+    return mape(scored, v, "_yhat", [key], digits)

@@ -58,8 +58,9 @@ def intensity_lookup(df: DataFrame, features: DataFrame, default: float = MISSIN
 
 
 def unique_features(dim: DataFrame, order: Sequence[str] = ("value_tonnes",)) -> DataFrame:
-    """One stored row per (country, year), the smallest by ``order``."""
-    return stored(pick_first(dim, ["country", "year"], [F.col(o) for o in order]), "unique-features")
+    """One stored row per (country, year), the smallest by ``order``; a row with a value comes before one without."""
+    known = [e for o in order for e in (F.col(o).isNull(), F.col(o))]
+    return stored(pick_first(dim, ["country", "year"], known), "unique-features")
 
 
 def enrich_requests(requests: DataFrame, features: DataFrame, default: float = MISSING_IN_SERVING,
@@ -79,17 +80,15 @@ def prediction_history(log: DataFrame, parcels: DataFrame, limit: int = 50) -> D
     """The latest ``limit`` (at most 500) log rows with the attributes of their parcel.
 
     Rows without a parcel vanish. Ties on time go to the larger id. ``id`` is unique
-    in either table. The rows are found on three columns; only the ``limit`` ids found are
-    broadcast to fetch the rest.
+    in either table. The log is read once: each task keeps its latest ``limit`` rows with a known
+    parcel, and the ``limit`` rows left are broadcast to fetch the attributes.
     """
     check_limit(limit)
     known = parcels.select(F.col("id").alias("parcel_id"))
-    latest = log.select("id", "parcel_id", "predicted_at").join(known, "parcel_id", "left_semi").orderBy(
-        F.desc("predicted_at"), F.desc("id")).limit(limit)
+    latest = log.join(known, "parcel_id", "left_semi").orderBy(F.desc("predicted_at"), F.desc("id")).limit(limit)
     entity = parcels.select(F.col("id").alias("parcel_id"), F.col("name").alias("parcel_name"), "crop_type", "country")
-    named = entity.join(F.broadcast(latest.select("id", "parcel_id")), "parcel_id").drop("parcel_id")
     return (
-        log.join(F.broadcast(named), "id")
+        entity.join(F.broadcast(latest), "parcel_id")
         .select("id", "parcel_id", "parcel_name", "crop_type", "country", "model_name", "model_version",
                 "predicted_yield", "irrigation_rec_mm", "confidence", "predicted_at")
         .orderBy(F.desc("predicted_at"), F.desc("id"))

@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from annualis.functions.scalar import encode_class
+from annualis.functions.scalar import encode_class, text_hash
 from annualis.operators.cleaning import fill_features
 from annualis.operators.stats import fold_summary, regression_metrics
 from annualis.schemas import BOOST_PARAMS, CROP_CLASSES, FEATURES, TARGET
-from annualis.session import ensure_checkpoint_dir
+from annualis.session import ensure_checkpoint_dir, stored
 
 
 def encode(df: DataFrame, classes: Sequence[str] = CROP_CLASSES, crop="crop_type") -> DataFrame:
@@ -42,27 +43,30 @@ def assemble(df: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
 
 
 def row_hash(keys: Sequence[str], seed: int) -> Column:
-    return F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
+    """A number below 2 ** 60 from the text of the keys and the seed; NULL is empty text."""
+    return text_hash(seed, *[F.col(k) for k in keys])
 
 
 def with_fold(df: DataFrame, keys: Sequence[str], k: int = 5, seed: int = 42, name: str = "fold") -> DataFrame:
     """Fold 1..k from a hash of the row key, the same for every partitioning."""
-    return df.withColumn(name, F.pmod(row_hash(keys, seed), F.lit(k)) + 1)
+    return df.withColumn(name, row_hash(keys, seed) % F.lit(k) + 1)
 
 
 def split_random(df: DataFrame, keys: Sequence[str], share: float = 0.2, seed: int = 42,
                  name: str = "is_test") -> DataFrame:
     """Mark about ``share`` of the rows as test rows, by a hash of the row key."""
-    point = F.pmod(row_hash(keys, seed), F.lit(1_000_000))
+    point = row_hash(keys, seed) % F.lit(1_000_000)
     return df.withColumn(name, point < F.lit(int(share * 1_000_000)))
 
 
 def regressor(params: Mapping[str, float] | None = None, label: str = TARGET) -> GBTRegressor:
     """Boosted trees with the given parameters.
 
-    Spark ML samples columns per node, not per tree, and has no L1 and L2 penalty;
-    ``l1`` and ``l2`` are ignored. Lineage is cut every ten trees.
+    Spark ML samples columns per node, not per tree, and has no L1 and L2 penalty, so parameters other than
+    those of ``BOOST_PARAMS`` are refused. Lineage is cut every ten trees.
     """
+    if unknown := set(params or {}) - set(BOOST_PARAMS):
+        raise ValueError(f"no such parameter: {sorted(unknown)}")
     p = {**BOOST_PARAMS, **(params or {})}
     return GBTRegressor(
         labelCol=label, featuresCol="features", maxIter=int(p["trees"]), maxDepth=int(p["depth"]),
@@ -84,16 +88,18 @@ def fit_linear(matrix: DataFrame, target: str = TARGET, columns: Sequence[str] =
 
 
 def cross_validate(matrix: DataFrame, k: int = 5, params: Mapping[str, float] | None = None, target: str = TARGET,
-                   fold: str = "fold") -> DataFrame:
-    """Out-of-fold predictions for every row, from ``k`` fits on the other folds.
+                   fold: str = "fold", at_once: int = 3) -> DataFrame:
+    """Out-of-fold predictions for every row, from ``k`` fits on the other folds, ``at_once`` of them at a time.
 
     ``matrix`` carries the fold column; store it before the call, each fit reads it.
     """
-    parts = []
-    for i in range(1, k + 1):
+    def held_out(i: int) -> DataFrame:
         model = fit_yield(matrix.filter(F.col(fold) != i), params, target)
-        held = assemble(matrix.filter(F.col(fold) == i))
-        parts.append(model.transform(held).drop("features"))
+        return model.transform(assemble(matrix.filter(F.col(fold) == i))).drop("features")
+
+    ensure_checkpoint_dir(matrix.sparkSession)
+    with ThreadPoolExecutor(at_once) as pool:
+        parts = list(pool.map(held_out, range(1, k + 1)))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -118,3 +124,23 @@ def importances(spark, model: GBTRegressionModel, names: Sequence[str] = FEATURE
 
 def top_importances(table: DataFrame, n: int = 3) -> DataFrame:
     return table.orderBy(F.desc("importance"), "feature").limit(n)
+
+
+def train_run(matrix: DataFrame, keys: Sequence[str], share: float = 0.2, k: int = 5, seed: int = 42,
+              params: Mapping[str, float] | None = None, target: str = TARGET, top: int = 3) -> tuple[GBTRegressionModel, DataFrame]:
+    """A model and one row about it: split, cross-validation on the training part, fit, test metrics, counts, importances.
+
+    The spread over folds is the population deviation. Log the row with ``sinks.log_run``.
+    """
+    spark = matrix.sparkSession
+    marked = stored(with_fold(split_random(matrix, keys, share, seed), keys, k, seed + 1), "marked")
+    train, test = marked.filter(~F.col("is_test")), marked.filter(F.col("is_test"))
+    folds = cv_summary(cross_validate(train, k, params, target), target).first()
+    model = fit_yield(train, params, target)
+    scores = regression_metrics(model.transform(assemble(test)), target, "prediction").first()
+    best = top_importances(importances(spark, model), top).collect()
+    row = {"train_rows": train.count(), "test_rows": scores["n"], **{f"test_{c}": scores[c] for c in ("rmse", "mae", "r2", "bias")},
+           **{f"cv_{c}": folds[c] for c in ("rmse_mean", "rmse_std", "r2_mean", "r2_std")},
+           **{f"importance_{r['feature']}": r["importance"] for r in best}}
+    kinds = ", ".join(f"`{c}` {'long' if c.endswith('_rows') else 'double'}" for c in row)
+    return model, spark.createDataFrame([tuple(row.values())], kinds)

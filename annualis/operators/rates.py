@@ -83,9 +83,9 @@ def matching_increase(events: DataFrame, label: str, pattern: str, width_s: int
     counts = slots.groupBy("slot").agg(F.sum("hit").alias("n"))
     # the window that starts at slot s covers the slots s .. s + steps - 1
     spread = counts.select(F.explode(F.sequence(F.col("slot") - (steps - 1), F.col("slot"))).alias("slot"), "n")
-    day = max(86400 // slide_s, 1)  # the axis is generated in chunks, no array holds all of it
+    day = max(86400 // slide_s, 1)  # the axis is generated in chunks of a day, which are dealt to all tasks before they are filled
     ends = slots.agg((F.min("slot") - (steps - 1)).alias("a"), F.max("slot").alias("b"))
-    chunks = ends.select("b", F.explode(F.sequence("a", "b", F.lit(day).cast("bigint"))).alias("c"))
+    chunks = ends.select("b", F.explode(F.sequence("a", "b", F.lit(day).cast("bigint"))).alias("c")).repartition("c")
     axis = chunks.select(
         F.explode(F.sequence("c", F.least(F.col("c") + (day - 1), F.col("b")))).alias("slot"), F.lit(0).alias("n"))
     total = axis.unionByName(spread).groupBy("slot").agg(F.sum("n").cast("bigint").alias("n"))

@@ -12,24 +12,29 @@ from annualis.functions.scalar import as_col, clamp_min, hashed_normal, map_look
 from annualis.operators.cleaning import split_valid
 from annualis.operators.joins import enrich_requests
 from annualis.operators.modelling import encode
-from annualis.schemas import CROP_CLASSES, DEFAULT_WATER_NEED_MM, FEATURES, RESPONSE_CONFIG, WATER_NEED_MM
+from annualis.schemas import CROP_CLASSES, DEFAULT_WATER_NEED_MM, FEATURES, RESPONSE_COEFFICIENTS, RESPONSE_CONFIG, WATER_NEED_MM
 
 
 def response_expr(base: Column, opt_temp: Column, opt_rain: Column, intensity="value_normalized", ph="soil_ph",
                   moisture="soil_moisture", nitrogen="nitrogen_ppm", temp="air_temp_c", rain="rainfall_mm",
                   noise: Column | None = None) -> Column:
-    """Expected outcome from class settings and measures, at least 0.1.
+    """Expected outcome: the class base times one plus a weighted sum of terms, not below the least outcome.
 
-    Factors: diminishing return of intensity, soil (optimum pH 6.5), climate
-    (quadratic around the class optimum).
+    Terms and weights are those of ``RESPONSE_COEFFICIENTS``: the logarithm of intensity, moisture and nitrogen, and squared
+    distances from the best acidity and from the class's best temperature and rain.
     """
-    ph_gap, temp_gap, rain_gap = as_col(ph) - F.lit(6.5), as_col(temp) - opt_temp, as_col(rain) - opt_rain
-    input_part = base * F.lit(0.20) * F.log1p(as_col(intensity) * F.lit(4.0))
-    soil_part = base * (
-        F.lit(-0.06) * ph_gap * ph_gap + F.lit(0.04) * as_col(moisture) + F.lit(0.0008) * as_col(nitrogen))
-    climate_part = base * (F.lit(-0.008) * temp_gap * temp_gap - F.lit(0.000008) * rain_gap * rain_gap + F.lit(0.05))
-    total = base + input_part + soil_part + climate_part
-    return clamp_min(total if noise is None else total + noise, 0.1)
+    k = RESPONSE_COEFFICIENTS
+    square = lambda x, best: (as_col(x) - best) * (as_col(x) - best)
+    terms = [
+        (k["intensity_gain"], F.log1p(as_col(intensity) * F.lit(k["intensity_rate"]))), (k["ph"], square(ph, F.lit(k["best_ph"]))),
+        (k["moisture"], as_col(moisture)), (k["nitrogen"], as_col(nitrogen)), (k["temperature"], square(temp, opt_temp)),
+        (k["rain"], square(rain, opt_rain)),
+    ]
+    share = F.lit(1.0 + k["climate"])
+    for weight, term in terms:
+        share = share + F.lit(weight) * term
+    total = base * share
+    return clamp_min(total if noise is None else total + noise, k["least"])
 
 
 def response_score(df: DataFrame, config: Mapping[str, Sequence[float]] = RESPONSE_CONFIG, crop="crop_type",
@@ -37,13 +42,13 @@ def response_score(df: DataFrame, config: Mapping[str, Sequence[float]] = RESPON
                    noise_key: str | None = None, **columns) -> DataFrame:
     """Add the response score; an unknown class gives NULL.
 
-    Noise has a deviation of 0.12 of the class base and comes from a hash of
+    Noise has a deviation of a share of the class base and comes from a hash of
     ``noise_key``, so it does not change with the partitioning.
     """
     base, temp, rain = (map_lookup(crop, {c: float(v[i]) for c, v in config.items()}) for i in range(3))
     noise = None
     if noise_seed is not None:
-        noise = F.lit(0.12) * base * hashed_normal(noise_key, noise_seed)
+        noise = F.lit(RESPONSE_COEFFICIENTS["noise"]) * base * hashed_normal(noise_key, noise_seed)
     return df.withColumn(name, rounded(response_expr(base, temp, rain, noise=noise, **columns), digits))
 
 

@@ -56,14 +56,14 @@ def total_or_zero(df: DataFrame, v: str, name: str = "total") -> DataFrame:
 def regression_metrics(df: DataFrame, y: str, yhat: str, by: Sequence[str] = ()) -> DataFrame:
     """RMSE, MAE, R2, bias and population deviation of the residual, with n; overall or per group.
 
-    R2 is NULL where the target is constant.
+    Rows without target or prediction count for nothing. R2 is NULL where the target is constant.
     """
     target, r = F.col(y), F.col(y) - F.col(yhat)
     n = F.count(r)
     return df.groupBy(*by).agg(
         F.sqrt(F.avg(r * r)).alias("rmse"),
         F.avg(F.abs(r)).alias("mae"),
-        (1 - safe_div(F.sum(r * r), F.var_pop(target) * n)).alias("r2"),
+        (1 - safe_div(F.sum(r * r), F.var_pop(F.when(r.isNotNull(), target)) * n)).alias("r2"),
         F.avg(r).alias("bias"),
         F.stddev_pop(r).alias("sigma"),
         n.alias("n"),
@@ -191,7 +191,7 @@ def quad_fit(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame
     """Least squares ``y ~ c2 z^2 + c1 z + c0`` with ``z = (x - center) / scale``, per group or overall.
 
     Centring first keeps the sums of fourth powers well conditioned; the 3x3 system
-    is solved in closed form. Needs three distinct x, else the coefficients are NULL.
+    is solved in closed form. Needs three distinct x, else the coefficients are NULL; how many rows have them doesn't matter.
     Output: group, center, scale, c0, c1, c2, x_min, x_max, n.
     """
     pairs = df.select(*by, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).dropna(
@@ -204,12 +204,13 @@ def quad_fit(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame
         where = pairs.agg(F.struct(*place).alias("p")).scalar()
         centred = pairs.select("_x", "_y", *[where[n].alias(n) for n in ("center", "scale", "x_min", "x_max")])
     z = safe_div(F.col("_x") - F.col("center"), F.col("scale"), F.lit(0.0))
-    rows = centred.select(*by, "center", "scale", "x_min", "x_max", z.alias("z"), "_y")
+    rows = centred.select(*by, "center", "scale", "x_min", "x_max", z.alias("z"), "_x", "_y")
     z, v = F.col("z"), F.col("_y")
     sums = rows.groupBy(*by).agg(
         *[F.first(c).alias(c) for c in ("center", "scale", "x_min", "x_max")],
         F.count(F.lit(1)).alias("n"),
         F.sum(z).alias("s1"), F.sum(z * z).alias("s2"), F.sum(z * z * z).alias("s3"), F.sum(z * z * z * z).alias("s4"),
+        F.count_if((F.col("_x") > F.col("x_min")) & (F.col("_x") < F.col("x_max"))).alias("inner"),
         F.sum(v).alias("t0"), F.sum(z * v).alias("t1"), F.sum(z * z * v).alias("t2"),
     )
     n, s1, s2, s3, s4, t0, t1, t2 = (F.col(c) for c in ("n", "s1", "s2", "s3", "s4", "t0", "t1", "t2"))
@@ -218,7 +219,7 @@ def quad_fit(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame
         return a * (e * i - f * h) - b * (d * i - f * g) + c * (d * h - e * g)
 
     whole = det(n, s1, s2, s1, s2, s3, s2, s3, s4)
-    usable = (n >= 3) & (F.abs(whole) > F.lit(1e-9) * n * n * n)
+    usable = (F.col("inner") > 0) & (whole > 0)
     solve = lambda top: F.when(usable, top / whole)
     return sums.select(
         *by, "center", "scale",

@@ -12,6 +12,7 @@ from annualis.plans import views as V
 from annualis.plans.catalog import ORACLE, query
 from annualis.plans.q_cleaning import CLEAN, dirty_series
 from annualis.plans.q_joins import SCORED, formula_model
+from annualis.schemas import CONFIDENCE, MODEL_NAME
 from annualis.session import scratch_path
 from annualis.sources import readers, sinks
 
@@ -64,7 +65,7 @@ def observed_count(spark, sf):
 def prediction_log(spark, sf):
     path = scratch_path(spark, "log")
     scored, _ = P.score(V.requests(spark, sf), V.features(spark, sf), formula_model, digits=None)
-    sinks.log_predictions(scored, path, version="7")
+    sinks.log_predictions(scored, path, MODEL_NAME, CONFIDENCE, "7")
     out = spark.read.parquet(path).drop("predicted_at")
     return V.round_features(out, {"predicted_yield": 3, "irrigation_rec_mm": 1})
 

@@ -8,7 +8,7 @@ from annualis.operators import rates as R
 from annualis.plans import views as V
 from annualis.plans.catalog import query
 from annualis.plans.q_joins import SCORED, formula_model
-from annualis.schemas import LATENCY_BOUNDS
+from annualis.schemas import CONFIDENCE, LATENCY_BOUNDS, MODEL_NAME
 from annualis.session import scratch_path
 from annualis.sources.readers import stream_table
 
@@ -143,6 +143,6 @@ def stream_score(spark, sf):
 
     out = scratch_path(spark, "stream-score")
     requests = V.requests(spark, sf, _event_stream(spark, sf))
-    run(requests, V.features(spark, sf), formula_model, out, out + "-state", digits=None)
+    run(requests, V.features(spark, sf), formula_model, out, out + "-state", MODEL_NAME, CONFIDENCE, digits=None)
     log = spark.read.parquet(out).select("event_id", "parcel_id", "predicted_yield", "irrigation_rec_mm")
     return V.round_features(log, {"predicted_yield": 3, "irrigation_rec_mm": 1})

@@ -306,8 +306,7 @@ def total_or_zero(spark, sf):
 
 # --- attributions -------------------------------------------------------------
 
-_INPUTS = ["year", "soil_moisture", "soil_ph", "nitrogen_ppm", "air_temp_c", "humidity_pct", "rainfall_mm",
-           "solar_rad_wm2", "yoy_growth_pct", "value_normalized"]
+_INPUTS = list(FEATURES)
 _COEF = f"""{V.MATRIX}, coef AS (SELECT {', '.join(
     f'regr_slope({TARGET}, {c}) AS b_{c}, avg({c}) AS m_{c}' for c in _INPUTS)} FROM matrix)"""
 _PART = {c: f"b_{c} * ({c} - m_{c})" for c in _INPUTS}

@@ -52,6 +52,12 @@ RESPONSE_CONFIG = {
     "sunflower": (2.0, 20.0, 450.0),
 }
 
+# Coefficients of the response formula, as shares of the class base.
+RESPONSE_COEFFICIENTS = {
+    "intensity_gain": 0.20, "intensity_rate": 4.0, "best_ph": 6.5, "ph": -0.06, "moisture": 0.04, "nitrogen": 0.0008,
+    "temperature": -0.008, "rain": -0.000008, "climate": 0.05, "least": 0.1, "noise": 0.12,
+}
+
 # Country climate (latitude, longitude, mean temperature, mean rain).
 COUNTRY_CLIMATE = {
     "China, mainland": (35.9, 104.2, 12.0, 600.0),
@@ -85,7 +91,7 @@ TARGET = "yield_t_per_ha"
 # Regression and forecast parameters, histogram bounds, log defaults.
 BOOST_PARAMS = {
     "trees": 300, "depth": 6, "step": 0.05, "row_sample": 0.8, "column_sample": 0.8,
-    "min_rows": 3, "l1": 0.1, "l2": 1.0, "seed": 42,
+    "min_rows": 3, "seed": 42,
 }
 CUTOFF_YEAR, TOP_ENTITIES, HORIZON, INTERVAL = 2013, 10, 5, 0.95
 CHANGEPOINTS, CHANGEPOINT_RANGE, CHANGEPOINT_SCALE = 25, 0.8, 0.3

@@ -98,8 +98,23 @@ def stored_with(df: DataFrame, label: str, **measures: Column) -> tuple[DataFram
     return out, seen.get
 
 
-BROADCAST_ROWS = 100_000  # rows of a key and some numbers, about 10 MB
-SALTS = 32
+BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 << 20  # as Parquet
+HOT_ROWS = 1_000_000  # rows of one key that a task may get
+
+
+def join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", hint=lambda df: df) -> DataFrame:
+    """Join on equal keys, where NULL equals NULL; the key columns are those of ``left``."""
+    named = right.select(*[F.col(c).alias(f"_k_{c}") if c in keys else F.col(c) for c in right.columns])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return left.join(hint(named), same, how).drop(*[f"_k_{k}" for k in keys])
+
+
+def stored_bytes(df: DataFrame) -> int:
+    """Size of a stored table as the planner knows it."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def attach(df: DataFrame, per_key: DataFrame, keys: list[str], label: str, how: str = "inner") -> DataFrame:
@@ -112,15 +127,20 @@ def attach(df: DataFrame, per_key: DataFrame, keys: list[str], label: str, how:
 
 
 def join_counted(df: DataFrame, small: DataFrame, n: int, keys: list[str], how: str = "inner") -> DataFrame:
-    """Join a stored table of ``n`` rows: up to ``BROADCAST_ROWS`` by broadcast.
+    """Join a stored table of ``n`` rows: by broadcast while it is within ``BROADCAST_ROWS`` and ``BROADCAST_BYTES``.
 
-    Beyond, both sides are salted: the rows by the number of the partition they come
-    from, which a retried task keeps, the table by copies. A join on the key alone
-    would leave a hot key in one task whenever an aggregation by that key follows, because
-    Spark then reuses the partitioning of the join.
+    Beyond, the rows of each key are counted. A key with more than ``HOT_ROWS`` of them is spread by the partition its rows
+    come from, which a retried task keeps, and only its rows of the table are copied; all others are joined once. NULL
+    keys are equal. A right or full join would repeat the copies' unmatched rows and is refused.
     """
-    if n <= BROADCAST_ROWS:
-        return df.join(F.broadcast(small), keys, how)
-    spread = df.withColumn("_salt", F.spark_partition_id() % SALTS)
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return spread.join(copies, [*keys, "_salt"], how).drop("_salt")
+    if how not in ("inner", "left", "left_anti", "left_semi"):
+        raise ValueError(f"{how} join of a table that may be copied")
+    if n <= BROADCAST_ROWS and stored_bytes(small) <= BROADCAST_BYTES:
+        return join_same(df, small, keys, how, F.broadcast)
+    salts = F.ceil(F.col("count") / HOT_ROWS).cast("int")
+    hot = stored(df.groupBy(*keys).count().filter(F.col("count") > HOT_ROWS).select(*keys, salts.alias("_salts")), "hot-keys")
+    spread = join_same(df.withColumn("_from", F.spark_partition_id()), hot, keys, "left")
+    spread = spread.withColumn("_salt", F.coalesce(F.pmod("_from", "_salts"), F.lit(0))).drop("_from", "_salts")
+    copies = join_same(small, hot, keys, "left")
+    copies = copies.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
+    return join_same(spread, copies, [*keys, "_salt"], how).drop("_salt")

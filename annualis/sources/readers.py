@@ -54,11 +54,14 @@ def read_jdbc(spark: SparkSession, url: str, table_or_query: str, user: str, pas
 
 
 def read_forecast(spark: SparkSession, path: str, area: str | None = None) -> DataFrame:
-    """Forecast documents; with ``area`` only the folder of that entity is read. Empty means none was made."""
+    """Forecast documents; with ``area`` those of that entity, from its folder only. Empty means none was made.
+
+    Entities whose names differ in replaced characters alone share a folder, so the name is compared too.
+    """
     docs = spark.read.schema(T.StructType([*FORECAST.fields, T.StructField("area_key", T.StringType())])).json(path)
     if area is None:
         return docs
-    return docs.filter(F.col("area_key") == sanitize_key(F.lit(area)))
+    return docs.filter((F.col("area_key") == sanitize_key(F.lit(area))) & (F.col("area") == area))
 
 
 def union_evolved(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from annualis.functions.scalar import sanitize_key
 from annualis.operators.quality import new_rows
-from annualis.schemas import CONFIDENCE, MODEL_NAME
 from annualis.session import path_exists
 
 
@@ -67,8 +66,8 @@ def append_new(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     append(new_rows(unique, df.sparkSession.read.parquet(path), keys) if held else unique, path)
 
 
-def log_rows(scored: DataFrame, model_name: str = MODEL_NAME, version: str | None = None,
-             confidence: float = CONFIDENCE, keep: Sequence[str] = ()) -> DataFrame:
+def log_rows(scored: DataFrame, model_name: str, confidence: float, version: str | None = None,
+             keep: Sequence[str] = ()) -> DataFrame:
     """Scored rows in the form of the prediction log; the version is ``unknown`` if not given."""
     return scored.select(
         *keep,
@@ -78,9 +77,8 @@ def log_rows(scored: DataFrame, model_name: str = MODEL_NAME, version: str | Non
     )
 
 
-def log_predictions(scored: DataFrame, path: str, model_name: str = MODEL_NAME, version: str | None = None,
-                    confidence: float = CONFIDENCE) -> None:
-    append(log_rows(scored, model_name, version, confidence), path)
+def log_predictions(scored: DataFrame, path: str, model_name: str, confidence: float, version: str | None = None) -> None:
+    append(log_rows(scored, model_name, confidence, version), path)
 
 
 def write_forecast_json(forecast: DataFrame, path: str, consolidated: str | None = None) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
@@ -38,25 +39,28 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     return query
 
 
-def replace_batch(make: Callable[[DataFrame], DataFrame], path: str) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that writes each batch to its own folder.
+def replace_batch(make: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that writes each batch to its own folder, ``run=<checkpoint>/batch=<id>``.
 
     A batch that is run again after a failure replaces its folder, so no row is
-    logged twice and the log is never read back.
+    logged twice and the log is never read back. Batches are numbered anew with each checkpoint, so the folder is
+    also named by it: by the query id that Spark keeps there.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        make(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        spark = batch.sparkSession
+        kept = json.loads(spark.read.text(f"{checkpoint}/metadata", wholetext=True).first()[0])
+        make(batch).write.mode("overwrite").parquet(f"{path}/run={kept['id']}/batch={batch_id}")
 
     return write
 
 
 def stream_score(requests: DataFrame, features: DataFrame, model: Model, log_path: str, checkpoint: str,
-                 version: str | None = None, classes: Sequence[str] = CROP_CLASSES, key: str = "event_id",
+                 model_name: str, confidence: float, version: str | None = None, classes: Sequence[str] = CROP_CLASSES, key: str = "event_id",
                  watermark: str | None = None, ts="ts", digits: int | None = 3) -> StreamingQuery:
-    """Score a stream of requests and log each request once.
+    """Score a stream of requests and log the requests of each batch once.
 
-    The feature table is made unique and stored once, and joined per batch. With ``watermark`` a request that arrives
-    again in a later batch is dropped by its key.
+    The feature table is made unique and stored once, and joined per batch. A request that arrives again in a later batch
+    is dropped by its key only with ``watermark``, which bounds the state that this needs.
     """
     if watermark:
         requests = requests.withWatermark(ts, watermark).dropDuplicatesWithinWatermark([key])
@@ -66,10 +70,10 @@ def stream_score(requests: DataFrame, features: DataFrame, model: Model, log_pat
 
     def make(batch: DataFrame) -> DataFrame:
         scored, _ = score(batch.dropDuplicates([key]), known, model, classes, digits, unique_features=True)
-        return log_rows(scored, version=version, keep=[key])
+        return log_rows(scored, model_name, confidence, version, [key])
 
     query = (
-        requests.writeStream.foreachBatch(replace_batch(make, log_path)).option("checkpointLocation", checkpoint)
+        requests.writeStream.foreachBatch(replace_batch(make, log_path, checkpoint)).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()

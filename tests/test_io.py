@@ -83,10 +83,10 @@ def test_forecast_documents(spark, tmp_path):
 def test_prediction_log(spark, tmp_path):
     path = str(tmp_path / "log")
     scored = spark.createDataFrame([(1, 2.5, 10.0)], "parcel_id int, predicted_yield double, irrigation_rec_mm double")
-    sinks.log_predictions(scored, path)
-    sinks.log_predictions(scored, path, version="4")
+    sinks.log_predictions(scored, path, "trees", 0.75)
+    sinks.log_predictions(scored, path, "trees", 0.75, "4")
     out = spark.read.parquet(path).orderBy("model_version").collect()
-    assert [(r.model_name, r.model_version, r.confidence) for r in out] == [("yield-xgboost", "4", 0.8643), ("yield-xgboost", "unknown", 0.8643)]
+    assert [(r.model_name, r.model_version, r.confidence) for r in out] == [("trees", "4", 0.75), ("trees", "unknown", 0.75)]
     assert out[0].predicted_at is not None
 
 
@@ -149,3 +149,10 @@ def test_clear_scratch_removes_only_what_this_application_stored(spark):
     assert df.count() == 3 and os.path.isdir(folder)
     session.clear_scratch(spark)
     assert not os.path.exists(folder) and os.path.isdir(session.shared_dir(spark))
+
+
+def test_entities_that_share_a_folder_are_told_apart(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    df = spark.createDataFrame([("A B", "2020-01-01", 1.0, 0.0, 2.0), ("A/B", "2020-01-01", 5.0, 0.0, 9.0)], "area string, ds string, yhat double, yhat_lower double, yhat_upper double")
+    sinks.write_forecast_json(df, path)
+    assert [r.yhat for r in readers.read_forecast(spark, path, "A B").collect()] == [1.0]

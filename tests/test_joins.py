@@ -101,3 +101,10 @@ def test_hot_parcel_keeps_all_rows(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_a_row_without_value_does_not_win(spark):
+    dim = spark.createDataFrame([("A", 2000, None, 1.0, 1.0, 1.0), ("A", 2000, 7.0, 2.0, 2.0, 2.0)],
+                                "area string, year int, value_tonnes double, yoy_growth_pct double, ma5_tonnes double, value_normalized double")
+    out = J.enrich_requests(spark.createDataFrame([("A", 2000)], "country string, year int"), dim).first()
+    assert (out["value_tonnes"], out["ma5_tonnes"]) == (7.0, 2.0)

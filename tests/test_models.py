@@ -8,25 +8,23 @@ from pyspark.sql import functions as F
 from annualis.operators import forecast as FC
 from annualis.operators import modelling as M
 from annualis.operators import scoring as P
-from annualis.schemas import BOOST_PARAMS, CROP_CLASSES, CUTOFF_YEAR, FEATURES, HORIZON, RESPONSE_CONFIG, TARGET, TOP_ENTITIES
+from annualis.schemas import BOOST_PARAMS, CROP_CLASSES, CUTOFF_YEAR, FEATURES, HORIZON, MEASURES, RESPONSE_COEFFICIENTS, RESPONSE_CONFIG, SERIES_INPUTS, TARGET, TOP_ENTITIES
 
 
 @pytest.fixture(scope="module")
 def frame(spark):
-    """Six training rows, one of them with holes."""
-    pdf = pd.DataFrame({
-        "crop_type": ["wheat", "corn", "rice", "soybean", "sunflower", "wheat"], "country": ["France"] * 6,
-        "year": list(range(2010, 2016)), "soil_moisture": [None, .50, .38, .45, .41, .44],
-        "soil_ph": [6.5, 6.8, 6.2, 6.4, 6.6, 6.5], "nitrogen_ppm": [110., 130, 90, 120, 100, 115],
-        "air_temp_c": [14., 22, 27, 23, 20, 15], "humidity_pct": [65., 70, 75, 68, 60, 62],
-        "rainfall_mm": [480., 620, 1150, 680, 430, 510], "solar_rad_wm2": [180., 200, 190, 175, 185, 178],
-        "value_tonnes": [1000., None, 1200, 1300, 1400, 1500], "yoy_growth_pct": [0, 10, 9.1, 8.3, 7.7, 7.1],
-        "ma5_tonnes": [1000., 1050, 1100, 1150, 1200, 1280], "value_normalized": [.1, .2, .3, .4, .5, .6],
-        TARGET: [3.5, 5.2, 4.1, 2.9, 2.1, 3.6]})
-    return spark.createDataFrame(pdf)
-
-
-def test_fixed_parameters():
+    """A row per class and another one, made from their number; two of them have holes."""
+    crops = [*CROP_CLASSES, CROP_CLASSES[2]]
+    rows = pd.DataFrame({"crop_type": crops, "country": "Atlantis", "year": [2010 + k for k in range(6)]})
+    for step, name in enumerate((*MEASURES, *SERIES_INPUTS), start=1):
+        rows[name] = [step * (k + 1) / 4 for k in range(6)]
+    rows[TARGET] = [1.5 + k / 2 for k in range(6)]
+    rows.loc[0, "soil_moisture"] = None
+    rows.loc[1, "value_tonnes"] = None
+    return spark.createDataFrame(rows)
+
+
+def test_fixed_parameters(spark):
     assert (CUTOFF_YEAR, TOP_ENTITIES, HORIZON) == (2013, 10, 5)
     assert (BOOST_PARAMS["trees"], BOOST_PARAMS["depth"], BOOST_PARAMS["step"]) == (300, 6, 0.05)
     assert len(FEATURES) == 13 and FEATURES[0] == "crop_encoded" and FEATURES[-1] == "value_normalized"
@@ -39,9 +37,9 @@ def test_feature_matrix(frame):
     out = M.feature_matrix(frame)
     assert out.columns == [*FEATURES, TARGET]
     rows = out.orderBy("year").collect()
-    assert [r.crop_encoded for r in rows] == [4, 0, 1, 2, 3, 4]
+    assert [r.crop_encoded for r in rows] == [0, 1, 2, 3, 4, 2]
     assert rows[0].soil_moisture == 0.0 and rows[1].value_tonnes == 0.0
-    assert [r[TARGET] for r in rows] == [3.5, 5.2, 4.1, 2.9, 2.1, 3.6]
+    assert [r[TARGET] for r in rows] == [1.5, 2.0, 2.5, 3.0, 3.5, 4.0]
     assert frame.filter("isnan(soil_moisture)").count() == 1  # the input is as it was
 
 
@@ -91,16 +89,14 @@ def test_linear_attributions_of_a_fitted_model(matrix):
 
 def expected(crop, intensity, ph, moisture, nitrogen, temp, rain):
     base, opt_temp, opt_rain = RESPONSE_CONFIG[crop]
-    soil = -0.06 * (ph - 6.5) ** 2 + 0.04 * moisture + 0.0008 * nitrogen
-    climate = -0.008 * (temp - opt_temp) ** 2 - 8e-6 * (rain - opt_rain) ** 2 + 0.05
-    return max(0.1, base * (1 + 0.2 * math.log1p(4 * intensity) + soil + climate))
+    k = RESPONSE_COEFFICIENTS
+    share = 1 + k["climate"] + k["intensity_gain"] * math.log1p(k["intensity_rate"] * intensity) + k["moisture"] * moisture + k["nitrogen"] * nitrogen
+    share += k["ph"] * (ph - k["best_ph"]) ** 2 + k["temperature"] * (temp - opt_temp) ** 2 + k["rain"] * (rain - opt_rain) ** 2
+    return max(k["least"], base * share)
 
 
-CASES = [
-    ("wheat", .5, 6.5, .45, 120., 15., 500.), ("corn", .5, 6.5, .45, 120., 22., 650.), ("rice", .3, 6.5, .5, 100., 28., 1200.),
-    ("wheat", 0., 6.5, .45, 120., 15., 500.), ("wheat", 0., 10., 0., 0., 50., 5000.), ("wheat", .5, 9.5, .45, 120., 15., 500.),
-    ("soybean", .8, 5., .8, 250., 40., 3000.), ("sunflower", 1., 8.5, .1, 30., 0., 100.),
-]
+#: Each class at steps of every measure, from too little to too much.
+CASES = [(crop, k / 4, 5.0 + k, 0.2 * k, 60.0 * k, 9.0 * k, 400.0 * k * k) for crop in RESPONSE_CONFIG for k in range(5)]
 
 
 def scores(spark, cases, **how):
@@ -114,13 +110,13 @@ def test_response_formula(spark):
 
 
 def test_response_of_an_unknown_class_is_null(spark):
-    assert scores(spark, [("banana", .5, 6.5, .45, 120., 20., 500.)]) == [None]
+    assert scores(spark, [("banana", .7, 6.5, .3, 90., 28., 1200.)]) == [None]
 
 
 def test_response_moves_the_right_way_and_stays_positive(spark):
     best, bad_ph, no_input, hot = scores(spark, [
-        ("wheat", .5, 6.5, .45, 120., 15., 500.), ("wheat", .5, 9.5, .45, 120., 15., 500.),
-        ("wheat", 0., 6.5, .45, 120., 15., 500.), ("wheat", .5, 6.5, .45, 120., 40., 500.)])
+        ("rice", .7, 6.5, .3, 90., 28., 1200.), ("rice", .7, 8.9, .3, 90., 28., 1200.),
+        ("rice", 0., 6.5, .3, 90., 28., 1200.), ("rice", .7, 6.5, .3, 90., 44., 1200.)])
     assert best > bad_ph and best > no_input and best > hot
     rng = np.random.default_rng(42)
     many = [(c, *map(float, (rng.uniform(0, 1), rng.uniform(5, 8.5), rng.uniform(.1, .8), rng.uniform(30, 250), rng.uniform(0, 40), rng.uniform(100, 3000))))
@@ -138,7 +134,7 @@ def test_irrigation(spark):
 def test_score_rejects_and_clamps(spark, frame):
     requests = frame.drop("value_tonnes", "yoy_growth_pct", "ma5_tonnes", "value_normalized", TARGET)
     requests = requests.withColumn("crop_type", F.when(F.col("year") == 2010, F.lit("banana")).otherwise(F.col("crop_type")))
-    features = spark.createDataFrame([("France", 2011, 5.0, None, 5.0, 0.5)],
+    features = spark.createDataFrame([("Atlantis", 2011, 5.0, None, 5.0, 0.5)],
                                      "area string, year int, value_tonnes double, yoy_growth_pct double, ma5_tonnes double, value_normalized double")
     scored, rejects = P.score(requests, features, lambda df: df.withColumn("prediction", F.lit(-3.0)))
     assert rejects.count() == 1 and scored.count() == 5
@@ -191,9 +187,31 @@ def test_hinge_sums_equal_the_design_matrix():
     gram, right, syy, n = FC.hinge_system(sums, knots)
     design = np.column_stack([np.ones(400), t, np.maximum(0, t[:, None] - knots)])
     assert np.allclose(gram, design.T @ design) and np.allclose(right, design.T @ y) and n == 400
-    beta, sigma = FC.solve_hinges(gram, right, syy, n, prior=0.3)
+    beta, sigma, converged = FC.solve_hinges(gram, right, syy, n, prior=0.3)
     slack = right[2:] - gram[2:] @ beta  # optimality of the penalised fit
-    assert np.all(np.abs(slack) <= sigma**2 / 0.3 + 1e-5)
+    assert converged and np.all(np.abs(slack) <= sigma**2 / 0.3 + 1e-6)
+
+
+def test_hinge_fits_are_minima():
+    """A thousand series: the conditions of the minimum hold, and the noise is that of the residuals."""
+    rng = np.random.default_rng(8)
+    knots = np.arange(1, 26) * 0.8 / 25
+    for case in range(1_000):
+        n = int(rng.integers(3, 40))
+        t = np.linspace(0, 1, n)
+        y = np.cumsum(rng.normal(0, 1, n)) if case % 2 else rng.normal(0, 1, n) + t
+        y /= np.abs(y).max()
+        design = np.column_stack([np.ones(n), t, np.maximum(0, t[:, None] - knots)])
+        gram, right, syy = design.T @ design, design.T @ y, float(y @ y)
+        beta, sigma, converged = FC.solve_hinges(gram, right, syy, n, prior=0.3)
+        penalty = sigma**2 / 0.3
+        slope = gram @ beta - right
+        slope[:2] += sigma**2 / 25 * beta[:2]
+        bent = beta[2:] != 0
+        assert converged, case
+        assert np.abs(slope[:2]).max() < 1e-6 and np.abs(slope[2:][bent] + penalty * np.sign(beta[2:][bent])).max(initial=0) < 1e-6, case
+        assert np.abs(slope[2:]).max(initial=0) <= penalty + 1e-6, case
+        assert abs(sigma**2 - max(((y - design @ beta) ** 2).sum() / n, 1e-8)) < 1e-6, case
 
 
 def test_piecewise_follows_a_bend(spark):
@@ -205,6 +223,25 @@ def test_piecewise_follows_a_bend(spark):
     assert out[4].yhat_upper - out[4].yhat_lower > out[0].yhat_upper - out[0].yhat_lower
 
 
+def test_piecewise_holdout(spark):
+    """The score is that of the trend beyond the cutoff; a straight line scores nearly nothing."""
+    df = spark.createDataFrame([("A", 1950 + i, 10.0 + 2 * i) for i in range(60)] + [("B", 1950 + i, 5.0 + i * (1 if i < 55 else 3)) for i in range(60)], SERIES)
+    out = {r.area: r.mape for r in FC.piecewise_holdout(df, cutoff=1999).collect()}
+    assert out["A"] < 1 and 3 < out["B"] < 60
+
+
+def test_unknown_parameters_are_refused(spark):
+    with pytest.raises(ValueError):
+        M.regressor({"l1": 0.1})
+
+
+def test_training_run(matrix):
+    model, row = M.train_run(matrix, ["id"], params={"trees": 2, "depth": 3}, k=3)
+    r = row.first()
+    assert r["train_rows"] + r["test_rows"] == 600 and r["importance_air_temp_c"] > 0.5 and r["cv_rmse_std"] >= 0
+    assert model.getNumTrees == 2
+
+
 def test_piecewise_sees_only_sums(spark):
     """A long entity reaches the Python step as one row per segment."""
     df = spark.range(20000).select(F.lit("A").alias("area"), F.col("id").cast("int").alias("year"), F.rand(1).alias("value_tonnes"))

@@ -103,7 +103,7 @@ def test_stream_scoring_logs_each_request_once(spark, tmp_path):
 
     def run():
         stream = stream_table(spark, src, requests(spark, [1]).schema)
-        jobs.stream_score(stream, features, model, log, state, version="3", watermark="1 hour")
+        jobs.stream_score(stream, features, model, log, state, "trees", 0.75, version="3", watermark="1 hour")
 
     write_part(requests(spark, [1, 2, 3, 4, 4, 5]), src)
     run()
@@ -113,12 +113,26 @@ def test_stream_scoring_logs_each_request_once(spark, tmp_path):
     out = spark.read.parquet(log).collect()
     assert sorted(r.event_id for r in out) == [1, 2, 3, 5, 6, 7]
     assert {r.model_version for r in out} == {"3"} and {r.irrigation_rec_mm for r in out} == {150.0}
-    assert os.path.isdir(log + "/batch=0")
+    (run_folder,) = [d for d in os.listdir(log) if d.startswith("run=")]
+    assert os.path.isdir(f"{log}/{run_folder}/batch=0")
+
+
+def test_a_new_checkpoint_keeps_the_old_log(spark, tmp_path):
+    """Batches are numbered anew, and are other batches."""
+    src, log = str(tmp_path / "src"), str(tmp_path / "log")
+    features = spark.createDataFrame([("France", 2010, 5.0, 1.0, 5.0, 0.5)],
+                                     "area string, year int, value_tonnes double, yoy_growth_pct double, ma5_tonnes double, value_normalized double")
+    model = lambda df: response_score(df, name="prediction", digits=None)
+    for k, ids in enumerate(([1, 2, 3, 5, 6], [7, 9])):
+        write_part(requests(spark, ids), f"{src}{k}")
+        jobs.stream_score(stream_table(spark, f"{src}{k}", requests(spark, [1]).schema), features, model, log, str(tmp_path / f"state{k}"), "trees", 0.75)
+    assert sorted(r.event_id for r in spark.read.parquet(log).collect()) == [1, 2, 3, 5, 6, 7, 9]
 
 
 def test_a_repeated_batch_replaces_its_rows(spark):
-    path = scratch_path(spark, "log")
-    write = jobs.replace_batch(lambda df: df, path)
+    path, state = scratch_path(spark, "log"), scratch_path(spark, "state")
+    spark.createDataFrame([('{"id":"abc"}',)], "value string").coalesce(1).write.text(state + "/metadata")
+    write = jobs.replace_batch(lambda df: df, path, state)
     for _ in range(2):
         write(spark.range(3), 0)
     write(spark.range(2), 1)

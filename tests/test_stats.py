@@ -203,3 +203,52 @@ def test_attributions(data):
 def test_relative_to_max_of_zeros_is_null(spark):
     df = spark.createDataFrame([("a", 0.0), ("b", 0.0)], "k string, v double")
     assert {r.pct_of_max for r in S.relative_to_max(df, "v").collect()} == {None}
+
+
+def test_metrics_ignore_rows_without_prediction(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (2.0, 2.5), (100.0, None), (None, 3.0)], "y double, p double")
+    r = S.regression_metrics(df, "y", "p").first()
+    assert (r["n"], round(r["r2"], 9)) == (2, 0.5)
+
+
+def test_box_stats_ignore_nan(spark):
+    df = spark.createDataFrame([("a", float(i)) for i in range(9)] + [("a", float("nan")), ("a", None), (None, 1.0)], "k string, v double")
+    boxes = Q.box_stats(df, ["k"], "v")
+    got = {r["k"]: (r["n"], r["outliers"], r["median"]) for r in boxes.collect()}
+    assert got == {"a": (9, 0, 4.0), None: (1, 0, 1.0)}
+    assert Q.outliers(df, ["k"], "v", boxes).count() == 0
+
+
+def test_quantiles_do_not_depend_on_the_way(spark):
+    """Ties, infinities, tiny and huge values: bit for bit the same for any size of cell."""
+    rng = np.random.default_rng(0)
+    values = [*rng.normal(size=300), *([1.25] * 60), *(rng.normal(size=40) * 1e-300), 1.7e308, -1.7e308, *([float("inf")] * 5), *([float("-inf")] * 3), -0.0, 0.0]
+    rows = [(None if k % 3 == 0 else "ab"[k % 2], float(v)) for k, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    qs = [0.0, 0.01, 0.33, 0.5, 0.77, 0.99, 1.0]
+    collect = lambda d: sorted((str(r["k"]), r["q"], repr(r["value"]), r["n"]) for r in d.collect())
+    plain = collect(Q.exact_quantiles(df, ["k"], "v", qs))
+    for cell_rows, bins in ((100, 4096), (7, 16), (1, 2)):
+        assert collect(Q.exact_quantiles(df, ["k"], "v", qs, cell_rows, bins)) == plain
+
+
+def test_quad_fit_does_not_depend_on_the_number_of_rows(spark):
+    rare = [(0.0, 1.0), (1.0, 2.0)] * 3000 + [(0.5, 9.0)]
+    two = [(0.0, 1.0), (1.0, 2.0)] * 3000
+    assert S.quad_fit(spark.createDataFrame(rare, "x double, y double"), "x", "y").first()["c2"] is not None
+    assert S.quad_fit(spark.createDataFrame(two, "x double, y double"), "x", "y").first()["c2"] is None
+
+
+def test_large_tables_are_not_copied_for_cold_keys(spark, monkeypatch):
+    """Beyond the broadcast bound only hot keys are spread; rows are those of a plain join, NULL keys included."""
+    left = spark.createDataFrame([(None if k % 9 == 0 else k % 5, k) for k in range(200)], "k int, v int")
+    right = spark.createDataFrame([(k, k * 10) for k in range(4)] + [(None, -1)], "k int, w int")
+    rows = lambda how: sorted(map(str, session.attach(left, right, ["k"], "t", how).collect()))
+    plain = {how: rows(how) for how in ("inner", "left", "left_anti")}
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(session, "HOT_ROWS", 30)
+    assert {how: rows(how) for how in plain} == plain
+    assert len(plain["left"]) == 200 and len(plain["left_anti"]) == sum(1 for k in range(200) if k % 9 and k % 5 == 4)
+    for how in ("right", "full"):
+        with pytest.raises(ValueError):
+            rows(how)

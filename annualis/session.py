@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _local_base: dict[str, str] = {}
+_scope: ContextVar[str] = ContextVar("scope", default="")
 
 
 def build_session(app: str = "annualis", master: str | None = None, **conf) -> SparkSession:
@@ -50,8 +54,24 @@ def _application_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{_application_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing else uses; inside ``scratch_scope`` one that goes with it."""
+    return f"{_application_dir(spark)}/{_scope.get()}{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside are removed at the end; use or write the results before that.
+
+    Scopes may nest. A thread started inside has no part in the scope.
+    """
+    folder = f"{_scope.get()}scope-{uuid.uuid4().hex}/"
+    token = _scope.set(folder)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        files, place = _file_system(spark, f"{_application_dir(spark)}/{folder}")
+        files.delete(place, True)
 
 
 def _file_system(spark: SparkSession, path: str):

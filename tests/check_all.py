@@ -34,12 +34,13 @@ def main(sf_dir: str, names: list[str]) -> int:
             continue
         start = time.time()
         try:
-            df = run(spark, sf_dir)
-            if name in sql:
-                problems = compare(df, con, sql[name])
-                state = "ok" if not problems else "DIFF " + "; ".join(problems)
-            else:
-                state = f"rows {len(df.collect())}"
+            with session.scratch_scope(spark):
+                df = run(spark, sf_dir)
+                if name in sql:
+                    problems = compare(df, con, sql[name])
+                    state = "ok" if not problems else "DIFF " + "; ".join(problems)
+                else:
+                    state = f"rows {len(df.collect())}"
         except Exception as e:  # noqa: BLE001
             state = "ERROR " + str(e).strip()[:700]
             if names:

@@ -156,3 +156,18 @@ def test_entities_that_share_a_folder_are_told_apart(spark, tmp_path):
     df = spark.createDataFrame([("A B", "2020-01-01", 1.0, 0.0, 2.0), ("A/B", "2020-01-01", 5.0, 0.0, 9.0)], "area string, ds string, yhat double, yhat_lower double, yhat_upper double")
     sinks.write_forecast_json(df, path)
     assert [r.yhat for r in readers.read_forecast(spark, path, "A B").collect()] == [1.0]
+
+
+def test_scoped_tables_go_with_their_scope(spark):
+    with session.scratch_scope(spark):
+        outer = session.scratch_path(spark, "a")
+        session.stored(spark.range(3), "x")
+        with session.scratch_scope(spark):
+            inner = session.stored(spark.range(2), "y")
+            place = inner.inputFiles()[0]
+            assert inner.count() == 2
+        assert not session.path_exists(spark, place)
+        assert outer.startswith(session.shared_dir(spark))
+    assert not session.path_exists(spark, outer.rpartition("/")[0])
+    kept = session.stored(spark.range(4), "z")
+    assert kept.count() == 4

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
+import inspect
 import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +56,32 @@ def pieces(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
         yield begin, len(sizes)
 
 
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task; the worker process goes on to other stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run):
+    """``run`` (a function of batches or of a group) that gives memory back when it is done."""
+    if inspect.isgeneratorfunction(run):
+        @functools.wraps(run)
+        def stream(batches):
+            yield from run(batches)
+            give_back()
+
+        return stream
+
+    @functools.wraps(run)
+    def one(frame: pd.DataFrame) -> pd.DataFrame:
+        out = run(frame)
+        give_back()
+        return out
+
+    return one
+
+
 def merge_labels(label: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Join the classes of ``left[k]`` and ``right[k]``; a label is the smallest index of its class."""
     while True:
@@ -88,22 +120,28 @@ def spread_work(routed: DataFrame, members: int, asking: int) -> DataFrame:
 SUM_GROUPS = 64
 
 
+def array_row(array: np.ndarray) -> pd.DataFrame:
+    """One row (part, data) for ``sum_arrays`` from a task."""
+    from pyspark import TaskContext
+
+    data = zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(array, np.float64).tobytes())
+    context = TaskContext.get()
+    return pd.DataFrame({"part": [context.partitionId() if context else 0], "data": [data]})
+
+
 def _add_up(frame: pd.DataFrame) -> pd.DataFrame:
-    total = np.zeros(len(frame["data"].iloc[0]) // 8)
-    for data in frame["data"]:
-        total += np.frombuffer(data)
-    return pd.DataFrame({"part": [0], "data": [total.tobytes()]})
+    return array_row(sum(np.frombuffer(zstandard.ZstdDecompressor().decompress(d)) for d in frame["data"]))
 
 
 def sum_arrays(arrays: DataFrame) -> np.ndarray | None:
-    """Sum of equally long arrays of doubles, ``data`` of rows (part int, data binary); null without rows.
+    """Sum of equally long arrays of doubles, of rows made by ``array_row``; null without rows.
 
     They are added in groups before the last one, so no task gets the arrays of all others.
     """
     for groups in (SUM_GROUPS, 1):
         arrays = arrays.groupBy(F.pmod("part", F.lit(groups))).applyInPandas(_add_up, "part int, data binary")
     row = arrays.first()
-    return np.frombuffer(row["data"]) if row else None
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(row["data"])) if row else None
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annualis.llm.common import pieces, sum_arrays, utf8
+from annualis.llm.common import array_row, pieces, sum_arrays, tidy, utf8
 from annualis.llm.tokens import WHITE, joined, word_hashes
 from annualis.llm.toxicity import held_out_fold
 from annualis.session import stored
@@ -33,6 +33,7 @@ SINGLY = 16  # customers of a dish that sit down one by one; later ones in group
 HOT_SHARE, SEEN_SHARE = 4_096, 8_192
 PART_TOKENS = 2_000_000
 BYTES = 4 << 20
+FINE = 1e8  # scores are summed over parts as whole multiples of 1 / FINE, so their order doesn't matter
 BUCKET = 12  # documents are gathered by row number without its last bits
 END, START = np.uint64(1), np.uint64(2)
 STIR = np.uint64(0x9E3779B97F4A7C15)
@@ -260,8 +261,9 @@ class Cells:
 
 
 def _counts(hot: np.ndarray):
-    """A part's counts: customers and types of each restaurant, words, types of one and two uses, words in one and two contexts, hot words."""
+    """Counts of the parts: customers and types of each restaurant, words, types of one and two uses, words in one and two contexts, hot words."""
     def run(frames):
+        total = 0
         for frame in frames:
             for part, types in zip(frame["part"], frame["types"]):
                 empty = Plan(hot, np.zeros(len(hot)), np.zeros(0), 0, 0, 0, 0)
@@ -270,22 +272,26 @@ def _counts(hot: np.ndarray):
                 np.add.at(uses, c.hot_at, c.uses[c.is_hot])
                 np.add.at(contexts, c.hot_at, c.own[c.is_hot])
                 facts = [(c.uses[calm] > 0).sum(), (c.customers == 1).sum(), (c.customers == 2).sum(), (c.own[calm] == 1).sum(), (c.own[calm] == 2).sum()]
-                total = np.concatenate([np.bincount(c.rooms, c.customers, RESTAURANTS), np.bincount(c.rooms, c.tables, RESTAURANTS),
-                                        np.array(facts, float), uses, contexts])
-                yield pd.DataFrame({"part": [int(part)], "data": [total.tobytes()]})
+                total += np.concatenate([np.bincount(c.rooms, c.customers, RESTAURANTS), np.bincount(c.rooms, c.tables, RESTAURANTS),
+                                         np.array(facts, float), uses, contexts])
+        if np.ndim(total):
+            yield array_row(total)
 
     return run
 
 
 def _swept(plan: Plan):
-    """A part's totals after as many sweeps as the plan has states."""
+    """Parts' totals after as many sweeps as the plan has states."""
     def run(frames):
+        total = 0
         for frame in frames:
             for part, types in zip(frame["part"], frame["types"]):
                 cells = Cells(types, plan, int(part))
                 for k in range(len(plan.states)):
                     cells.sweep(k)
-                yield pd.DataFrame({"part": [int(part)], "data": [cells.totals().tobytes()]})
+                total += cells.totals()
+        if np.ndim(total):
+            yield array_row(total)
 
     return run
 
@@ -334,7 +340,7 @@ def _score(plan: Plan, burn_in: int):
                 base = np.log10((counts + 0.5) / (plan.tokens + 0.5 * (plan.words + 1)))[cells.word]
                 score, known = np.log10(chance / max(1, taken)), (counts > 0)[cells.word]
                 times, rows, doc = _expand(uses, *USES)
-                sums = [np.bincount(doc, np.repeat(x, times), len(rows)) for x in (known, base, score)]
+                sums = [np.rint(np.bincount(doc, np.repeat(x, times), len(rows))).astype(np.int64) for x in (known, -base * FINE, -score * FINE)]
                 bucket = rows >> BUCKET
                 cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
                 yield pd.DataFrame([(int(part), int(bucket[a]), "sums", None, _squeeze(rows[a:b], *[s[a:b] for s in sums]))
@@ -347,18 +353,17 @@ SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score
 
 
 def _add_documents(frame: pd.DataFrame) -> pd.DataFrame:
-    frame = frame.sort_values("part", kind="stable")
     facts = [_expand(d, np.int64, np.int64, bool, bool, np.int64) for d in frame.loc[frame["kind"] == "docs", "uses"]]
     rows, ids, nulls, held, tokens = (np.concatenate(f) for f in zip(*facts))
     order = np.argsort(rows)
-    sums = np.zeros((3, len(rows)))
+    sums = np.zeros((3, len(rows)), np.int64)
     for data in frame.loc[frame["kind"] == "sums", "uses"]:
-        own, *parts = _expand(data, np.int64, float, float, float)
+        own, *parts = _expand(data, np.int64, np.int64, np.int64, np.int64)
         at = order[np.searchsorted(rows, own, sorter=order)]
         for total, part in zip(sums, parts):
             total[at] += part
     return pd.DataFrame({"doc_id": pd.Series(ids, dtype="Int64").mask(nulls), "held_out": held, "n_tokens": tokens,
-                         "n_known": np.rint(sums[0]).astype(np.int64), "base_score": sums[1], "score": sums[2]})
+                         "n_known": sums[0], "base_score": -sums[1] / FINE, "score": -sums[2] / FINE})
 
 
 def score_documents(docs: DataFrame, fold: int = 1, sweeps: int = SWEEPS, burn_in: int = BURN_IN) -> DataFrame:
@@ -375,13 +380,13 @@ def score_documents(docs: DataFrame, fold: int = 1, sweeps: int = SWEEPS, burn_i
     frequent = seen.filter((F.col("word") != 0) & (F.col("n") * HOT_SHARE >= total)).collect()
     hot = np.sort(np.array([r["word"] for r in frequent], np.int64).view(np.uint64))
     parts = max(1, -(-total // PART_TOKENS))
-    dealt = stored(text.mapInPandas(_deal(hot, parts), ROWS).groupBy("part").applyInPandas(_gather, ROWS), "dealt")
+    dealt = stored(text.mapInPandas(tidy(_deal(hot, parts)), ROWS).groupBy("part").applyInPandas(tidy(_gather), ROWS), "dealt")
     cells = dealt.filter("kind = 'cells'")
     types = cells.select("part", "types")
     plan = make_plan(types, hot)
     for _ in range(sweeps if plan.tokens else 0):
         plan.states.append(next_state(types, plan))
-    sums = cells.select("part", "types", "uses").mapInPandas(_score(plan, burn_in), ROWS)
+    sums = cells.select("part", "types", "uses").mapInPandas(tidy(_score(plan, burn_in)), ROWS)
     out = sums.unionAll(dealt.filter("kind = 'docs'")).groupBy("bucket").applyInPandas(_add_documents, SCORES)
     return out.withColumn("train_tokens", F.lit(plan.tokens).cast("long"))
 

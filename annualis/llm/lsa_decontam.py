@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annualis.llm.common import pieces, sum_arrays, utf8, without
+from annualis.llm.common import array_row, pieces, sum_arrays, tidy, utf8, without
 from annualis.llm.tokens import PARTING, joined, word_hashes
 from annualis.session import stored
 
@@ -29,7 +29,9 @@ ANSWER = 8  # words at the end of an item
 LEAST_WORDS = 5  # items with fewer words are too short to be told from chance
 COMMON_ITEMS, COMMON_PASSAGES = 0.1, 0.05  # a word in more items and passages than that has no weight
 ITEMS = 10_000  # items searched in one turn
-BYTES = 2 << 20  # of text worked on at a time
+BYTES = 1 << 20  # of text, or of word numbers, worked on at a time
+RUN = 1 << 15  # words multiplied with the matrix at a time
+CELLS = 1 << 20  # cosines at a time
 
 
 @dataclass
@@ -96,10 +98,19 @@ def _slots(counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _frames_of_words(frames):
     for frame in frames:
-        for a, b in pieces([len(w or b"") for w in frame["words"]], 4 * BYTES):
+        for a, b in pieces([len(w or b"") for w in frame["words"]], BYTES):
             yield frame.iloc[a:b]
 
 
+def _passages(numbers: np.ndarray, slot: np.ndarray):
+    """The words in runs of whole passages, about ``RUN`` words each, so that a long text isn't a large matrix."""
+    at = 0
+    while at < len(numbers):
+        end = len(numbers) if at + RUN >= len(numbers) else max(at + 1, int(np.searchsorted(slot, slot[at + RUN])))
+        yield numbers[at:end], slot[at:end]
+        at = end
+
+
 def _passage_counts(size: int):
     """(term, n): in how many passages each term is; term 0: how many passages there are."""
     def run(frames):
@@ -162,18 +173,17 @@ def gram_product(passage, term, value, matrix: np.ndarray, out: np.ndarray) -> N
 def _sums(weights: np.ndarray, matrix: np.ndarray, small: bool):
     """One row (part, data) a task: its sum of A' (A matrix), or of (A matrix)' (A matrix)."""
     def run(frames):
-        from pyspark import TaskContext
-
         total = np.zeros((matrix.shape[1], matrix.shape[1]) if small else matrix.shape)
         for frame in _frames_of_words(frames):
             numbers, counts = _flat(frame["words"])
-            sparse = tfidf(numbers, _slots(counts, PASSAGE)[0], weights)
-            if small:
-                rows = _by_row(matrix, *sparse)
-                total += rows.T @ rows
-            else:
-                gram_product(*sparse, matrix, total)
-        yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "data": [total.tobytes()]})
+            for part in _passages(numbers, _slots(counts, PASSAGE)[0]):
+                sparse = tfidf(*part, weights)
+                if small:
+                    rows = _by_row(matrix, *sparse)
+                    total += rows.T @ rows
+                else:
+                    gram_product(*sparse, matrix, total)
+        yield array_row(total)
 
     return run
 
@@ -181,7 +191,7 @@ def _sums(weights: np.ndarray, matrix: np.ndarray, small: bool):
 def _total(numbered: DataFrame, weights: np.ndarray, matrix: np.ndarray, small: bool) -> np.ndarray:
     """Sum over all passages, of one array a task."""
     shape = (matrix.shape[1], matrix.shape[1]) if small else matrix.shape
-    total = sum_arrays(numbered.mapInPandas(_sums(weights, matrix, small), "part int, data binary"))
+    total = sum_arrays(numbered.mapInPandas(tidy(_sums(weights, matrix, small)), "part int, data binary"))
     return np.zeros(shape) if total is None else total.reshape(shape)
 
 
@@ -264,8 +274,8 @@ def _search(items: Items, weights: np.ndarray, space: np.ndarray):
             slot, n = _slots(counts, SEGMENT)
             windows = np.zeros((int(n.sum()), vectors.shape[1]), np.float32)
             keep = np.flatnonzero(heavy[numbers])
-            for a in range(0, len(keep), 1 << 16):
-                at = keep[a:a + (1 << 16)]
+            for a in range(0, len(keep), RUN):
+                at = keep[a:a + RUN]
                 head = np.flatnonzero(np.diff(slot[at], prepend=-1))
                 windows[slot[at[head]]] += np.add.reduceat(vectors[numbers[at]], head, axis=0)
             row = np.repeat(np.arange(len(n)), n)
@@ -275,8 +285,9 @@ def _search(items: Items, weights: np.ndarray, space: np.ndarray):
             begin = np.cumsum(counts) - counts
             found: dict[tuple[int, int], list] = {}
             first = np.cumsum(n) - n
-            for a in range(0, len(windows), 4_096):
-                cosine = windows[a:a + 4_096] @ targets.T
+            step = max(16, CELLS // len(targets))
+            for a in range(0, len(windows), step):
+                cosine = windows[a:a + step] @ targets.T
                 for w, p in zip(*np.nonzero(cosine >= NEAR)):
                     k, r, near = int(owner[p]), int(row[a + w]), float(cosine[w, p])
                     known = found.get((r, k))
@@ -315,13 +326,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         own = read_items(rows)
         if not own.words:
             continue
-        numbered = stored(docs.select("doc_id", "text").mapInPandas(_numbered(own.vocabulary), "doc_id long, words binary"), "numbered")
+        numbered = stored(docs.select("doc_id", "text").mapInPandas(tidy(_numbered(own.vocabulary)), "doc_id long, words binary"), "numbered")
         counts = np.zeros(own.size, np.int64)
         for r in numbered.mapInPandas(_passage_counts(own.size), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
             counts[r["term"]] = r["n"]
         weights = term_weights(own, counts)
         space = latent_space(numbered, own, weights, int(counts[0]))
-        out = out.unionAll(numbered.mapInPandas(_search(own, weights, space), LEAKS))
+        out = out.unionAll(numbered.mapInPandas(tidy(_search(own, weights, space)), LEAKS))
     return out
 
 

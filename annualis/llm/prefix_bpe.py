@@ -18,7 +18,8 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
-CACHE = 400_000  # pieces and token pairs remembered by a worker
+CACHE = 400_000  # pieces remembered by a worker
+PAIRS = 400_000  # pairs of tokens remembered
 DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 IDS = "doc_id long, n_tokens long, ids binary"
 
@@ -88,7 +89,7 @@ class Vocabulary:
                 bound, a = a, self.halves[a][1]
             else:
                 bound, b = b + 1, self.halves[b][0]
-        if len(self.fits) >= 4 * CACHE:
+        if len(self.fits) >= PAIRS:
             self.fits.clear()
         self.fits[key] = fits
         return fits

@@ -10,6 +10,7 @@ Files: ``table`` (symbol, frequency) and ``blocks`` (see ``BLOCKS``), as Parquet
 from __future__ import annotations
 
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -28,7 +29,7 @@ LANES = 1024
 BLOCK = 1 << 17  # tokens of a block
 CHECKPOINT = 64  # steps between saved states
 PART_TOKENS = 1 << 22
-CACHE = 500_000
+CACHE = 1_000_000  # stretches of text remembered by a worker
 BYTES = 2 << 20
 
 
@@ -150,22 +151,17 @@ class WordTokenizer:
         self.library.encode_special_tokens = True
         self.known: dict[bytes, bytes] = {}
 
-    def _learn(self, stretches: list[bytes]) -> None:
-        new = [w for w in dict.fromkeys(stretches) if w not in self.known]
-        if len(self.known) + len(new) > CACHE:
-            self.known = {}
-            new = list(dict.fromkeys(stretches))
-        for word, got in zip(new, self.library.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)):
-            self.known[word] = np.array(got.ids, "<u4").tobytes()
-
-    def encode(self, text: bytes) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        stretches = text.split()
-        try:
-            return b"".join(map(self.known.__getitem__, stretches))
-        except KeyError:
-            self._learn(stretches)
-            return b"".join(map(self.known.__getitem__, stretches))
+    def encode_all(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers; new stretches go to the library in one call."""
+        known, parts = self.known, [t.split() for t in texts]
+        new = list({w for part in parts for w in part if w not in known})
+        if len(known) + len(new) > CACHE:
+            known = self.known = {}
+            new = list({w for part in parts for w in part})
+        got = self.library.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
+        for word, found in zip(new, got):
+            known[word] = array("I", found.ids).tobytes()
+        return [b"".join(map(known.__getitem__, part)) for part in parts]
 
 
 @lru_cache(maxsize=2)
@@ -187,7 +183,7 @@ def tokenize(docs: DataFrame, name: str, end_id: int) -> DataFrame:
         for frame in frames:
             texts = utf8(frame["text"])
             for a, b in pieces([len(t) for t in texts], BYTES):
-                ids = [tokenizer.encode(t) + end for t in texts[a:b]]
+                ids = [x + end for x in tokenizer.encode_all(texts[a:b])]
                 yield pd.DataFrame({"doc_id": frame["doc_id"].iloc[a:b].astype("Int64"), "n": [len(x) // 4 for x in ids], "ids": [squeeze(x) for x in ids]})
 
     return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n long, ids binary")

@@ -21,13 +21,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from annualis.llm.common import tidy
 from annualis.session import stored
 
 SPAN = 50
 GRAM = 16
 WINDOWS = SPAN - GRAM + 1  # grams in a span
-BLOCK_BYTES = 8 << 20  # texts that one task holds
-PIECE = 2 << 20  # bytes whose anchors are found at a time
+BLOCK_BYTES = 4 << 20  # texts that one task holds
+PIECE = 1 << 20  # bytes whose anchors are found at a time
+BATCH_ROWS = 2_000
 NO_ID = (1 << 63) - 1  # a null doc_id counts as larger than any other
 PLACE = np.uint64((1 << 24) - 1)
 HASH_BITS = np.uint64((1 << 40) - 1)
@@ -224,7 +226,7 @@ def lowest_ids(data: np.ndarray, begin: np.ndarray, count: np.ndarray, ids: np.n
 def _pack(blocks: int):
     """Record batches to packs: the distinct texts of a batch, by block of their digest."""
     def run(batches):
-        for batch in batches:
+        for batch in (b.slice(k, BATCH_ROWS) for b in batches for k in range(0, b.num_rows, BATCH_ROWS)):
             seen: dict[bytes, int] = {}
             digests, ids, texts = [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -417,13 +419,13 @@ def repeated_bytes(docs: DataFrame, with_text: bool = False) -> DataFrame:
     texts = docs.select("doc_id", _bytes().alias("text"))
     total = docs.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first()["n"] or 0
     blocks = parts = max(1, -(-int(total) // BLOCK_BYTES))
-    packs = lambda: texts.mapInArrow(_pack(blocks), ROWS)
-    found = stored(packs().groupBy("block").applyInPandas(_find_anchors(parts), ROWS), "anchors")
-    shared = stored(found.filter("kind = 'anchors'").groupBy("part").applyInPandas(_shared_anchors, ROWS)
+    packs = lambda: texts.mapInArrow(tidy(_pack(blocks)), ROWS)
+    found = stored(packs().groupBy("block").applyInPandas(tidy(_find_anchors(parts)), ROWS), "anchors")
+    shared = stored(found.filter("kind = 'anchors'").groupBy("part").applyInPandas(tidy(_shared_anchors), ROWS)
                     .unionAll(found.filter("kind = 'shared'")), "shared")
-    stretches = packs().unionAll(shared).groupBy("block").applyInPandas(_send_stretches(parts), ROWS)
-    judged = stored(stretches.groupBy("part").applyInPandas(_judge_stretches, ROWS), "found")
-    return packs().unionAll(shared).unionAll(judged).groupBy("block").applyInPandas(_cut_texts(with_text), RESULT)
+    stretches = packs().unionAll(shared).groupBy("block").applyInPandas(tidy(_send_stretches(parts)), ROWS)
+    judged = stored(stretches.groupBy("part").applyInPandas(tidy(_judge_stretches), ROWS), "found")
+    return packs().unionAll(shared).unionAll(judged).groupBy("block").applyInPandas(tidy(_cut_texts(with_text)), RESULT)
 
 
 def _joined(docs: DataFrame, columns: list, with_text: bool) -> DataFrame:

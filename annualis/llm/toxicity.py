@@ -24,7 +24,7 @@ FIT_ROWS = 16_000  # bound of the labelled rows used for fitting
 CANDIDATES = 50_000  # bound of the terms of toxic texts that are compared with clean ones
 LEAST_RATIO, LEAST_ODDS = 30.0, 3.0
 PUNCTUATION = ".,;:!?\"'()[]{}|«»“”„*#$%&-_…"
-CACHE = 400_000
+CACHE = 200_000
 STEMS = (3, 4, 5, 6, 7, 8)
 
 # Function words of English, German, French and Spanish, and seed terms.
@@ -279,7 +279,7 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows))
     sample = stored(docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(picked), "doc_id")
                     .select("text", "toxic").mapInPandas(_sketch, "text string, toxic int, words long, sketch long")
-                    .dropDuplicates(["sketch", "toxic"]).select("text", "words", "toxic"), "toxic-sample")
+                    .groupBy("sketch", "toxic").agg(F.min(F.struct("text", "words")).alias("row")).select("row.*", "toxic"), "toxic-sample")
     lexicon = learn_terms(sample)
 
     def measure(frames):

@@ -21,26 +21,27 @@ def expected(rows):
     for (i, t), h in zip(rows, held):
         words = tokens(t)
         base = sum(math.log10((seen[w] + 0.5) / (n + 0.5 * (v + 1))) for w in words)
-        out.append((i, h, len(words), sum(w in seen for w in words), n, round(base, 6)))
+        out.append((i, h, len(words), sum(w in seen for w in words), n, base))
     return sorted(out, key=str)
 
 
 def test_counts_and_base_scores(docs, rows_of_docs, frame):
     out = frame(hpylm.score_documents(docs))
-    got = zip(out["doc_id"], out["held_out"], out["n_tokens"], out["n_known"], out["train_tokens"], [round(x, 6) for x in out["base_score"]])
-    assert sorted(got, key=str) == expected(rows_of_docs)
+    got = zip(out["doc_id"], out["held_out"], out["n_tokens"], out["n_known"], out["train_tokens"], out["base_score"])
+    for own, want in zip(sorted(got, key=str), expected(rows_of_docs), strict=True):
+        assert own[:5] == want[:5] and abs(own[5] - want[5]) < 1e-6
     assert (out["score"].astype(float) < 0).all() and np.isfinite(out["score"].astype(float)).all()
 
 
 def test_same_scores_again_and_in_small_parts(docs, frame, monkeypatch):
     key = ["n_tokens", "base_score", "score"]
     once, twice = (frame(hpylm.score_documents(docs)).sort_values(key) for _ in range(2))
-    assert np.allclose(once["score"].astype(float), twice["score"].astype(float))
+    assert once["score"].tolist() == twice["score"].tolist()
     monkeypatch.setattr(hpylm, "PART_TOKENS", 2_000)
     parts = frame(hpylm.score_documents(docs))
     total = lambda f: float(f["score"].astype(float).sum())
     assert abs(total(parts) / total(once) - 1) < 0.01
-    assert abs(float(parts["base_score"].astype(float).sum()) - float(once["base_score"].astype(float).sum())) < 1e-6
+    assert abs(float(parts["base_score"].astype(float).sum()) - float(once["base_score"].astype(float).sum())) < 1e-4
 
 
 def test_better_than_the_base_on_held_out_texts(spark, sf_dir, tmp_path):

@@ -174,15 +174,17 @@ def _sums(weights: np.ndarray, matrix: np.ndarray, small: bool):
     """One row (part, data) a task: its sum of A' (A matrix), or of (A matrix)' (A matrix)."""
     def run(frames):
         total = np.zeros((matrix.shape[1], matrix.shape[1]) if small else matrix.shape)
+        single = matrix.astype(np.float32)
         for frame in _frames_of_words(frames):
             numbers, counts = _flat(frame["words"])
             for part in _passages(numbers, _slots(counts, PASSAGE)[0]):
-                sparse = tfidf(*part, weights)
+                passage, term, value = tfidf(*part, weights)
+                value = value.astype(np.float32)
                 if small:
-                    rows = _by_row(matrix, *sparse)
+                    rows = _by_row(single, passage, term, value)
                     total += rows.T @ rows
                 else:
-                    gram_product(*sparse, matrix, total)
+                    gram_product(passage, term, value, single, total)
         yield array_row(total)
 
     return run
@@ -246,18 +248,41 @@ def common_subsequence(item, region) -> int:
     return len(item) - state.bit_count()
 
 
-def leak_share(item: np.ndarray, region: np.ndarray, heavy: np.ndarray) -> float:
-    """Share of the item's words found in order, or 0 if that is no leak. ``heavy`` marks words with weight."""
-    words, around = item.tolist(), region[region > 0].tolist()
-    share = common_subsequence(words, around) / len(words)
-    if share >= LCS_SHARE:
-        return share
-    content = item[heavy[item]].tolist()
-    answer = item[-ANSWER:].tolist()
-    if (share >= PARTIAL_SHARE and content and common_subsequence(content, around) >= CONTENT_SHARE * len(content)
-            and common_subsequence(answer, around) >= ANSWER_SHARE * len(answer)):
-        return share
-    return 0.0
+@dataclass
+class Target:
+    """An item's words, those with weight, and its answer, and how many of each a leak needs."""
+
+    words: list[int]
+    content: list[int]
+    answer: list[int]
+    distinct: set[int]
+
+    @classmethod
+    def of(cls, item: np.ndarray, heavy: np.ndarray) -> Target:
+        return cls(item.tolist(), item[heavy[item]].tolist(), item[-ANSWER:].tolist(), set(item.tolist()))
+
+    def leaks(self, count) -> bool:
+        """Whether ``count``, of words found of a list, makes a leak."""
+        share = count(self.words) / len(self.words)
+        return share >= LCS_SHARE or share >= PARTIAL_SHARE and bool(self.content) and (
+            count(self.content) >= CONTENT_SHARE * len(self.content) and count(self.answer) >= ANSWER_SHARE * len(self.answer))
+
+    def possible(self, there: set[int]) -> bool:
+        """Whether enough of the item's words are ``there``: each one missing is missing once at least."""
+        return len(self.words) - len(self.distinct) + len(self.distinct & there) >= PARTIAL_SHARE * len(self.words)
+
+    def share_in(self, region: np.ndarray) -> float:
+        """Share of the item's words found in order in a document's words, or 0 if that is no leak.
+
+        Words found in any order bound those found in order, and most candidates fail by them.
+        """
+        around = region[region > 0].tolist()
+        there = set(around)
+        if not self.leaks(lambda words: sum(w in there for w in words)):
+            return 0.0
+        if not self.leaks(lambda words: common_subsequence(words, around)):
+            return 0.0
+        return common_subsequence(self.words, around) / len(self.words)
 
 
 def _search(items: Items, weights: np.ndarray, space: np.ndarray):
@@ -267,6 +292,8 @@ def _search(items: Items, weights: np.ndarray, space: np.ndarray):
     targets = _unit(targets).astype(np.float32)
     vectors = (space * weights[:, None]).astype(np.float32)
     heavy = weights > 0
+    items_of = [Target.of(w, heavy) for w in items.words]
+    longest = max(len(w) for w in items.words)
 
     def run(frames):
         for frame in _frames_of_words(frames):
@@ -280,23 +307,29 @@ def _search(items: Items, weights: np.ndarray, space: np.ndarray):
                 windows[slot[at[head]]] += np.add.reduceat(vectors[numbers[at]], head, axis=0)
             row = np.repeat(np.arange(len(n)), n)
             if len(windows) > 1:
-                windows[:-1] += np.where((row[1:] == row[:-1])[:, None], windows[1:], 0)
-            windows = _unit(windows).astype(np.float32)
+                windows[:-1] += windows[1:] * (row[1:] == row[:-1])[:, None]
+            windows /= np.maximum(np.sqrt(np.einsum("ij,ij->i", windows, windows)), 1e-12)[:, None]
             begin = np.cumsum(counts) - counts
             found: dict[tuple[int, int], list] = {}
-            first = np.cumsum(n) - n
+            first, last = np.cumsum(n) - n, -1
             step = max(16, CELLS // len(targets))
             for a in range(0, len(windows), step):
                 cosine = windows[a:a + step] @ targets.T
                 for w, p in zip(*np.nonzero(cosine >= NEAR)):
                     k, r, near = int(owner[p]), int(row[a + w]), float(cosine[w, p])
+                    place = int(a + w - first[r]) * SEGMENT
+                    if a + w != last:
+                        last = a + w
+                        low, high = max(0, place - longest), min(int(counts[r]), place + PASSAGE + longest)
+                        there = set(numbers[begin[r] + low:begin[r] + high].tolist())
+                    if not items_of[k].possible(there):
+                        continue
                     known = found.get((r, k))
-                    item = items.words[k]
                     if known and known[2] == 1.0:
                         continue
-                    place = int(a + w - first[r]) * SEGMENT
-                    low, high = max(0, place - len(item)), min(int(counts[r]), place + PASSAGE + len(item))
-                    share = leak_share(item, numbers[begin[r] + low:begin[r] + high], heavy)
+                    reach = len(items_of[k].words)
+                    low, high = max(0, place - reach), min(int(counts[r]), place + PASSAGE + reach)
+                    share = items_of[k].share_in(numbers[begin[r] + low:begin[r] + high])
                     if share and (not known or (share, near) > (known[2], known[1])):
                         found[r, k] = [items.ids[k], near, share]
             ids = frame["doc_id"].tolist()

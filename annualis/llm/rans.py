@@ -138,29 +138,57 @@ def joined_crc(first: int, second: int, size: int) -> int:
 
 
 class WordTokenizer:
-    """A tokenizer that drops white space: each stretch without it is encoded once and remembered.
+    """A tokenizer that drops white space and case: each stretch without white space is encoded once and remembered.
 
     No merge, normal form or case rule of such a tokenizer reaches over white space, so the ids of a text are
-    those of its stretches in turn.
+    those of its stretches in turn; so are those of a word and a full stop or comma after it. New stretches are joined by
+    a special token, whose id then parts their ids again.
     """
 
+    MARK = "<|endoftext|>"
+    TOGETHER = 128
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
+        self.library, self.marked = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
+        self.mark = self.marked.token_to_id(self.MARK)
         self.known: dict[bytes, bytes] = {}
 
+    def _learn(self, new: list[bytes]) -> None:
+        odd = new if self.mark is None else [w for w in new if b"<|" in w]
+        for word, found in zip(odd, self.library.encode_batch_fast([w.decode("utf-8", "replace") for w in odd], add_special_tokens=False)):
+            self.known[word] = array("I", found.ids).tobytes()
+        plain = [w for w in new if b"<|" not in w] if self.mark is not None else []
+        groups = [plain[k:k + self.TOGETHER] for k in range(0, len(plain), self.TOGETHER)]
+        texts = [self.MARK.encode().join(g).decode("utf-8", "replace") for g in groups]
+        for group, found in zip(groups, self.marked.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
+            cuts = (np.flatnonzero(ids == self.mark) * 4).tolist()
+            if len(cuts) != len(group) - 1:
+                raise ValueError("a stretch holds the mark")
+            data = ids.tobytes()
+            for word, start, end in zip(group, [0, *[c + 4 for c in cuts]], [*cuts, len(data)]):
+                self.known[word] = data[start:end]
+
+    def _learn_all(self, new: set[bytes]) -> None:
+        """Learn stretches, those that are a word and a stop from the word."""
+        bare = {w: w[:-1] for w in new if w[-1] in b".," and w[-2:-1].isalnum()}
+        self._learn(list((new - bare.keys() | set(bare.values()) | {b".", b","}).difference(self.known)))
+        known = self.known
+        for word, core in bare.items():
+            known[word] = known[core] + known[word[-1:]]
+
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers; new stretches go to the library in one call."""
-        known, parts = self.known, [t.split() for t in texts]
-        new = list({w for part in parts for w in part if w not in known})
-        if len(known) + len(new) > CACHE:
-            known = self.known = {}
-            new = list({w for part in parts for w in part})
-        got = self.library.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-        for word, found in zip(new, got):
-            known[word] = array("I", found.ids).tobytes()
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        parts = [t.lower().split() for t in texts]
+        words = set().union(*parts)
+        new = words.difference(self.known)
+        if len(self.known) + len(new) > CACHE:
+            self.known, new = {}, words
+        self._learn_all(new)
+        known = self.known
         return [b"".join(map(known.__getitem__, part)) for part in parts]
 
 

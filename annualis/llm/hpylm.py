@@ -33,8 +33,8 @@ SINGLY = 16  # customers of a dish that sit down one by one; later ones in group
 HOT_SHARE, SEEN_SHARE = 4_096, 8_192
 PART_TOKENS = 2_000_000
 BYTES = 4 << 20
-FINE = 1e8  # scores are summed over parts as whole multiples of 1 / FINE, so their order doesn't matter
-BUCKET = 12  # documents are gathered by row number without its last bits
+FINE = 1e7  # scores are summed over parts as whole multiples of 1 / FINE, so their order doesn't matter
+BUCKET, LOW = 12, (1 << 12) - 1  # documents are gathered by row number without its last bits
 END, START = np.uint64(1), np.uint64(2)
 STIR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -103,20 +103,20 @@ def _deal(hot: np.ndarray, parts: int):
         for frame in frames:
             for batch, texts in _batches(frame):
                 tokens, rooms, counts = token_stream(texts)
-                rows = batch["row"].to_numpy(np.int64)
+                base = int(batch["row"].iloc[0])
+                rows = base + np.arange(len(texts))  # rows are numbered upwards, so no other batch has these
                 trains = ~batch["held_out"].to_numpy(bool)
                 doc = np.repeat(np.arange(len(texts)), counts)
                 part = part_of(tokens, rooms, hot, parts)
                 order = np.lexsort((tokens, part))
-                tokens, rooms, doc, part = tokens[order], rooms[order], doc[order], part[order]
+                tokens, rooms, part = tokens[order], rooms[order], part[order]
+                marked = (2 * doc + trains[doc])[order].astype(np.uint32)
                 cuts = np.flatnonzero(np.diff(part, prepend=-1))
                 out = []
                 for a, b in zip(cuts, [*cuts[1:], len(part)]):
                     head = np.flatnonzero(np.concatenate([[True], tokens[a + 1:b] != tokens[a:b - 1]]))
-                    used, local = np.unique(doc[a:b], return_inverse=True)
-                    out.append((int(part[a]), -1, "tokens", None, _squeeze(
-                        tokens[a:b][head], np.diff(head, append=b - a).astype(np.uint32), rooms[a:b],
-                        rows[used], trains[used], local.astype(np.uint32))))
+                    out.append((int(part[a]), base, "tokens", None, _squeeze(
+                        tokens[a:b][head], np.diff(head, append=b - a).astype(np.uint32), rooms[a:b], marked[a:b])))
                 ids = batch["doc_id"].astype("Int64")
                 bucket = rows >> BUCKET
                 for k in np.unique(bucket):
@@ -128,7 +128,7 @@ def _deal(hot: np.ndarray, parts: int):
     return run
 
 
-TOKENS = (np.uint64, np.uint32, np.uint16, np.int64, bool, np.uint32)
+TOKENS = (np.uint64, np.uint32, np.uint16, np.uint32)
 TYPES = (np.uint64, np.uint32, np.uint16, np.uint32)
 USES = (np.uint32, np.int64, np.uint32)
 
@@ -140,10 +140,8 @@ def _gather(frame: pd.DataFrame) -> pd.DataFrame:
     fields = [_expand(d, *TOKENS) for d in frame["uses"]]
     words = np.concatenate([np.repeat(f[0], f[1]) for f in fields])
     rooms = np.concatenate([f[2] for f in fields])
-    trains = np.concatenate([f[4][f[5]] for f in fields])
-    documents, place = np.unique(np.concatenate([f[3] for f in fields]), return_inverse=True)
-    start = np.cumsum([0, *[len(f[3]) for f in fields]])
-    docs = np.concatenate([place[s + f[5].astype(np.int64)] for s, f in zip(start, fields)])
+    trains = np.concatenate([f[3] & 1 for f in fields])
+    documents, docs = np.unique(np.concatenate([base + (f[3] >> 1).astype(np.int64) for base, f in zip(frame["bucket"], fields)]), return_inverse=True)
     known, word = np.unique(words, return_inverse=True)
     key = word.astype(np.uint64) << np.uint64(16) | rooms
     order = np.argsort(key, kind="stable")
@@ -343,7 +341,7 @@ def _score(plan: Plan, burn_in: int):
                 sums = [np.rint(np.bincount(doc, np.repeat(x, times), len(rows))).astype(np.int64) for x in (known, -base * FINE, -score * FINE)]
                 bucket = rows >> BUCKET
                 cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
-                yield pd.DataFrame([(int(part), int(bucket[a]), "sums", None, _squeeze(rows[a:b], *[s[a:b] for s in sums]))
+                yield pd.DataFrame([(int(part), int(bucket[a]), "sums", None, _squeeze((rows[a:b] & LOW).astype(np.uint16), *[s[a:b] for s in sums]))
                                     for a, b in zip(cuts, [*cuts[1:], len(rows)])], columns=[c.split()[0] for c in ROWS.split(", ")])
 
     return run
@@ -358,7 +356,8 @@ def _add_documents(frame: pd.DataFrame) -> pd.DataFrame:
     order = np.argsort(rows)
     sums = np.zeros((3, len(rows)), np.int64)
     for data in frame.loc[frame["kind"] == "sums", "uses"]:
-        own, *parts = _expand(data, np.int64, np.int64, np.int64, np.int64)
+        own, *parts = _expand(data, np.uint16, np.int64, np.int64, np.int64)
+        own = own.astype(np.int64) + (int(frame["bucket"].iloc[0]) << BUCKET)
         at = order[np.searchsorted(rows, own, sorter=order)]
         for total, part in zip(sums, parts):
             total[at] += part

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from annualis.llm import hpylm
@@ -109,3 +110,29 @@ def test_number_of_tables_is_that_of_the_process():
         got = hpylm.sit_down(np.full(4_000, n), lambda k, t: np.full(len(k), 2.0), 0.0, None, rng).mean()
         want = 1 + sum(2.0 / (2.0 + k) for k in range(1, n))
         assert abs(got / want - 1) < 0.03
+
+
+def test_each_context_has_its_own_restaurant():
+    """With more than 2 ** 16 words before, the customers a part gets back are those of one word before, over all parts."""
+    text = " ".join(f"w{k} {'xyz'[k % 3]}" for k in range(100_000))
+    frame = pd.DataFrame({"doc_id": [0, 1], "text": [text, "w7 x w7 z"], "held_out": [False, False], "row": [0, 1]})
+    hot = np.zeros(0, np.uint64)
+    dealt = pd.concat(hpylm._deal(hot, 3)([frame]))
+    parts = [hpylm._gather(hot, 2)(rows) for _, rows in dealt[dealt["kind"] == "tokens"].groupby("part")]
+    sent = pd.concat(parts).query("kind == 'sent'")
+    index = pd.concat([hpylm._index(rows) for _, rows in sent.groupby("bucket")])
+    met = pd.concat([index[index["kind"] == "seated"], *[hpylm._meet(rows) for _, rows in pd.concat([sent, index[index["kind"] == "index"]]).groupby("bucket")]])
+    empty = hpylm.Plan(hot, np.zeros(0), np.zeros(1), 0, 0, 0, 0)
+    plan = hpylm.make_plan(sum(hpylm.Cells(t, empty, 0, c).counts() for p in parts for t, c in p.loc[p["kind"] == "cells", ["types", "contexts"]].to_numpy()), hot)
+    before = Counter(b for t in frame["text"] for b in [None, *tokens(t)[:-1]])
+    rooms, pairs = [], 0
+    for part in parts:
+        cells, _, _ = hpylm._part(pd.concat([part[part["kind"] != "sent"], met[met["part"] == part["part"].iloc[0]]]), plan)
+        names = np.concatenate([hpylm._expand(d, np.uint64, np.uint32)[0] for d in part.query("kind == 'sent'").sort_values("bucket")["contexts"]])
+        rooms.append(pd.DataFrame({"context": names, "seated": cells.plan.seated, "tables": cells.plan.states[0].tables}))
+        pairs += len(cells.rooms)
+    rooms = pd.concat(rooms).drop_duplicates()
+    kinds = Counter(b for b, _ in {(b, w) for t in frame["text"] for b, w in zip([None, *tokens(t)], tokens(t))})
+    assert len(rooms) == len(before) > hpylm.RESTAURANTS and sorted(rooms["seated"]) == sorted(before.values())
+    assert sorted(rooms["tables"]) == sorted(kinds.values()) and pairs == sum(kinds.values())
+    assert plan.tokens == sum(before.values())

@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from annualis.llm import embedding_pq, hpylm, lsa_decontam, prefix_bpe, rans, repeats, sharding, simhash_vp, toxicity, url_filter
+from annualis.llm import embedding_pq, hpylm, lsa_decontam, pair_alignment, prefix_bpe, rans, repeats, sharding, simhash_vp, toxicity, url_filter
 from annualis.llm.common import read
 
 SHARDS = 16
 TOKENIZER_FILE, END_ID = "word_bpe_49k.json", 2
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
+BYTE_TOKENS, PIECE_TOKENS = "byte_bpe_50k", "piece_bpe_32k"
 
 
 def op1_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,8 +57,13 @@ def op4_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hpylm.score_documents(read(spark, sf_dir, "documents"))
 
 
+def op11_pair_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pair_alignment.aligned_documents(read(spark, sf_dir, "documents"), BYTE_TOKENS, PIECE_TOKENS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_jump_shards, op2_product_quantisation, op3_range_ans, op4_pitman_yor, op5_toxicity_grammar, op6_prefix_bpe, op7_simhash_vantage, op8_url_bloom, op9_prefix_intervals, op10_latent_decontamination)
+    f.__name__: f for f in (op1_jump_shards, op2_product_quantisation, op3_range_ans, op4_pitman_yor, op5_toxicity_grammar, op6_prefix_bpe, op7_simhash_vantage, op8_url_bloom, op9_prefix_intervals, op10_latent_decontamination,
+                                 op11_pair_alignment)
 }
 
 _RULES = " UNION ALL ".join(f"SELECT '{h}' AS rule_host, '{p}' AS rule_path, '{v}' AS rule_verdict" for h, p, v in url_filter.RULES)

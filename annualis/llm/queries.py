@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from annualis.llm import embedding_pq, hpylm, lsa_decontam, pair_alignment, prefix_bpe, rans, repeats, sharding, simhash_vp, toxicity, url_filter
+from annualis.llm import (cover_tree, embedding_pq, hpylm, lsa_decontam, pair_alignment, pivot_search, prefix_bpe, rans, repeats, sharding, simhash_vp,
+                          toxicity, url_filter)
 from annualis.llm.common import read
 
 SHARDS = 16
@@ -61,13 +62,38 @@ def op11_pair_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair_alignment.aligned_documents(read(spark, sf_dir, "documents"), BYTE_TOKENS, PIECE_TOKENS)
 
 
+def op12_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.embedding_negatives(read(spark, sf_dir, "embeddings"))
+
+
+def op13_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_search.embedding_neighbours(read(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_jump_shards, op2_product_quantisation, op3_range_ans, op4_pitman_yor, op5_toxicity_grammar, op6_prefix_bpe, op7_simhash_vantage, op8_url_bloom, op9_prefix_intervals, op10_latent_decontamination,
-                                 op11_pair_alignment)
+                                 op11_pair_alignment, op12_cover_tree, op13_pivot_search)
 }
 
 _RULES = " UNION ALL ".join(f"SELECT '{h}' AS rule_host, '{p}' AS rule_path, '{v}' AS rule_verdict" for h, p, v in url_filter.RULES)
+_WHOLE = """SELECT vec_id, label, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0"""
 ORACLE: dict[str, str] = {
+    "op12_cover_tree": f"""WITH rows AS (SELECT vec_id, v, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+  FROM ({_WHOLE}) WHERE label IS NOT NULL),
+scores AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM rows a JOIN rows b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+negatives AS (SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+  FROM positives JOIN scores USING (anchor_id) WHERE NOT same AND 100 * score BETWEEN 50 * positive_score AND 95 * positive_score)
+SELECT * FROM negatives WHERE rank <= 3""",
+    "op13_pivot_search": f"""WITH rows AS ({_WHOLE}),
+scores AS (SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM rows a JOIN rows b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+ranked AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scores)
+SELECT * FROM ranked WHERE rank <= 5""",
     "op8_url_bloom": f"""WITH parts AS (
   SELECT page_id, CASE WHEN contains(url, '://') THEN translate(regexp_extract(substr(url, instr(url, '://') + 3), '^[^/?#]*'),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,

@@ -76,8 +76,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 _RULES = " UNION ALL ".join(f"SELECT '{h}' AS rule_host, '{p}' AS rule_path, '{v}' AS rule_verdict" for h, p, v in url_filter.RULES)
-_WHOLE = """SELECT vec_id, label, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0"""
+_WHOLE = """SELECT vec_id, label, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0"""
 ORACLE: dict[str, str] = {
     "op12_cover_tree": f"""WITH rows AS (SELECT vec_id, v, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
   FROM ({_WHOLE}) WHERE label IS NOT NULL),

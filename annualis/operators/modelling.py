@@ -1,20 +1,20 @@
-"""Feature matrix, repeatable splits, boosted trees and cross-validation on Spark ML."""
+"""Feature matrix, repeatable splits, boosted trees, cross-validation and runs."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annualis.functions.scalar import encode_class, text_hash
+from annualis.operators.boosting import Booster, fit, fit_together, predict_by
 from annualis.operators.cleaning import fill_features
 from annualis.operators.stats import fold_summary, regression_metrics
-from annualis.schemas import BOOST_PARAMS, CROP_CLASSES, FEATURES, TARGET
-from annualis.session import ensure_checkpoint_dir, stored
+from annualis.schemas import CROP_CLASSES, FEATURES, TARGET
+from annualis.session import stored
 
 
 def encode(df: DataFrame, classes: Sequence[str] = CROP_CLASSES, crop="crop_type") -> DataFrame:
@@ -59,26 +59,9 @@ def split_random(df: DataFrame, keys: Sequence[str], share: float = 0.2, seed: i
     return df.withColumn(name, point < F.lit(int(share * 1_000_000)))
 
 
-def regressor(params: Mapping[str, float] | None = None, label: str = TARGET) -> GBTRegressor:
-    """Boosted trees with the given parameters.
-
-    Spark ML samples columns per node, not per tree, and has no L1 and L2 penalty, so parameters other than
-    those of ``BOOST_PARAMS`` are refused. Lineage is cut every ten trees.
-    """
-    if unknown := set(params or {}) - set(BOOST_PARAMS):
-        raise ValueError(f"no such parameter: {sorted(unknown)}")
-    p = {**BOOST_PARAMS, **(params or {})}
-    return GBTRegressor(
-        labelCol=label, featuresCol="features", maxIter=int(p["trees"]), maxDepth=int(p["depth"]),
-        stepSize=p["step"], subsamplingRate=p["row_sample"], featureSubsetStrategy=str(p["column_sample"]),
-        minInstancesPerNode=int(p["min_rows"]), seed=int(p["seed"]), checkpointInterval=10, cacheNodeIds=False,
-    )
-
-
-def fit_yield(matrix: DataFrame, params: Mapping[str, float] | None = None, target: str = TARGET) -> GBTRegressionModel:
-    """Fit boosted trees on a feature matrix."""
-    ensure_checkpoint_dir(matrix.sparkSession)
-    return regressor(params, target).fit(assemble(matrix))
+def fit_yield(matrix: DataFrame, params: Mapping[str, float] | None = None, target: str = TARGET, keys: Sequence[str] = ()) -> Booster:
+    """Fit boosted trees on a feature matrix, with ``BOOST_PARAMS`` but for ``params``; ``keys`` name its rows, without them all their values do."""
+    return fit(matrix, FEATURES, target, keys or [*FEATURES, target], params)
 
 
 def fit_linear(matrix: DataFrame, target: str = TARGET, columns: Sequence[str] = FEATURES, ridge: float = 0.0):
@@ -88,22 +71,14 @@ def fit_linear(matrix: DataFrame, target: str = TARGET, columns: Sequence[str] =
 
 
 def cross_validate(matrix: DataFrame, k: int = 5, params: Mapping[str, float] | None = None, target: str = TARGET,
-                   fold: str = "fold", at_once: int = 3) -> DataFrame:
-    """Out-of-fold predictions for every row, from ``k`` fits on the other folds, ``at_once`` of them at a time.
+                   fold: str = "fold", keys: Sequence[str] = ()) -> DataFrame:
+    """Out-of-fold predictions for every row, by ``k`` models of the other folds that are grown together.
 
-    ``matrix`` carries the fold column; store it before the call, each fit reads it.
+    ``matrix`` carries the fold column; store it before the call. A row of no fold from 1 to ``k`` has none.
     """
-    def held_out(i: int) -> DataFrame:
-        model = fit_yield(matrix.filter(F.col(fold) != i), params, target)
-        return model.transform(assemble(matrix.filter(F.col(fold) == i))).drop("features")
-
-    ensure_checkpoint_dir(matrix.sparkSession)
-    with ThreadPoolExecutor(at_once) as pool:
-        parts = list(pool.map(held_out, range(1, k + 1)))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    parts = {f"fold {i}": F.col(fold) != i for i in range(1, k + 1)}
+    models = fit_together(matrix, FEATURES, target, keys or [*FEATURES, target], parts, params)
+    return predict_by(matrix, {i: models[f"fold {i}"] for i in range(1, k + 1)}, fold)
 
 
 def fold_metrics(predicted: DataFrame, target: str = TARGET, fold: str = "fold") -> DataFrame:
@@ -116,9 +91,9 @@ def cv_summary(predicted: DataFrame, target: str = TARGET, ddof: int = 0) -> Dat
     return fold_summary(fold_metrics(predicted, target), ["rmse", "r2"], ddof)
 
 
-def importances(spark, model: GBTRegressionModel, names: Sequence[str] = FEATURES, digits: int = 4) -> DataFrame:
-    """Feature importances by name, largest first; as many rows as there are features."""
-    rows = [(n, round(float(v), digits)) for n, v in zip(names, model.featureImportances.toArray())]
+def importances(spark, model: Booster, digits: int = 4) -> DataFrame:
+    """Feature importances by name, largest first: each feature's mean gain of a split, as a share of all; as many rows as there are features."""
+    rows = [(r.feature, round(float(r.importance), digits)) for r in model.gains().itertuples()]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
@@ -127,17 +102,19 @@ def top_importances(table: DataFrame, n: int = 3) -> DataFrame:
 
 
 def train_run(matrix: DataFrame, keys: Sequence[str], share: float = 0.2, k: int = 5, seed: int = 42,
-              params: Mapping[str, float] | None = None, target: str = TARGET, top: int = 3) -> tuple[GBTRegressionModel, DataFrame]:
+              params: Mapping[str, float] | None = None, target: str = TARGET, top: int = 3) -> tuple[Booster, DataFrame]:
     """A model and one row about it: split, cross-validation on the training part, fit, test metrics, counts, importances.
 
-    The spread over folds is the population deviation. Log the row with ``sinks.log_run``.
+    The model and those of the folds grow together. The spread over folds is the population deviation. Log the row with ``sinks.log_run``.
     """
     spark = matrix.sparkSession
     marked = stored(with_fold(split_random(matrix, keys, share, seed), keys, k, seed + 1), "marked")
     train, test = marked.filter(~F.col("is_test")), marked.filter(F.col("is_test"))
-    folds = cv_summary(cross_validate(train, k, params, target), target).first()
-    model = fit_yield(train, params, target)
-    scores = regression_metrics(model.transform(assemble(test)), target, "prediction").first()
+    parts = {"model": F.lit(True), **{f"fold {i}": F.col("fold") != i for i in range(1, k + 1)}}
+    models = fit_together(train, FEATURES, target, keys, parts, params)
+    model = models["model"]
+    folds = cv_summary(predict_by(train, {i: models[f"fold {i}"] for i in range(1, k + 1)}, "fold"), target).first()
+    scores = regression_metrics(model.transform(test), target, "prediction").first()
     best = top_importances(importances(spark, model), top).collect()
     row = {"train_rows": train.count(), "test_rows": scores["n"], **{f"test_{c}": scores[c] for c in ("rmse", "mae", "r2", "bias")},
            **{f"cv_{c}": folds[c] for c in ("rmse_mean", "rmse_std", "r2_mean", "r2_std")},

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annualis.functions.scalar import as_col, clamp_min, hashed_normal, map_lookup, rounded
+from annualis.operators.boosting import Booster
 from annualis.operators.cleaning import split_valid
 from annualis.operators.joins import enrich_requests
 from annualis.operators.modelling import encode
@@ -59,12 +60,14 @@ def irrigation(df: DataFrame, needs: Mapping[str, float] = WATER_NEED_MM, defaul
     return df.withColumn(name, rounded(clamp_min(gap, 0.0), digits))
 
 
-Model = Transformer | Callable[[DataFrame], DataFrame]
+Model = Booster | Transformer | Callable[[DataFrame], DataFrame]
 
 
 def predict(df: DataFrame, model: Model, name: str = "predicted_yield", digits: int | None = 3) -> DataFrame:
-    """Model output as ``name``, not below 0. A model is a fitted transformer or adds ``prediction`` itself."""
-    if isinstance(model, Transformer):
+    """Model output as ``name``, not below 0. A model is a booster, a fitted transformer, or adds ``prediction`` itself."""
+    if isinstance(model, Booster):
+        out = model.transform(df)
+    elif isinstance(model, Transformer):
         from annualis.operators.modelling import assemble
 
         out = model.transform(assemble(df, FEATURES)).drop("features")

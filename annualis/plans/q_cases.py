@@ -14,7 +14,7 @@ from annualis.operators import series as SE
 from annualis.operators import stats as S
 from annualis.plans import views as V
 from annualis.plans.catalog import query, sql_round
-from annualis.plans.q_joins import _CONFIG, SCORED, SMALL, _score_sql, _stored_matrix, formula_model, matrix
+from annualis.plans.q_joins import _CONFIG, SCORED, _score_sql, formula_model, matrix
 from annualis.plans.q_stats import _INPUTS, _MEAN_ABS, _attributed, _rounded
 from annualis.schemas import CONFIDENCE, FEATURES, MODEL_NAME, SERIES_INPUTS, TARGET
 from annualis.session import scratch_path, stored
@@ -277,26 +277,6 @@ def noisy_response(spark, sf):
     return V.round_features(scored.select("id", "score"), {"score": 3})
 
 
-@query(f"WITH {V.MATRIX} SELECT {_hash_sql(42, 'reading_id')} % 1000000 < 200000 AS is_test, count(*) AS n, true AS better_than_mean FROM matrix GROUP BY 1")
-def fitted_trees(spark, sf):
-    """Trees fitted on the training part explain both parts better than the training mean."""
-    marked = M.split_random(_stored_matrix(spark, sf), ["reading_id"])
-    train = marked.filter(~F.col("is_test"))
-    mean = train.agg(F.avg(TARGET)).first()[0]
-    out = M.fit_yield(train, SMALL).transform(M.assemble(marked))
-    square = lambda c: F.avg((F.col(TARGET) - c) * (F.col(TARGET) - c))
-    return out.groupBy("is_test").agg(F.count(F.lit(1)).alias("n"), (square(F.col("prediction")) < square(F.lit(mean))).alias("better_than_mean"))
-
-
-@query(f"WITH {V.MATRIX} SELECT {_hash_sql(42, 'reading_id')} % 5 + 1 AS fold, count(*) AS n, true AS once FROM matrix GROUP BY 1")
-def cross_validated_rows(spark, sf):
-    """Each row is predicted once, by a model fitted on the other folds."""
-    rows = _stored_matrix(spark, sf, 5)
-    out = M.cross_validate(rows, 5, {"trees": 2, "depth": 6})
-    per_row = out.groupBy("reading_id", "fold").agg(F.count("prediction").alias("k"))
-    return per_row.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.every(F.col("k") == 1).alias("once"))
-
-
 @query(f"WITH {V.MATRIX} SELECT count(*) AS n, true AS orthogonal FROM matrix")
 def linear_model_residuals(spark, sf):
     """A fitted linear model's residuals are orthogonal to every input."""
@@ -309,20 +289,6 @@ def linear_model_residuals(spark, sf):
     return out.agg(F.count(F.lit(1)).alias("n"), (free & (F.abs(F.avg(r)) < 1e-6)).alias("orthogonal"))
 
 
-@query(f"""WITH {V.MATRIX}, n AS (SELECT count(*) FILTER (WHERE {_hash_sql(42, 'reading_id')} % 1000000 >= 200000) AS a,
-  count(*) FILTER (WHERE {_hash_sql(42, 'reading_id')} % 1000000 < 200000) AS b FROM matrix)
-SELECT 'train_rows' AS name, CAST(a AS VARCHAR) AS value FROM n UNION ALL SELECT 'test_rows', CAST(b AS VARCHAR) FROM n
-UNION ALL SELECT 'trees', '2'""")
-def training_run(spark, sf):
-    """Split, cross-validation on the training part, fit, test metrics and importances, logged as a run."""
-    path = scratch_path(spark, "runs")
-    params = {"trees": 2, "depth": 6}
-    _, row = M.train_run(_stored_matrix(spark, sf), ["reading_id"], params=params)
-    sinks.log_run(row, path, "trees-1", params)
-    logged = spark.read.parquet(path)
-    return logged.filter(F.col("name").isin("train_rows", "test_rows", "trees")).select("name", "value")
-
-
 @query(f"WITH {V.SERIES} SELECT area, true AS converged, count(*) AS n FROM series GROUP BY 1")
 def piecewise_holdout(spark, sf):
     """Hold-out score of the trend that forecasts: it is finite, and every fit converged."""

@@ -168,43 +168,11 @@ def best_run(spark, sf):
 
 # --- models ----------------------------------------------------------------------
 
-SMALL = {"trees": 10, "depth": 6}  # the registered queries' share of the 300 trees of BOOST_PARAMS
-
-
-def _stored_matrix(spark, sf, folds: int | None = None):
-    wide = matrix(spark, sf)
-    return stored(M.with_fold(wide, ["reading_id"], folds) if folds else wide, "matrix")
-
-
 @query()
 def split_random(spark, sf):
     return M.split_random(matrix(spark, sf), ["reading_id"]).select("reading_id", "is_test")
 
 
-@query()
-def fit_yield(spark, sf):
-    marked = M.split_random(_stored_matrix(spark, sf), ["reading_id"])
-    model = M.fit_yield(marked.filter(~F.col("is_test")), SMALL)
-    return model.transform(M.assemble(marked)).select("reading_id", "is_test", TARGET, "prediction")
-
-
-@query()
-def importances(spark, sf):
-    return M.importances(spark, M.fit_yield(_stored_matrix(spark, sf), SMALL))
-
-
-@query()
-def cross_validate(spark, sf):
-    return M.fold_metrics(M.cross_validate(_stored_matrix(spark, sf, 5), 5, {"trees": 2, "depth": 6}))
-
-
-@query()
-def model_score(spark, sf):
-    model = M.fit_yield(_stored_matrix(spark, sf), SMALL)
-    scored, _ = P.score(V.requests(spark, sf), V.features(spark, sf), model)
-    return scored.select("event_id", "parcel_id", "predicted_yield", "irrigation_rec_mm")
-
-
 @query("SELECT DISTINCT c_mktsegment, CAST(dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS BIGINT) AS code FROM customer")
 def observed_classes(spark, sf):
     out = M.observed_classes(V.table(spark, sf, "customer"), "c_mktsegment")

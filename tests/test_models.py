@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from annualis.operators import forecast as FC
 from annualis.operators import modelling as M
 from annualis.operators import scoring as P
+from annualis.operators.boosting import Params
 from annualis.schemas import BOOST_PARAMS, CROP_CLASSES, CUTOFF_YEAR, FEATURES, HORIZON, MEASURES, RESPONSE_COEFFICIENTS, RESPONSE_CONFIG, SERIES_INPUTS, TARGET, TOP_ENTITIES
 
 
@@ -29,8 +30,10 @@ def test_fixed_parameters(spark):
     assert (BOOST_PARAMS["trees"], BOOST_PARAMS["depth"], BOOST_PARAMS["step"]) == (300, 6, 0.05)
     assert len(FEATURES) == 13 and FEATURES[0] == "crop_encoded" and FEATURES[-1] == "value_normalized"
     assert CROP_CLASSES == sorted(CROP_CLASSES)
-    r = M.regressor()
-    assert (r.getMaxIter(), r.getMaxDepth(), r.getStepSize(), r.getSubsamplingRate(), r.getMinInstancesPerNode()) == (300, 6, 0.05, 0.8, 3)
+    p = Params.of()
+    assert (p.trees, p.depth, p.step, p.row_sample, p.column_sample, p.min_rows, p.l1, p.l2, p.seed) == (300, 6, 0.05, 0.8, 0.8, 3, 0.1, 1.0, 42)
+    with pytest.raises(ValueError):
+        Params.of({"leaves": 3})
 
 
 def test_feature_matrix(frame):
@@ -69,7 +72,7 @@ def test_boosted_trees_and_cross_validation(spark, matrix):
     model = M.fit_yield(matrix, {"trees": 5, "depth": 3})
     top = M.top_importances(M.importances(spark, model), 1).first()
     assert top.feature == "air_temp_c"
-    predicted = M.cross_validate(M.with_fold(matrix, ["id"], 3), 3, {"trees": 4, "depth": 3})
+    predicted = M.cross_validate(M.with_fold(matrix, ["id"], 3), 3, {"trees": 40, "depth": 3}, keys=["id"])
     assert predicted.select("id").distinct().count() == 600 == predicted.count()
     metrics = M.fold_metrics(predicted)
     assert metrics.count() == 3 and metrics.agg(F.sum("n")).first()[0] == 600
@@ -232,14 +235,14 @@ def test_piecewise_holdout(spark):
 
 def test_unknown_parameters_are_refused(spark):
     with pytest.raises(ValueError):
-        M.regressor({"l1": 0.1})
+        M.fit_yield(None, {"leaves": 0.1})
 
 
 def test_training_run(matrix):
     model, row = M.train_run(matrix, ["id"], params={"trees": 2, "depth": 3}, k=3)
     r = row.first()
     assert r["train_rows"] + r["test_rows"] == 600 and r["importance_air_temp_c"] > 0.5 and r["cv_rmse_std"] >= 0
-    assert model.getNumTrees == 2
+    assert model.trees["tree"].nunique() == 2
 
 
 def test_piecewise_sees_only_sums(spark):

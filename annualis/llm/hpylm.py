@@ -32,7 +32,7 @@ SWEEPS, BURN_IN = 4, 2
 SINGLY = 16  # customers of a dish that sit down one by one; later ones in groups of a sixteenth of those seated
 HOT_SHARE, SEEN_SHARE = 4_096, 8_192
 PART_TOKENS = 2_000_000
-BYTES = 4 << 20
+BYTES = 1 << 20
 FINE = 1e7  # scores are summed over parts as whole multiples of 1 / FINE, so their order doesn't matter
 MANY_BUCKETS, PARTS_A_BUCKET = 512, 4  # contexts meet in as many buckets as there are parts; beyond 512, in one for four parts
 BUCKET, LOW = 12, (1 << 12) - 1  # documents are gathered by row number without its last bits
@@ -78,9 +78,11 @@ def token_stream(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _batches(frame: pd.DataFrame):
-    texts = utf8(frame["text"])
-    for a, b in pieces([len(t) for t in texts], BYTES):
-        yield frame.iloc[a:b], texts[a:b]
+    """Rows with up to ``BYTES`` characters of text, which are encoded when their turn comes."""
+    sizes = [len(t) if isinstance(t, str) else 0 for t in frame["text"]]
+    for a, b in pieces(sizes, BYTES):
+        part = frame.iloc[a:b]
+        yield part, utf8(part["text"])
 
 
 def _frequent(frames):
@@ -477,7 +479,7 @@ def score_documents(docs: DataFrame, fold: int = 1, sweeps: int = SWEEPS, burn_i
     null doc_id is kept. ``docs`` should be a stored table: its rows are numbered where they are read.
     """
     text = docs.select("doc_id", "text", held_out_fold(F.col("doc_id"), fold).alias("held_out"), F.monotonically_increasing_id().alias("row"))
-    seen = text.select("text").mapInPandas(_frequent, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    seen = text.select("text").mapInPandas(tidy(_frequent), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     total = seen.filter("word = 0").first()
     total = int(total["n"]) if total else 0
     frequent = seen.filter((F.col("word") != 0) & (F.col("n") * HOT_SHARE >= total)).collect()
@@ -502,7 +504,7 @@ def score_documents(docs: DataFrame, fold: int = 1, sweeps: int = SWEEPS, burn_i
     for table in [seated, *[seatings[k] for k in taken], *[met[k] for k in taken]]:
         rows = rows.unionAll(table)
     sums = rows.groupBy("part").applyInPandas(tidy(_score(plan)), ROWS)
-    out = sums.unionAll(dealt.filter("kind = 'docs'")).groupBy("bucket").applyInPandas(_add_documents, SCORES)
+    out = sums.unionAll(dealt.filter("kind = 'docs'")).groupBy("bucket").applyInPandas(tidy(_add_documents), SCORES)
     return out.withColumn("train_tokens", F.lit(plan.tokens).cast("long"))
 
 

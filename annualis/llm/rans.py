@@ -9,9 +9,13 @@ Files: ``table`` (symbol, frequency) and ``blocks`` (see ``BLOCKS``), as Parquet
 
 from __future__ import annotations
 
+import gc
+import re
+import unicodedata
 import zlib
 from array import array
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -19,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annualis.llm.common import pieces, utf8
+from annualis.llm.common import pieces, tidy, utf8
 from annualis.session import scratch_path, stored
 
 SCALE = 20  # frequencies add up to 2 ** SCALE
@@ -137,15 +141,22 @@ def joined_crc(first: int, second: int, size: int) -> int:
     return zlib.crc32(blank, first) ^ zlib.crc32(blank) ^ second
 
 
+_PLAIN = [c for c in map(chr, range(0x250)) if c not in "'\u0130" and not c.isspace() and unicodedata.category(c) != "Cc"]  # NFC leaves these as they are, and lower case makes one of one
+_OF = {kind: re.escape("".join(c for c in _PLAIN if unicodedata.category(c)[0] == kind)) for kind in "LN"}
+RUNS = re.compile(f"[{_OF['L']}]+|[{_OF['N']}]|[^{_OF['L']}{_OF['N']}]+")
+OTHER = re.compile(f"[^{re.escape(''.join(_PLAIN))} ]")
+
+
 class WordTokenizer:
-    """A tokenizer that drops white space and case: each stretch without white space is encoded once and remembered.
+    """A tokenizer that drops white space and case and parts words into runs of letters, single digits and runs of signs.
 
-    No merge, normal form or case rule of such a tokenizer reaches over white space, so the ids of a text are
-    those of its stretches in turn; so are those of a word and a full stop or comma after it. New stretches are joined by
-    a special token, whose id then parts their ids again.
+    No merge, normal form or case rule of such a tokenizer reaches over white space, so the ids of a text are those of its stretches without
+    white space in turn. A stretch of plain characters is made up from its runs: new ones are encoded together, parted by spaces, and the last
+    token of a run is marked as such by the vocabulary. Other stretches are joined by a special token, whose id then parts their ids.
     """
 
     MARK = "<|endoftext|>"
+    LAST = "</w>"
     TOGETHER = 128
 
     def __init__(self, path: str):
@@ -154,7 +165,11 @@ class WordTokenizer:
         self.library, self.marked = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         self.mark = self.marked.token_to_id(self.MARK)
+        names = self.library.get_vocab()
+        self.last = np.zeros(max(names.values()) + 1, bool)
+        self.last[[k for name, k in names.items() if name.endswith(self.LAST)]] = True
         self.known: dict[bytes, bytes] = {}
+        self.runs: dict[str, bytes] = {}
 
     def _learn(self, new: list[bytes]) -> None:
         odd = new if self.mark is None else [w for w in new if b"<|" in w]
@@ -172,26 +187,65 @@ class WordTokenizer:
             for word, start, end in zip(group, [0, *[c + 4 for c in cuts]], [*cuts, len(data)]):
                 self.known[word] = data[start:end]
 
+    def _learn_runs(self, new: list[str]) -> None:
+        groups = [new[k:k + self.TOGETHER] for k in range(0, len(new), self.TOGETHER)]
+        for group, found in zip(groups, self.library.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
+            ends = (np.flatnonzero(self.last[ids]) * 4 + 4).tolist()
+            if len(ends) != len(group):
+                raise ValueError("a run of letters or signs isn't a word of its own")
+            data = ids.tobytes()
+            self.runs.update((run, data[a:b]) for run, a, b in zip(group, [0, *ends], ends))
+
     def _learn_all(self, new: set[bytes]) -> None:
-        """Learn stretches, those that are a word and a stop from the word."""
-        bare = {w: w[:-1] for w in new if w[-1] in b".," and w[-2:-1].isalnum()}
-        self._learn(list((new - bare.keys() | set(bare.values()) | {b".", b","}).difference(self.known)))
-        known = self.known
-        for word, core in bare.items():
-            known[word] = known[core] + known[word[-1:]]
+        """Learn stretches, plain ones from their runs."""
+        listed = list(new)
+        texts = b" ".join(listed).decode("utf-8", "replace").lower()
+        if OTHER.search(texts):
+            own = [w.decode("utf-8", "replace") for w in listed]
+            odd = [w for w, t in zip(listed, own) if OTHER.search(t)]
+            self._learn(odd)
+            gone = set(odd)
+            listed = [w for w in listed if w not in gone]
+            texts = b" ".join(listed).decode("utf-8", "replace").lower()
+        words = texts.split(" ")
+        whole = [t.isalpha() for t in words]  # most stretches are one run
+        parts = [RUNS.findall(t) for t, one in zip(words, whole) if not one]
+        runs = {t for t, one in zip(words, whole) if one}.union(*parts)
+        fresh = runs.difference(self.runs)
+        if len(self.runs) + len(fresh) > CACHE:
+            forget_half(self.runs)
+            fresh = runs.difference(self.runs)
+        self._learn_runs(list(fresh))
+        get, rest = self.runs.__getitem__, iter(parts)
+        self.known.update((w, get(t) if one else b"".join(map(get, next(rest)))) for w, t, one in zip(listed, words, whole) if w)
 
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
+        gc.disable()  # nothing here is cyclic, and the many lists would have it run over all that is remembered
+        try:
+            return self._encode_all(texts)
+        finally:
+            gc.enable()
+
+    def _encode_all(self, texts: list[bytes]) -> list[bytes]:
         parts = [t.lower().split() for t in texts]
         words = set().union(*parts)
         new = words.difference(self.known)
         if len(self.known) + len(new) > CACHE:
-            self.known, new = {}, words
+            forget_half(self.known)
+            new = words.difference(self.known)
         self._learn_all(new)
         known = self.known
         return [b"".join(map(known.__getitem__, part)) for part in parts]
 
 
+def forget_half(memory: dict) -> None:
+    """Drop the entries that came first."""
+    for key in list(islice(memory, len(memory) // 2)):
+        del memory[key]
+
+
 @lru_cache(maxsize=2)
 def tokenizer_of(name: str) -> WordTokenizer:
     import os
@@ -202,19 +256,28 @@ def tokenizer_of(name: str) -> WordTokenizer:
     return WordTokenizer(public_tokenizers.path(name))
 
 
-def tokenize(docs: DataFrame, name: str, end_id: int) -> DataFrame:
-    """doc_id, n, ids (compressed little-endian unsigned 32-bit) of every document, ``end_id`` last; null texts have it alone."""
+def tokenize(docs: DataFrame, name: str, end_id: int, counts: bool = False) -> DataFrame:
+    """doc_id, n, ids (compressed little-endian unsigned 32-bit) of every document, ``end_id`` last; null texts have it alone.
+
+    With ``counts`` each task adds a row whose n is -1 and whose ids are how often it has seen each token (64-bit).
+    """
     end = np.array([end_id], "<u4").tobytes()
 
     def run(frames):
         tokenizer, squeeze = tokenizer_of(name), zstandard.ZstdCompressor(level=1).compress
+        seen = np.zeros(len(tokenizer.last) + end_id, np.int64)
         for frame in frames:
             texts = utf8(frame["text"])
             for a, b in pieces([len(t) for t in texts], BYTES):
                 ids = [x + end for x in tokenizer.encode_all(texts[a:b])]
+                if counts:
+                    seen += np.bincount(np.frombuffer(b"".join(ids), "<u4"), minlength=len(seen))
                 yield pd.DataFrame({"doc_id": frame["doc_id"].iloc[a:b].astype("Int64"), "n": [len(x) // 4 for x in ids], "ids": [squeeze(x) for x in ids]})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n long, ids binary")
+        if counts:
+            yield pd.DataFrame({"doc_id": pd.array([None], "Int64"), "n": [-1], "ids": [squeeze(seen.tobytes())]})
+
+    return docs.select("doc_id", "text").mapInPandas(tidy(run), "doc_id long, n long, ids binary")
 
 
 def _ids(data: bytes) -> np.ndarray:
@@ -222,15 +285,14 @@ def _ids(data: bytes) -> np.ndarray:
 
 
 def _histogram(frames):
+    """Counts of tokens, from documents' ids and from rows that have counted them."""
     counts = np.zeros(0, np.int64)
     for frame in frames:
-        for data in frame["ids"]:
-            own = np.bincount(_ids(data))
+        for n, data in zip(frame["n"], frame["ids"]):
+            own = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.int64) if n < 0 else np.bincount(_ids(data))
             if len(own) > len(counts):
-                own[: len(counts)] += counts
-                counts = own
-            else:
-                counts[: len(own)] += own
+                counts = np.pad(counts, (0, len(own) - len(counts)))
+            counts[: len(own)] += own
     some = np.flatnonzero(counts)
     yield pd.DataFrame({"symbol": some, "n": counts[some]})
 
@@ -288,13 +350,15 @@ def _encode_parts(symbols: np.ndarray, frequencies: np.ndarray):
     return run
 
 
-def write_tokens(tokens: DataFrame, path: str) -> None:
+def write_tokens(tokens: DataFrame, path: str, counted: bool = False) -> None:
     """Write ``tokens`` (doc_id, n, ids) under ``path`` in ascending doc_id order (nulls first).
 
-    Equal doc_ids come in order of their ids. The frequencies count every token; the table is as long as the alphabet.
+    With ``counted`` rows with an n of -1 hold the counts of all tokens (see ``tokenize``). Equal doc_ids come in order of their ids. The frequencies count every token; the table is as long as the alphabet.
     """
     spark = tokens.sparkSession
-    rows = tokens.mapInPandas(_histogram, "symbol long, n long").groupBy("symbol").agg(F.sum("n").alias("n")).collect()
+    counting = tokens.filter("n < 0") if counted else tokens
+    tokens = tokens.filter("n >= 0")
+    rows = counting.select("n", "ids").mapInPandas(tidy(_histogram), "symbol long, n long").groupBy("symbol").agg(F.sum("n").alias("n")).collect()
     symbols = np.array([r["symbol"] for r in rows], np.int64)
     counts = np.array([r["n"] for r in rows], np.int64)
     table = Table.of_counts(symbols, counts) if len(rows) else Table(symbols, counts)
@@ -374,5 +438,5 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
 def document_tokens(docs: DataFrame, name: str, end_id: int) -> DataFrame:
     """Tokenize, write and read back; doc_id, start, n_tokens, ids_crc32 of every document row."""
     path = scratch_path(docs.sparkSession, "tokens")
-    write_tokens(stored(tokenize(docs, name, end_id), "ids"), path)
+    write_tokens(stored(tokenize(docs, name, end_id, counts=True), "ids"), path, counted=True)
     return read_tokens(docs.sparkSession, path)

@@ -101,3 +101,21 @@ def test_stretches_give_the_ids_of_the_text(library, text):
 @given(st.binary(max_size=80), st.binary(max_size=80))
 def test_joined_checksums(a, b):
     assert rans.joined_crc(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aBzéÉßñſİǅʰ'<|>12²½.,-_ ́Α漢\U0001f642"), max_size=12), max_size=8))
+def test_stretches_made_of_runs(texts):
+    own = rans.tokenizer_of(TOKENIZER_FILE)
+    want = [np.array(own.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert own.encode_all([t.encode() for t in texts]) == want
+
+
+def test_memory_is_halved(monkeypatch, library):
+    monkeypatch.setattr(rans, "CACHE", 40)
+    import public_tokenizers
+
+    own = rans.WordTokenizer(public_tokenizers.path(TOKENIZER_FILE))
+    for k in range(30):
+        text = " ".join(f"word{j}x{j * k}," for j in range(12))
+        assert own.encode_all([text.encode()]) == [np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]

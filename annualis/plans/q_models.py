@@ -71,6 +71,30 @@ def training_run(spark, sf):
     return logged.filter(F.col("name").isin("train_rows", "test_rows", "trees")).select("name", "value")
 
 
+@query(f"""WITH {V.PARCELS}, {V.REQUESTS} SELECT 'batch' AS job, count(*) AS n, 0 AS different FROM requests WHERE crop_type <> 'banana'
+UNION ALL SELECT 'stream', count(*), 0 FROM requests WHERE crop_type <> 'banana'""")
+def saved_model_scores(spark, sf):
+    """A model is fitted, saved, logged by its path and loaded by a batch and a stream job; both score every request as the fitted one does."""
+    from annualis.operators import saved
+    from annualis.plans.q_rates import _event_stream
+    from annualis.streaming.jobs import stream_score
+
+    runs, path, log = (scratch_path(spark, name) for name in ("runs", "model", "stream-log"))
+    model, row = M.train_run(_stored_matrix(spark, sf), ["reading_id"])
+    saved.log_trained(model, row, runs, "trees-1", path, B.Params.of().__dict__)
+    loaded = saved.load_model(spark, spark.read.parquet(runs))
+    features = stored(V.features(spark, sf), "features")
+    direct = P.score(V.requests(spark, sf), features, model)[0].select("event_id", F.col("predicted_yield").alias("fitted"))
+    stream_score(V.requests(spark, sf, _event_stream(spark, sf)), features, loaded, log, f"{log}-state", "trees", 0.9)
+    jobs = {"batch": P.score(V.requests(spark, sf), features, loaded)[0], "stream": spark.read.parquet(log)}
+    out = None
+    for job, scored in jobs.items():
+        both = scored.select("event_id", "predicted_yield").join(direct, "event_id", "full")
+        one = both.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("fitted").eqNullSafe(F.col("predicted_yield"))).cast("int").alias("different")).select(F.lit(job).alias("job"), "n", "different")
+        out = one if out is None else out.unionAll(one)
+    return out
+
+
 # --- trees that SQL grows too ---------------------------------------------------------
 
 _INPUTS = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]

@@ -55,7 +55,7 @@ def assign_shards(df: DataFrame, keys: list[str], shards: int, order: list[str])
     The shard depends on the key and the number of shards alone; ``grown_shard`` is the one with
     a shard more, either the same or the new one. Give narrow rows: they are stored and shuffled once.
     Slots are numbered in runs of about ``RUN_ROWS`` rows of a shard, so a shard of any size is spread
-    over tasks; rows that tie in the key and in all of ``order`` come in any order. Null keys count as 0
+    over tasks, and so are the rows of one key; rows that tie in the key and in all of ``order`` come in any order. Null keys count as 0
     (hashed keys: as Spark hashes null), an empty table stays empty, repeated rows get a slot each.
     Columns of ``df`` named shard, slot or grown_shard are replaced.
     """
@@ -65,7 +65,7 @@ def assign_shards(df: DataFrame, keys: list[str], shards: int, order: list[str])
                      shard_of(key, shards).alias("shard"), shard_of(key, shards + 1).alias("grown_shard"))
     kept, seen = stored_with(data, "sharded", n=F.count(F.lit(1)))
     runs = max(1, -(-int(seen["n"] or 0) // (RUN_ROWS * shards)))
-    kept = kept.withColumn("run", F.pmod(F.xxhash64("key"), F.lit(runs)))
+    kept = kept.withColumn("run", F.pmod(F.xxhash64("key", *[f"row.`{c}`" for c in order]), F.lit(runs)))
     by_shard = Window.partitionBy("shard").orderBy("run")
     before = (kept.groupBy("shard", "run").agg(F.count(F.lit(1)).alias("n"))
               .select("shard", "run", (F.sum("n").over(by_shard) - F.col("n")).alias("before")))

@@ -33,7 +33,7 @@ LANES = 1024
 BLOCK = 1 << 17  # tokens of a block
 CHECKPOINT = 64  # steps between saved states
 PART_TOKENS = 1 << 22
-CACHE = 1_000_000  # stretches of text remembered by a worker
+CACHE = 600_000  # stretches of text, and runs of them, that a worker remembers
 BYTES = 2 << 20
 
 

@@ -31,8 +31,8 @@ STRENGTH, ROOT_STRENGTH = 1.0, 1.0
 SWEEPS, BURN_IN = 4, 2
 SINGLY = 16  # customers of a dish that sit down one by one; later ones in groups of a sixteenth of those seated
 HOT_SHARE, SEEN_SHARE = 4_096, 8_192
-PART_TOKENS = 2_000_000
-BYTES = 1 << 20
+PART_TOKENS = 1_000_000
+BYTES = 2 << 20
 FINE = 1e7  # scores are summed over parts as whole multiples of 1 / FINE, so their order doesn't matter
 MANY_BUCKETS, PARTS_A_BUCKET = 512, 4  # contexts meet in as many buckets as there are parts; beyond 512, in one for four parts
 BUCKET, LOW = 12, (1 << 12) - 1  # documents are gathered by row number without its last bits
@@ -193,12 +193,15 @@ def _gather(hot: np.ndarray, buckets: int):
         number[order] = np.arange(len(order), dtype=np.uint64)
         rooms = number[at[np.concatenate([b + f[2] for b, f in zip(begin, fields)])]]
         known, at, _ = _unique([f[0] for f in fields])
-        word = np.repeat(at, np.concatenate([f[1] for f in fields]))
+        word = np.repeat(at.astype(np.uint32), np.concatenate([f[1] for f in fields]))
         trains = np.concatenate([f[3] & 1 for f in fields])
         documents, docs = _documents(frame["bucket"].to_numpy(), [f[3] >> 1 for f in fields])
+        del fields, begin
         key = word.astype(np.uint64) << np.uint64(32) | rooms
-        by = np.argsort(key, kind="stable")
-        head = np.flatnonzero(np.diff(key[by], prepend=np.uint64(1 << 63)))
+        by = np.argsort(key, kind="stable").astype(np.uint32)
+        key = key[by]
+        head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        del key
         customers = np.add.reduceat(trains[by].astype(np.int64), head)
         rooms = rooms[by[head]]
         types = _squeeze(known, np.bincount(word[by[head]], minlength=len(known)).astype(np.uint32),

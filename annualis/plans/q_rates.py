@@ -125,6 +125,20 @@ def stream_rates(spark, sf):
     return _ntz(spark.read.parquet(out))
 
 
+@query(f"""WITH m AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS slot, event_type FROM events),
+e AS (SELECT min(slot) - INTERVAL 4 HOUR AS a, max(slot) AS b FROM m),
+axis AS (SELECT unnest(generate_series(a, b, INTERVAL 1 HOUR)) AS s FROM e),
+c AS (SELECT slot - INTERVAL 1 HOUR * i AS s, count(*) AS n FROM m, range(5) t(i) WHERE regexp_matches(event_type, '^err') GROUP BY 1),
+w AS (SELECT axis.s AS window_start, axis.s + INTERVAL 5 HOUR AS window_end, coalesce(n, 0) AS n FROM axis LEFT JOIN c ON c.s = axis.s)
+SELECT * FROM w WHERE {_CLOSED}""")
+def stream_increase(spark, sf):
+    from annualis.streaming import alerts
+
+    out = scratch_path(spark, "stream-increase")
+    alerts.run_increase(alerts.stream_increase(_event_stream(spark, sf), "event_type", "^err", 18_000, 3_600), out, out + "-state")
+    return _ntz(spark.read.parquet(out))
+
+
 @query(f"""WITH {_LAT}, b AS (SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
   {_SUMS}, count(*) AS n FROM lat GROUP BY 1, 2) SELECT window_start, window_end, n, {_QUANTILES} FROM b WHERE {_CLOSED}""")
 def stream_quantiles(spark, sf):

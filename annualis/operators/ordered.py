@@ -67,6 +67,27 @@ def over_blocks(df: DataFrame, keys: Sequence[str], rank: str, reach: int,
     return out.filter(F.col("_block") == F.col("_own")).drop("_own", "_block")
 
 
+def over_ranges(df: DataFrame, keys: Sequence[str], ord: str, reach: int,
+                columns: Mapping[str, "callable"], span: int = 10_000) -> DataFrame:
+    """Add columns over windows of order values, ``rangeBetween(-reach, 0)`` or less, in groups of any length.
+
+    ``ord`` is a whole number and (keys, ord) is unique. A group is cut where ``ord`` passes a multiple of ``span``; rows
+    within ``reach`` of the next cut are copied over it as context and dropped afterwards. So a window holds at most
+    ``span + reach`` rows. Rows without an order value are a block of their own.
+    """
+    if reach >= span:
+        raise ValueError("reach must be smaller than a span")
+    at = F.col(ord).cast("bigint")
+    place = F.pmod(at, F.lit(span))
+    block = (at - place) / span  # whole, and exact as a double far beyond any count of periods
+    block = block.cast("bigint")
+    targets = F.when(place >= span - reach, F.array(block, block + 1)).otherwise(F.array(block))
+    spread = df.withColumn("_own", block).withColumn("_block", F.explode(targets))
+    window = Window.partitionBy(*keys, "_block").orderBy(ord)
+    out = spread.withColumns({name: make(window) for name, make in columns.items()})
+    return out.filter(F.col("_block").eqNullSafe(F.col("_own"))).drop("_own", "_block")
+
+
 def pick_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key, the first by ``order``, as a plain aggregation with map-side combine."""
     rest = [c for c in df.columns if c not in keys]

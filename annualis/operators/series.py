@@ -2,8 +2,8 @@
 
 A series has at most one row per (entity, period) - ``quality.check_unique`` tests
 that - so the window of an entity holds no more rows than there are periods. For
-entities with any number of rows (measurements, logs) use
-``long_series_features``, which never puts a whole entity into one task.
+entities with any number of rows (measurements, logs) use ``long_series_features``
+or ``long_calendar_features``, which never put a whole entity into one task.
 """
 
 from __future__ import annotations
@@ -13,8 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from annualis.functions.scalar import rounded
-from annualis.operators.ordered import ordered_rank, over_blocks
+from annualis.functions.scalar import rounded, safe_div
+from annualis.operators.ordered import ordered_rank, over_blocks, over_ranges
 from annualis.session import attach
 
 
@@ -176,6 +176,30 @@ def calendar_features(df: DataFrame, key="area", ord="year", v="value_tonnes", r
     )
 
 
+def long_calendar_features(df: DataFrame, key="area", ord="year", v="value_tonnes", rounding: bool = True,
+                           span: int = 10_000) -> DataFrame:
+    """``calendar_features`` for entities of any length, and any number of rows per entity and period.
+
+    Rows collapse to one per (entity, period) before the shuffle; windows run on blocks of ``span`` periods. The
+    results are joined back, where an (entity, period) with very many rows is spread.
+    """
+    def digits(n):
+        return n if rounding else None
+
+    per = df.groupBy(key, ord).agg(F.max(v).alias("_v"), F.sum(v).alias("_s"), F.count(v).alias("_c"))
+    at = lambda k: lambda w: F.max("_v").over(w.rangeBetween(-k, -k))
+    recent = lambda c: lambda w: F.sum(c).over(w.rangeBetween(-4, 0))
+    wide = over_ranges(per, [key], ord, 5, {"_prev": at(1), "_base": at(5), "_sum": recent("_s"), "_count": recent("_c")}, span)
+    wide = wide.select(key, ord, "_prev", "_base", safe_div(F.col("_sum"), F.col("_count")).alias("_mean"))
+    value = F.col(v)
+    return attach(df, wide, [key, ord], "calendar", "left").select(
+        *df.columns,
+        growth_expr(value, F.col("_prev"), digits(2)).alias("yoy_growth_pct"),
+        rounded(F.col("_mean"), digits(2)).alias("ma5_tonnes"),
+        cagr_expr(value, F.col("_base"), 5, digits(2)).alias("cagr_5y_pct"),
+    )
+
+
 def entities(df: DataFrame, key="area") -> DataFrame:
     return df.select(key).distinct().orderBy(key)
 

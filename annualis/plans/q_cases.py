@@ -9,6 +9,7 @@ from annualis.operators import cleaning as C
 from annualis.operators import joins as J
 from annualis.operators import modelling as M
 from annualis.operators import quantiles as Q
+from annualis.operators import sketches as K
 from annualis.operators import scoring as P
 from annualis.operators import series as SE
 from annualis.operators import stats as S
@@ -124,6 +125,46 @@ def approx_quantile_error(spark, sf):
     return ranks.select("event_type", "q", ((F.col("low") <= F.col("q") + slack) & (F.col("high") >= F.col("q") - slack)).alias("within"))
 
 
+def _day_sketches(spark, sf):
+    """Sketches of event values by type and day, of which some days are loaded once more."""
+    path = scratch_path(spark, "sketches")
+    ev = V.events(spark, sf).select("event_type", F.dayofmonth("ts").alias("day"), F.col("value").alias("v"))
+    K.store_sketches(ev, path, ["event_type"], "day", "v")
+    K.store_sketches(ev.filter("day in (9, 10, 11)"), path, ["event_type"], "day", "v")
+    return K.merged(spark, path, ["event_type"], "day", 10, 20), ev.filter("day between 10 and 20")
+
+
+@query("""SELECT event_type, unnest([0.01e0, 0.25e0, 0.5e0, 0.75e0, 0.99e0]) AS q, n, true AS within FROM (
+  SELECT event_type, count(*) AS n FROM events WHERE day(ts) BETWEEN 10 AND 20 GROUP BY 1)""")
+def stored_sketch_quantiles(spark, sf):
+    """Quantiles of eleven days from stored sketches alone; their ranks among those days' rows are close to the wanted ones."""
+    sketches, rows = _day_sketches(spark, sf)
+    found = stored(K.sketch_quantiles(sketches, ["event_type"], [0.01, 0.25, 0.5, 0.75, 0.99]), "of-sketches")
+    share = lambda c: F.avg(c.cast("double"))
+    ranks = rows.join(found, "event_type").groupBy("event_type", "q", "n").agg(
+        share(F.col("v") < F.col("value")).alias("low"), share(F.col("v") <= F.col("value")).alias("high"))
+    slack = F.lit(2 * K.rank_error()) + F.lit(1.0) / F.col("n")
+    return ranks.select("event_type", "q", "n", ((F.col("low") <= F.col("q") + slack) & (F.col("high") >= F.col("q") - slack)).alias("within"))
+
+
+@query("""SELECT event_type, count(*) AS n, true AS quartiles, true AS outliers FROM events WHERE day(ts) BETWEEN 10 AND 20 GROUP BY 1""")
+def stored_sketch_boxes(spark, sf):
+    """Box plots from stored sketches: ranks of the quartiles and the number of outliers against the rows."""
+    sketches, rows = _day_sketches(spark, sf)
+    boxes = stored(K.sketch_boxes(sketches, ["event_type"]), "boxes")
+    v = F.col("v")
+    within = [F.count_if(v < F.col(c)).alias(f"_{c}_low") for c in ("q1", "median", "q3")]
+    within += [F.count_if(v <= F.col(c)).alias(f"_{c}_high") for c in ("q1", "median", "q3")]
+    outside = F.count_if((v < F.col("fence_low")) | (v > F.col("fence_high"))).alias("_outside")
+    seen = rows.join(boxes, "event_type").groupBy("event_type", "n", F.col("outliers").alias("_guess")).agg(*within, outside)
+    slack = F.lit(2 * K.rank_error()) * F.col("n") + 1
+    ok = F.lit(True)
+    for c, q in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
+        ok = ok & (F.col(f"_{c}_low") <= q * F.col("n") + slack) & (F.col(f"_{c}_high") >= q * F.col("n") - slack)
+    close = F.abs(F.col("_outside") - F.col("_guess")) <= 2 * slack
+    return seen.select("event_type", "n", ok.alias("quartiles"), close.alias("outliers"))
+
+
 @query("SELECT CAST(199 AS BIGINT) AS points, true AS within, true AS rising FROM (SELECT count(*) FROM lineitem)")
 def qq_grid_error(spark, sf):
     """Every twentieth point's rank is within n / accuracy of the wanted one, and the points rise."""

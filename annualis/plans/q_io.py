@@ -14,7 +14,7 @@ from annualis.plans.q_cleaning import CLEAN, dirty_series
 from annualis.plans.q_joins import SCORED, formula_model
 from annualis.schemas import CONFIDENCE, MODEL_NAME
 from annualis.session import scratch_path
-from annualis.sources import readers, sinks
+from annualis.sources import key_index, readers, sinks
 
 
 def _year(df):
@@ -81,6 +81,38 @@ def idempotent_append(spark, sf):
     return spark.read.parquet(path)
 
 
+def _orders_by_year(spark, sf):
+    return V.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", F.year("o_orderdate").alias("year"))
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice, CAST(year(o_orderdate) AS BIGINT) AS year FROM orders")
+def indexed_append(spark, sf):
+    """Loads that overlap, into a table whose key index says which years must be read."""
+    orders = _orders_by_year(spark, sf)
+    table = key_index.indexed_table(orders, scratch_path(spark, "indexed"), ["o_orderkey"], "year")
+    for load in (orders.filter("year < 1997"), orders.filter("year between 1995 and 1997"), orders):
+        key_index.append_indexed(load, table)
+    return _year(key_index.read_rows(spark, table))
+
+
+@query("""SELECT CAST(year(o_orderdate) AS BIGINT) AS year, count(*) FILTER (year(o_orderdate) >= 1996) AS held, true AS all_asked, true AS few_more
+FROM orders WHERE year(o_orderdate) < 1998 GROUP BY 1""")
+def indexed_append_reads(spark, sf):
+    """Keys the index asks for in each year's folder: all that are held there, and few others."""
+    orders = _orders_by_year(spark, sf)
+    table = key_index.indexed_table(orders, scratch_path(spark, "indexed"), ["o_orderkey"], "year")
+    key_index.append_indexed(orders.filter("year < 1998"), table)
+    load = orders.filter("year >= 1996")
+    asked = key_index.may_hold(spark, table, load.select("o_orderkey")).select("o_orderkey", F.col("_part").alias("year"))
+    held = key_index.read_rows(spark, table).select("o_orderkey", "year").join(
+        load.select(F.col("o_orderkey").alias("_key")), F.col("o_orderkey") == F.col("_key"), "left")
+    both = held.join(asked.withColumn("_asked", F.lit(True)), ["o_orderkey", "year"], "full")
+    wanted, hit = F.col("_key").isNotNull(), F.col("_asked").isNotNull()
+    counts = both.groupBy("year").agg(F.count_if(wanted).alias("held"), F.count_if(wanted & hit).alias("_found"), F.count_if(~wanted & hit).alias("_more"))
+    few = F.col("_more") <= 5 + 0.001 * load.count()
+    return counts.select(F.col("year").cast("bigint"), "held", (F.col("_found") == F.col("held")).alias("all_asked"), few.alias("few_more"))
+
+
 @query(ORACLE["forecast_trend"].replace("SELECT area, CAST(year AS BIGINT) AS year, strftime", "SELECT area, strftime"))
 def forecast_documents(spark, sf):
     """Forecasts as JSON documents per entity, read back whole."""

@@ -87,6 +87,21 @@ def series_calendar(spark, sf):
     return _year(V.round_features(S.calendar_features(V.customer_series(spark, sf), rounding=False)))
 
 
+@query(f"""WITH e AS (SELECT event_type AS area, event_id, CAST(epoch(date_trunc('hour', ts)) AS BIGINT) // 3600 AS hour,
+  CAST(floor(value * 100e0 + 0.5e0) AS DOUBLE) AS v FROM events),
+w AS (SELECT *, max(v) OVER (PARTITION BY area ORDER BY hour RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING) AS prev,
+  max(v) OVER (PARTITION BY area ORDER BY hour RANGE BETWEEN 5 PRECEDING AND 5 PRECEDING) AS base,
+  avg(v) OVER (PARTITION BY area ORDER BY hour RANGE BETWEEN 4 PRECEDING AND CURRENT ROW) AS mean FROM e)
+SELECT area, event_id, hour, v, {sql_round('(CASE WHEN prev <> 0 THEN (v - prev) / prev * 100e0 END)', 2)} AS yoy_growth_pct,
+  {sql_round('mean', 2)} AS ma5_tonnes,
+  {sql_round('(CASE WHEN base > 0 THEN (pow(v / base, 0.2e0) - 1e0) * 100e0 END)', 2)} AS cagr_5y_pct FROM w""")
+def long_calendar(spark, sf):
+    """Features by the hour over events, many to an hour; blocks of 100 hours."""
+    hour = (F.unix_seconds(F.date_trunc("hour", "ts")) / 3600).cast("bigint")
+    ev = V.events(spark, sf).select(F.col("event_type").alias("area"), "event_id", hour.alias("hour"), V.cents("value").cast("double").alias("v"))
+    return V.round_features(S.long_calendar_features(ev, "area", "hour", "v", rounding=False, span=100))
+
+
 @query(f"""WITH {V.CUSTOMER_SERIES}, ends AS (SELECT area, min(year) AS a, max(year) AS b FROM customer_series GROUP BY 1),
 axis AS (SELECT area, CAST(unnest(range(a, b + 1)) AS BIGINT) AS year FROM ends)
 SELECT axis.area, axis.year, value_tonnes FROM axis LEFT JOIN customer_series c ON c.area = axis.area AND c.year = axis.year""")

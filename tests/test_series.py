@@ -133,3 +133,16 @@ def test_long_features_equal_pandas(skewed, block_rows):
                               ("normalized", "norm", 0.00006)):
         assert (got[ours].isna() == want[theirs].isna()).all()
         assert np.nanmax(np.abs(got[ours] - want[theirs])) <= tol
+
+
+def test_calendar_features_of_long_entities_equal_those_in_one_window(spark, rows):
+    hot = spark.range(3_000).selectExpr("if(id % 3 = 0, 'hot', concat('e', id % 7)) AS area",
+                                        "cast((id * 37) % 1009 - 500 as int) AS year", "cast((id * 31) % 97 as double) AS value_tonnes", "id")
+    more = spark.createDataFrame([("hot", 7, None, -1), ("hot", None, 5.0, -2), (None, 7, 2.0, -3), (None, 8, 4.0, -4)],
+                                 "area string, year int, value_tonnes double, id long")
+    df = hot.union(more)
+    for span in (6, 64, 10_000):
+        assert rows(S.long_calendar_features(df, span=span)) == rows(S.calendar_features(df))
+    with pytest.raises(ValueError):
+        S.long_calendar_features(df, span=5)
+    assert S.long_calendar_features(df.limit(0)).count() == 0

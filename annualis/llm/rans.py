@@ -15,7 +15,7 @@ import unicodedata
 import zlib
 from array import array
 from functools import lru_cache
-from itertools import islice
+from itertools import compress, islice
 
 import numpy as np
 import pandas as pd
@@ -44,7 +44,11 @@ class Table:
         self.symbols = symbols.astype(np.int64)
         self.frequency = frequencies.astype(np.uint64)
         self.before = np.cumsum(self.frequency) - self.frequency
-        self.slot = np.repeat(np.arange(len(symbols)), frequencies)
+        self.slot = np.repeat(np.arange(len(symbols), dtype=np.int32), frequencies)
+        self.place = None
+        if len(symbols) and self.symbols[-1] < 1 << SCALE:
+            self.place = np.zeros(int(self.symbols[-1]) + 1, np.int32)
+            self.place[self.symbols] = np.arange(len(symbols))
 
     @classmethod
     def of_counts(cls, symbols: np.ndarray, counts: np.ndarray) -> Table:
@@ -69,7 +73,7 @@ class Table:
         return cls(symbols, scaled)
 
     def index(self, ids: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.symbols, ids)
+        return np.searchsorted(self.symbols, ids) if self.place is None else self.place[ids]
 
 
 def encode_block(ids: np.ndarray, table: Table) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
@@ -201,14 +205,14 @@ class WordTokenizer:
         """Learn stretches, plain ones from their runs."""
         listed = list(new)
         texts = b" ".join(listed).decode("utf-8", "replace").lower()
-        if OTHER.search(texts):
-            own = [w.decode("utf-8", "replace") for w in listed]
-            odd = [w for w, t in zip(listed, own) if OTHER.search(t)]
-            self._learn(odd)
-            gone = set(odd)
-            listed = [w for w in listed if w not in gone]
-            texts = b" ".join(listed).decode("utf-8", "replace").lower()
         words = texts.split(" ")
+        found = [m.start() for m in OTHER.finditer(texts)]
+        if found:
+            ends = np.cumsum([len(t) + 1 for t in words])
+            plain = np.ones(len(words), bool)
+            plain[np.searchsorted(ends, found, side="right")] = False
+            self._learn(list(compress(listed, ~plain)))
+            listed, words = list(compress(listed, plain)), list(compress(words, plain))
         whole = [t.isalpha() for t in words]  # most stretches are one run
         parts = [RUNS.findall(t) for t, one in zip(words, whole) if not one]
         runs = {t for t, one in zip(words, whole) if one}.union(*parts)
@@ -380,21 +384,25 @@ def _decode_parts(symbols: np.ndarray, frequencies: np.ndarray, before: dict[int
                 data, sizes = ids.astype("<u4"), np.frombuffer(r.doc_sizes, np.int32).astype(np.int64)
                 starts = np.cumsum(sizes) - sizes
                 nulls, doc_ids = np.frombuffer(r.doc_nulls, bool), np.frombuffer(r.doc_ids, np.int64)
+                border = np.zeros(len(sizes), bool)
+                border[[0, -1]] = True
                 yield pd.DataFrame({
                     "part": r.part, "doc": r.first_doc + np.arange(len(sizes)),
-                    "doc_id": pd.Series(doc_ids, dtype="Int64").mask(nulls), "start": before[r.part] + r.first + starts, "n": sizes,
+                    "doc_id": pd.Series(doc_ids, dtype="Int64").mask(nulls), "start": before[r.part] + r.first + starts, "n": sizes, "border": border,
                     "crc": [zlib.crc32(data[a:a + k].tobytes()) for a, k in zip(starts, sizes)]})
 
     return run
 
 
-def _joined_crcs(parts: pd.Series) -> pd.Series:
+def _joined_crcs(first: pd.Series, parts: pd.Series) -> pd.Series:
+    """Checksums of documents, from that of the only part or from all parts, where there are more."""
     out = []
-    for own in parts:
-        own = sorted(own, key=lambda p: p["start"]) if len(own) > 1 else own
-        crc = own[0]["crc"]
-        for p in own[1:]:
-            crc = joined_crc(crc, p["crc"], 4 * p["n"])
+    for crc, own in zip(first, parts):
+        if len(own) > 1:
+            own = sorted(own, key=lambda p: p["start"])
+            crc = own[0]["crc"]
+            for p in own[1:]:
+                crc = joined_crc(crc, p["crc"], 4 * p["n"])
         out.append(crc)
     return pd.Series(out, dtype="int64")
 
@@ -402,7 +410,7 @@ def _joined_crcs(parts: pd.Series) -> pd.Series:
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document in the files under ``path``.
 
-    Blocks are decoded apart from each other; a document in several blocks is joined from their checksums.
+    Blocks are decoded apart from each other; a document in several blocks, first or last in each, is joined from their checksums.
     """
     rows = spark.read.parquet(f"{path}/table").collect()
     rows.sort(key=lambda r: r["symbol"])
@@ -412,11 +420,11 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     for r in sorted(blocks.groupBy("part").agg(F.sum("n").alias("n")).collect(), key=lambda r: r["part"]):
         before[r["part"]] = total
         total += r["n"]
-    found = blocks.mapInPandas(_decode_parts(symbols, frequencies, before), "part int, doc long, doc_id long, start long, n long, crc long")
+    found = blocks.mapInPandas(_decode_parts(symbols, frequencies, before), "part int, doc long, doc_id long, start long, n long, border boolean, crc long")
     join_crcs = F.pandas_udf(_joined_crcs, "long")
     docs = found.groupBy("part", "doc").agg(F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.sum("n").alias("n_tokens"),
-                                            F.collect_list(F.struct("start", "n", "crc")).alias("parts"))
-    return docs.select("doc_id", "start", "n_tokens", join_crcs("parts").alias("ids_crc32"))
+                                            F.first("crc").alias("crc"), F.collect_list(F.when(F.col("border"), F.struct("start", "n", "crc"))).alias("parts"))
+    return docs.select("doc_id", "start", "n_tokens", join_crcs("crc", "parts").alias("ids_crc32"))
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:

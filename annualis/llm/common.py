@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from annualis.session import stored
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 LINK_ROUNDS = 200  # far above the logarithm of any graph's size; reaching it raises
 
 
@@ -25,6 +26,17 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stored_once(df: DataFrame, label: str = "step") -> DataFrame:
+    """``stored`` for a plan that no one runs again: its shuffle files are removed when the table is written."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEAN_UP)
+    conf.set(CLEAN_UP, "true")
+    try:
+        return stored(df, label)
+    finally:
+        conf.set(CLEAN_UP, before)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` doesn't have."""
     taken = {c.lower() for c in df.columns}

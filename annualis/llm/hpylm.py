@@ -21,17 +21,16 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annualis.llm.common import array_row, pieces, sum_arrays, tidy, utf8
+from annualis.llm.common import array_row, pieces, stored_once, sum_arrays, tidy, utf8
 from annualis.llm.tokens import WHITE, joined, word_hashes
 from annualis.llm.toxicity import held_out_fold
-from annualis.session import stored
 
 RESTAURANTS = 1 << 16  # restaurants of a part that 16 bits tell apart; its types keep their upper bits by the contexts
 STRENGTH, ROOT_STRENGTH = 1.0, 1.0
 SWEEPS, BURN_IN = 4, 2
 SINGLY = 16  # customers of a dish that sit down one by one; later ones in groups of a sixteenth of those seated
 HOT_SHARE, SEEN_SHARE = 4_096, 8_192
-PART_TOKENS = 1_300_000
+PART_TOKENS = 800_000
 BYTES = 2 << 20
 FINE = 1e7  # scores are summed over parts as whole multiples of 1 / FINE, so their order doesn't matter
 MANY_BUCKETS, PARTS_A_BUCKET = 512, 4  # contexts meet in as many buckets as there are parts; beyond 512, in one for four parts
@@ -127,16 +126,21 @@ def _deal(hot: np.ndarray, parts: int):
                 trains = ~batch["held_out"].to_numpy(bool)
                 doc = np.repeat(np.arange(len(texts)), counts)
                 part = part_of(tokens, contexts[before], hot, parts)
-                order = np.argsort(part << 32 | word, kind="stable")
+                key = (part * len(names) + word) * (len(names) + 1) + before
+                order = np.argsort(key, kind="stable") if parts * (len(names) + 1) ** 2 < 1 << 63 else np.lexsort((before, word, part))
                 word, before, part = word[order], before[order], part[order]
                 marked = (2 * doc + trains[doc])[order].astype(np.uint32)
+                # Uses of a word after the same word in one document are one entry.
+                entry = np.flatnonzero((np.diff(word, prepend=-1) != 0) | (np.diff(before, prepend=-1) != 0) | (np.diff(marked.astype(np.int64), prepend=-1) != 0))
+                times = np.diff(entry, append=len(word)).astype(np.uint32)
+                word, before, part, marked = word[entry], before[entry], part[entry], marked[entry]
                 cuts = np.flatnonzero(np.diff(part, prepend=-1))
                 out = []
                 for a, b in zip(cuts, [*cuts[1:], len(part)]):
                     head = np.flatnonzero(np.diff(word[a:b], prepend=-1))
                     some, room = np.unique(before[a:b], return_inverse=True)
                     out.append((int(part[a]), base, "tokens", 0, _squeeze(contexts[some]), None, _squeeze(
-                        names[word[a:b][head]], np.diff(head, append=b - a).astype(np.uint32), room.astype(np.uint32), marked[a:b])))
+                        names[word[a:b][head]], np.diff(head, append=b - a).astype(np.uint32), room.astype(np.uint32), marked[a:b], times[a:b])))
                 ids = batch["doc_id"].astype("Int64")
                 bucket = rows >> BUCKET
                 for k in np.unique(bucket):
@@ -148,10 +152,10 @@ def _deal(hot: np.ndarray, parts: int):
     return run
 
 
-TOKENS = (np.uint64, np.uint32, np.uint32, np.uint32)
+TOKENS = (np.uint64, np.uint32, np.uint32, np.uint32, np.uint32)
 TYPES = (np.uint64, np.uint32, np.uint16, np.uint32)
 WHOLE = (np.int64, np.uint16)  # a part's contexts in each bucket, and the upper bits of its types' rooms
-USES = (np.uint32, np.int64, np.uint32)
+USES = (np.uint32, np.int64, np.uint32, np.uint32)  # entries of each type, rows of documents, those of the entries, uses in each
 
 
 def _sent(part: int, step: int, whole: bytes, buckets: int, tables: np.ndarray, *first: np.ndarray) -> list[tuple]:
@@ -194,7 +198,8 @@ def _gather(hot: np.ndarray, buckets: int):
         rooms = number[at[np.concatenate([b + f[2] for b, f in zip(begin, fields)])]]
         known, at, _ = _unique([f[0] for f in fields])
         word = np.repeat(at.astype(np.uint32), np.concatenate([f[1] for f in fields]))
-        trains = np.concatenate([f[3] & 1 for f in fields])
+        times = np.concatenate([f[4] for f in fields])
+        trains = np.concatenate([f[3] & 1 for f in fields]) * times
         documents, docs = _documents(frame["bucket"].to_numpy(), [f[3] >> 1 for f in fields])
         del fields, begin
         key = word.astype(np.uint64) << np.uint64(32) | rooms
@@ -206,7 +211,7 @@ def _gather(hot: np.ndarray, buckets: int):
         rooms = rooms[by[head]]
         types = _squeeze(known, np.bincount(word[by[head]], minlength=len(known)).astype(np.uint32),
                          (rooms % RESTAURANTS).astype(np.uint16), customers.astype(np.uint32))
-        uses = _squeeze(np.diff(head, append=len(by)).astype(np.uint32), documents, docs[by].astype(np.uint32))
+        uses = _squeeze(np.diff(head, append=len(by)).astype(np.uint32), documents, docs[by].astype(np.uint32), times[by])
         whole = _squeeze(np.bincount(bucket, minlength=buckets), (rooms // RESTAURANTS).astype(np.uint16))
         cells = Cells(types, Plan(hot, np.zeros(len(hot)), np.zeros(len(contexts)), 0, 0, 0, 0), part, whole)
         seated = np.bincount(cells.rooms, cells.customers, len(contexts)).astype(np.uint32)
@@ -407,7 +412,7 @@ def _totals(rows: DataFrame) -> np.ndarray | None:
 def _exchanged(rows: DataFrame, index: DataFrame) -> DataFrame:
     """The tables of each part's restaurants over all parts."""
     sent = rows.filter("kind = 'sent'").withColumn("contexts", F.lit(None).cast("binary"))
-    return stored(sent.unionAll(index).groupBy("bucket").applyInPandas(tidy(_meet), ROWS), "met")
+    return stored_once(sent.unionAll(index).groupBy("bucket").applyInPandas(tidy(_meet), ROWS), "met")
 
 
 def make_plan(total: np.ndarray | None, hot: np.ndarray) -> Plan:
@@ -446,8 +451,8 @@ def _score(plan: Plan):
         counts[cells.is_hot] = plan.hot_uses[cells.hot_at]
         base = np.log10((counts + 0.5) / (plan.tokens + 0.5 * (plan.words + 1)))[cells.word]
         score, known = np.log10(chance / len(seatings)), (counts > 0)[cells.word]
-        times, rows, doc = _expand(own["uses"], *USES)
-        sums = [np.rint(np.bincount(doc, np.repeat(x, times), len(rows))).astype(np.int64) for x in (known, -base * FINE, -score * FINE)]
+        entries, rows, doc, times = _expand(own["uses"], *USES)
+        sums = [np.rint(np.bincount(doc, np.repeat(x, entries) * times, len(rows))).astype(np.int64) for x in (known, -base * FINE, -score * FINE)]
         bucket = rows >> BUCKET
         cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
         return pd.DataFrame([(cells.part, int(bucket[a]), "sums", 0, None, None, _squeeze((rows[a:b] & LOW).astype(np.uint16), *[s[a:b] for s in sums]))
@@ -489,16 +494,16 @@ def score_documents(docs: DataFrame, fold: int = 1, sweeps: int = SWEEPS, burn_i
     hot = np.sort(np.array([r["word"] for r in frequent], np.int64).view(np.uint64))
     parts = max(1, -(-total // PART_TOKENS))
     buckets = max(min(parts, MANY_BUCKETS), parts // PARTS_A_BUCKET)
-    dealt = stored(text.mapInPandas(tidy(_deal(hot, parts)), ROWS).groupBy("part").applyInPandas(tidy(_gather(hot, buckets)), ROWS), "dealt")
+    dealt = stored_once(text.mapInPandas(tidy(_deal(hot, parts)), ROWS).groupBy("part").applyInPandas(tidy(_gather(hot, buckets)), ROWS), "dealt")
     cells, first = dealt.filter("kind = 'cells'"), dealt.filter("kind = 'state'")
     lean = cells.withColumn("uses", F.lit(None).cast("binary"))
     plan = make_plan(_totals(dealt), hot)
-    indexed = stored(dealt.filter("kind = 'sent'").groupBy("bucket").applyInPandas(tidy(_index), ROWS), "indexed")
+    indexed = stored_once(dealt.filter("kind = 'sent'").groupBy("bucket").applyInPandas(tidy(_index), ROWS), "indexed")
     index, seated = indexed.filter("kind = 'index'"), indexed.filter("kind = 'seated'")
     seatings, met = [first], [_exchanged(dealt, index)]
     for _ in range(sweeps if plan.tokens else 0):
         rows = lean.unionAll(seatings[-1]).unionAll(met[-1])
-        moved = stored(rows.groupBy("part").applyInPandas(tidy(_swept(plan, buckets)), ROWS), "moved")
+        moved = stored_once(rows.groupBy("part").applyInPandas(tidy(_swept(plan, buckets)), ROWS), "moved")
         plan.states.append(next_state(moved, plan))
         seatings.append(moved.filter("kind = 'state'"))
         met.append(_exchanged(moved, index))

@@ -126,11 +126,10 @@ def _deal(hot: np.ndarray, parts: int):
                 trains = ~batch["held_out"].to_numpy(bool)
                 doc = np.repeat(np.arange(len(texts)), counts)
                 part = part_of(tokens, contexts[before], hot, parts)
-                key = (part * len(names) + word) * (len(names) + 1) + before
-                order = np.argsort(key, kind="stable") if parts * (len(names) + 1) ** 2 < 1 << 63 else np.lexsort((before, word, part))
+                order = np.argsort(part << 32 | word, kind="stable")
                 word, before, part = word[order], before[order], part[order]
                 marked = (2 * doc + trains[doc])[order].astype(np.uint32)
-                # Uses of a word after the same word in one document are one entry.
+                # Uses of a word one after the other, with the same word before and in one document, are one entry.
                 entry = np.flatnonzero((np.diff(word, prepend=-1) != 0) | (np.diff(before, prepend=-1) != 0) | (np.diff(marked.astype(np.int64), prepend=-1) != 0))
                 times = np.diff(entry, append=len(word)).astype(np.uint32)
                 word, before, part, marked = word[entry], before[entry], part[entry], marked[entry]

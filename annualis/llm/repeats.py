@@ -7,7 +7,11 @@ occurrences differ in the byte before them is a maximal repeat group (within the
 
 Three passes read the texts. The first finds anchors that occur in more than one text, the second
 sends the stretches around them, the third applies what was found. Equal texts travel once for
-a batch, and equal stretches once for a block of texts, so neither copies nor common lines gather.
+a batch, and equal stretches once for a block of texts, so neither copies nor common lines gather. An anchor
+with more than ``HOT`` distinct stretches is common, but its surroundings differ: its stretches are cut into single spans,
+which are dealt by all their bytes, if they occur twice. What is left to one task is a row of a span for each block.
+
+``repeat_groups.py`` puts the repeats together to maximal ones of any length, with all their occurrences.
 """
 
 from __future__ import annotations
@@ -21,8 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annualis.llm.common import tidy
-from annualis.session import stored
+from annualis.llm.common import stored_once, tidy
 
 SPAN = 50
 GRAM = 16
@@ -30,7 +33,10 @@ WINDOWS = SPAN - GRAM + 1  # grams in a span
 BLOCK_BYTES = 4 << 20  # texts that one task holds
 PIECE = 1 << 20  # bytes whose anchors are found at a time
 BATCH_ROWS = 2_000
+HOT = 1 << 14  # distinct stretches with one anchor that may meet in a task
+NEVER = 1 << 62
 NO_ID = (1 << 63) - 1  # a null doc_id counts as larger than any other
+SIDE = 9  # bits of a byte beside a stretch
 PLACE = np.uint64((1 << 24) - 1)
 HASH_BITS = np.uint64((1 << 40) - 1)
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -106,36 +112,94 @@ class Block:
         self.begin, self.count, self.hash = join(begins, np.int64), join(counts, np.int64), join(hashes, np.uint64)
         self.text = np.searchsorted(self.ends, self.begin, side="right")
 
-    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of the block's anchors, and those of them that occur in two of its texts."""
-        pairs = np.unique(np.stack([self.hash & HASH_BITS, self.text.astype(np.uint64)]), axis=1) if len(self.hash) else np.zeros((2, 0), np.uint64)
-        found, n = np.unique(pairs[0], return_counts=True)
-        return found, found[n > 1]
-
-    def stretches(self, shared: np.ndarray) -> None:
-        """Keep the runs with a shared anchor and number their distinct stretches of text."""
+    def anchors(self, within: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes of the block's anchors, distinct stretches of each, and the anchors that occur in two of its texts.
+
+        With ``within`` two places in one text are enough.
+        """
+        anchor = self.hash & HASH_BITS
+        order = np.lexsort((self.text, anchor))
+        ordered = anchor[order]
+        new = np.diff(ordered, prepend=~ordered[:1]) != 0
+        which, found = np.cumsum(new) - 1, ordered[new]
+        again = ~new if within else ~new & (np.diff(self.text[order], prepend=-1) != 0)
+        several = np.bincount(which)[which] > 1
+        run = order[several]
+        first, _ = distinct(which[several].astype(np.uint64), stretch_key(_words(self.data), self.begin[run], self.count[run]))
+        return found, np.maximum(1, np.bincount(which[several][first], minlength=len(found))), found[np.unique(which[again])]
+
+    def _sides(self) -> np.ndarray:
+        """The bytes before and after each stretch, plus one and 0 at the ends of its text, in one number."""
+        end, stop = self.ends[self.text], self.begin + self.count + SPAN - 1
+        left = np.where(self.begin > end - self.sizes[self.text], self.data[np.maximum(self.begin - 1, 0)].astype(np.int64) + 1, 0)
+        right = np.where(stop < end, self.data[np.minimum(stop, len(self.data) - 1)].astype(np.int64) + 1, 0)
+        return left << SIDE | right
+
+    def stretches(self, shared: np.ndarray, sides: bool = False) -> None:
+        """Keep the runs with a shared anchor and number their distinct stretches of text.
+
+        ``facts`` of each are its smallest and largest id; with ``sides``, where it differs by the bytes beside it too, how often
+        it occurs and these bytes.
+        """
         keep = np.isin(self.hash & HASH_BITS, shared)
         self.begin, self.count, self.hash, self.text = self.begin[keep], self.count[keep], self.hash[keep], self.text[keep]
-        last = self.begin + self.count - 1
-        key = self.count.astype(np.uint64) * MIX[2] + self._span_hash(self.begin) * MIX[0] + self._span_hash(last)
-        self.key, self.first, self.stretch = np.unique(_stir(key), return_index=True, return_inverse=True)
+        side = self._sides() if sides else np.zeros(len(self.begin), np.int64)
+        self.first, self.stretch = distinct(*stretch_keys(_words(self.data), self.begin, self.count, side))
+        if sides:
+            self.facts = np.bincount(self.stretch, minlength=len(self.first)), side[self.first]
+            return
         ids = self.ids[self.text]
-        self.lowest = np.full(len(self.key), NO_ID)
-        np.minimum.at(self.lowest, self.stretch, ids)
-        self.highest = np.full(len(self.key), -NO_ID)
-        np.maximum.at(self.highest, self.stretch, ids)
-
-    def _span_hash(self, at: np.ndarray) -> np.ndarray:
-        return span_hash(_words(self.data), at)
+        lowest, highest = np.full(len(self.first), NO_ID), np.full(len(self.first), -NO_ID)
+        np.minimum.at(lowest, self.stretch, ids)
+        np.maximum.at(highest, self.stretch, ids)
+        self.facts = lowest, highest
+
+    def placed(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(run, first span, spans, value) of what was found of the stretches, for every run that has one."""
+        if not found:
+            return (np.zeros(0, np.int64),) * 4
+        fields = []
+        for data in found:
+            raw = _expand(data)
+            n = int(np.frombuffer(raw, np.int64, 1)[0])
+            fields.append(np.frombuffer(raw, np.int64, 4 * n, 8).reshape(4, n))
+        number, offset, size, value = np.concatenate(fields, axis=1)
+        order = np.argsort(self.stretch, kind="stable")
+        start = np.searchsorted(self.stretch[order], np.arange(len(self.first) + 1))
+        times = np.diff(start)[number]
+        run, of = order[ranges(start[number], times)], np.repeat(np.arange(len(number)), times)
+        return run, self.begin[run] + offset[of], size[of], value[of]
 
 
-def span_hash(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+def span_hash(words: np.ndarray, at: np.ndarray, turn: int = 0) -> np.ndarray:
+    """Hash of the span at each place; another ``turn`` gives another hash."""
     out = np.zeros(len(at), np.uint64)
     for k, step in enumerate((0, 8, 16, 24, 32, 40, SPAN - 8)):
-        out = _stir(out * MIX[6] + words[at + step] * MIX[k])
+        out = _stir(out * MIX[6] + words[at + step] * MIX[(k + turn) % len(MIX)])
     return out
 
 
+def stretch_key(words: np.ndarray, begin: np.ndarray, count: np.ndarray, side: np.ndarray | int = 0, turn: int = 0) -> np.ndarray:
+    """Hash of each stretch, by its first and last span, how many it has and what is beside it."""
+    size = (side << 8 | count).astype(np.uint64)
+    return _stir(size * MIX[2] + span_hash(words, begin, turn) * MIX[0] + span_hash(words, begin + count - 1, turn))
+
+
+def stretch_keys(words: np.ndarray, begin: np.ndarray, count: np.ndarray, side: np.ndarray | int = 0) -> list[np.ndarray]:
+    """Two hashes, as equal stretches are told by 128 bits."""
+    return [stretch_key(words, begin, count, side, turn) for turn in (0, 1)]
+
+
+def distinct(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each different pair comes first, and which of these each pair is."""
+    order = np.lexsort((two, one))
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(one[order]) != 0) | (np.diff(two[order]) != 0)
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return order[new], which
+
+
 def suffix_array(data: np.ndarray, starts: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of the suffixes at ``starts``, each ``left`` bytes long, and the common prefix with the one before.
 
@@ -275,106 +339,170 @@ def _by_part(values: np.ndarray, parts: int):
         yield int(part[order[a]]), order[a:b]
 
 
-def _find_anchors(parts: int):
+def _numbers(frame: pd.DataFrame, kind: str) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(_expand(d), np.uint64) for d in _of(frame, kind)]])
+
+
+def _anchor_rows(block: int, found: np.ndarray, stretches: np.ndarray, twice: np.ndarray, parts: int) -> pd.DataFrame:
+    rows = [(block, "anchors", p, _squeeze(np.diff(found[at], prepend=np.uint64(0)), stretches[at].astype(np.uint64))) for p, at in _by_part(found, parts)]
+    return _rows([*rows, (block, "shared", 0, _squeeze(twice))])
+
+
+def _find_anchors(parts: int, sides: bool):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        number = int(frame["block"].iloc[0])
-        found, twice = Block(_of(frame, "text")).anchors()
-        rows = [(number, "anchors", p, _squeeze(np.diff(found[at], prepend=np.uint64(0)))) for p, at in _by_part(found, parts)]
-        return _rows([*rows, (number, "shared", 0, _squeeze(twice))])
+        return _anchor_rows(int(frame["block"].iloc[0]), *Block(_of(frame, "text")).anchors(within=sides), parts)
 
     return run
 
 
-def _shared_anchors(frame: pd.DataFrame) -> pd.DataFrame:
-    """Of one part of the hashes, those that occur in more than one block, for each block."""
-    sets = [np.cumsum(np.frombuffer(_expand(d), np.uint64), dtype=np.uint64) for d in frame["data"]]
-    found, n = np.unique(np.concatenate(sets), return_counts=True)
-    many = found[n > 1]
-    rows = [(b, "shared", 0, s[np.isin(s, many, assume_unique=True)]) for b, s in zip(frame["block"], sets)]
-    return _rows([(b, k, p, _squeeze(s)) for b, k, p, s in rows if len(s)])
+def _shared_anchors(hot: int):
+    """Of one part of the hashes, those that occur in more than one block, and those with over ``hot`` stretches, for each block."""
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        fields = [np.frombuffer(_expand(d), np.uint64).reshape(2, -1) for d in frame["data"]]
+        sets = [np.cumsum(f[0], dtype=np.uint64) for f in fields]
+        found, which, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        many, common = found[n > 1], found[np.bincount(which, np.concatenate([f[1] for f in fields])) > hot]
+        rows = [(b, kind, s[np.isin(s, chosen, assume_unique=True)]) for b, s in zip(frame["block"], sets) for kind, chosen in (("shared", many), ("hot", common))]
+        return _rows([(b, kind, 0, _squeeze(s)) for b, kind, s in rows if len(s)])
+
+    return run
 
 
-def _block(frame: pd.DataFrame) -> Block:
+def _block(frame: pd.DataFrame, sides: bool = False) -> Block:
     block = Block(_of(frame, "text"))
-    block.stretches(np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(_expand(d), np.uint64) for d in _of(frame, "shared")]]))
+    block.stretches(_numbers(frame, "shared"), sides)
     return block
 
 
-def _send_stretches(parts: int):
+def _pack_stretches(number, skip, facts, count, data) -> bytes:
+    """Stretches of a block: their numbers, spans of them left out before, two facts, spans, and bytes end to end."""
+    return _squeeze(np.array([len(number)], np.int64), *[np.asarray(a).astype(np.int64) for a in (number, skip, *facts, count)], data)
+
+
+def read_stretches(blobs) -> tuple[list[int], list[np.ndarray], np.ndarray]:
+    """How many stretches each blob has, (number, skip, fact, fact, count, begin) of all, and their bytes."""
+    sizes, fields, data = [], [], []
+    for raw in map(_expand, blobs):
+        n = int(np.frombuffer(raw, np.int64, 1)[0])
+        sizes.append(n)
+        fields.append(np.frombuffer(raw, np.int64, 5 * n, 8).reshape(5, n))
+        data.append(np.frombuffer(raw, np.uint8, -1, 8 + 40 * n))
+    fields = list(np.concatenate(fields, axis=1))
+    reach = fields[4] + SPAN - 1
+    return sizes, [*fields, np.cumsum(reach) - reach], np.concatenate(data)
+
+
+def _send_stretches(parts: int, sides: bool):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        texts = _of(frame, "text")
-        block, rows = (_block(frame) if texts else None), []
-        if block is not None:
+        rows = []
+        if _of(frame, "text"):
+            number, block = int(frame["block"].iloc[0]), _block(frame, sides)
             begin, count, anchor = block.begin[block.first], block.count[block.first], block.hash[block.first] & HASH_BITS
-            for part, at in _by_part(anchor, parts):
+
+            def send(kind, part, at):
                 data = block.data[ranges(begin[at], count[at] + SPAN - 1)]
-                rows.append((int(frame["block"].iloc[0]), "stretches", part, _squeeze(
-                    np.array([len(at)], np.int64), at, block.key[at], block.lowest[at], block.highest[at], count[at].astype(np.int64), data)))
+                rows.append((number, kind, part, _pack_stretches(at, np.zeros(len(at)), [f[at] for f in block.facts], count[at], data)))
+
+            hot = np.isin(anchor, _numbers(frame, "hot"))
+            calm = np.flatnonzero(~hot)
+            for part, at in _by_part(anchor[calm], parts):
+                send("stretches", part, calm[at])
+            if hot.any():
+                send("hot", -1, np.flatnonzero(hot))
         return _rows(rows)
 
     return run
 
 
-def _judge_stretches(frame: pd.DataFrame) -> pd.DataFrame:
-    """Of the stretches of one part, which spans occur with a smaller id, for each block."""
-    fields = [[] for _ in range(6)]
-    for data in frame["data"]:
-        raw = _expand(data)
-        n = int(np.frombuffer(raw, np.int64, 1)[0])
-        for k, kind in enumerate((np.int64, np.uint64, np.int64, np.int64, np.int64)):
-            fields[k].append(np.frombuffer(raw, kind, n, 8 + 8 * n * k))
-        fields[5].append(np.frombuffer(raw, np.uint8, -1, 8 + 40 * n))
-    sizes = [len(x) for x in fields[0]]
-    number, key, lowest, highest, count = (np.concatenate(f) for f in fields[:5])
-    data = np.concatenate(fields[5])
-    begin = np.concatenate([[0], np.cumsum(count + SPAN - 1)[:-1]])
-    _, first, same = np.unique(key, return_index=True, return_inverse=True)
-    ids = np.full(len(first), NO_ID)
-    np.minimum.at(ids, same, lowest)
-    own_count = count[first]
-    best = lowest_ids(data, begin[first], own_count, ids)
-    owner = np.repeat(np.arange(len(first)), own_count)
-    offset = ranges(np.zeros(len(first)), own_count)
-    head = np.flatnonzero((np.diff(best, prepend=-1) != 0) | (offset == 0))
-    run_size = np.diff(head, append=len(best))
-    run_owner, run_offset, run_best = owner[head], offset[head], best[head]
-    run_from = np.searchsorted(run_owner, np.arange(len(first) + 1))
+def beside(data: np.ndarray, starts: np.ndarray, offset: np.ndarray, count: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes before and after each span (``offset`` in a stretch of ``count`` spans), as in ``Block._sides``."""
+    left = np.where(offset > 0, data[np.maximum(starts - 1, 0)].astype(np.int64) + 1, side >> SIDE)
+    right = np.where(offset < count - 1, data[np.minimum(starts + SPAN, len(data) - 1)].astype(np.int64) + 1, side & ((1 << SIDE) - 1))
+    return left, right
+
+
+def _single_spans(blobs, sides: bool) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+    """Hash, (number, skip, fact, fact) and begin of every span of the stretches, and the bytes."""
+    _, (number, skip, one, two, count, begin), data = read_stretches(blobs)
+    starts, offset, owner = ranges(begin, count), ranges(np.zeros(len(count)), count), np.repeat(np.arange(len(count)), count)
+    two = two[owner]
+    if sides:
+        left, right = beside(data, starts, offset, count[owner], two)
+        two = left << SIDE | right
+    return span_hash(_words(data), starts) & HASH_BITS, [number[owner], skip[owner] + offset, one[owner], two], starts, data
+
+
+def _hot_anchors(parts: int, sides: bool):
+    """Spans of a block's stretches with hot anchors, in the place of anchors."""
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        name, (_, _, one, two), _, _ = _single_spans(frame["data"], sides)
+        found, n = np.unique(name, return_counts=True)
+        twice = np.union1d(found[n > 1], name[one > 1 if sides else one < two])
+        return _anchor_rows(int(frame["block"].iloc[0]), found, np.ones(len(found)), twice, parts)
+
+    return run
+
+
+def _send_spans(parts: int, sides: bool):
+    """Those of the spans that occur twice, each a stretch of its own, dealt by all their bytes."""
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        if _of(frame, "hot"):
+            name, fields, starts, data = _single_spans(_of(frame, "hot"), sides)
+            shared = np.flatnonzero(np.isin(name, _numbers(frame, "shared")))
+            for part, at in _by_part(name[shared], parts):
+                number, skip, *facts = (f[shared[at]] for f in fields)
+                ones = np.ones(len(at), np.int64)
+                rows.append((int(frame["block"].iloc[0]), "stretches", part, _pack_stretches(
+                    number, skip, facts, ones, data[ranges(starts[shared[at]], ones * SPAN)])))
+        return _rows(rows)
+
+    return run
+
+
+def _answers(blocks, sizes: list[int], number, skip, same, count, value, wanted) -> pd.DataFrame:
+    """Runs of spans with equal values, of distinct stretches (``count``), to each block for its stretches (``same``).
+
+    ``wanted`` chooses by the runs' values and the stretches they are for.
+    """
+    owner, offset = np.repeat(np.arange(len(count)), count), ranges(np.zeros(len(count)), count)
+    head = np.flatnonzero((np.diff(value, prepend=-1) != 0) | (offset == 0))
+    run_size = np.diff(head, append=len(value))
+    run_owner, run_offset, run_value = owner[head], offset[head], value[head]
+    run_from = np.searchsorted(run_owner, np.arange(len(count) + 1))
     rows, at = [], 0
-    for block, size in zip(frame["block"], sizes):
+    for block, size in zip(blocks, sizes):
         mine = np.arange(at, at + size)
         at += size
         runs = np.diff(run_from)[same[mine]]
-        run = ranges(run_from[same[mine]], runs)
-        who = np.repeat(mine, runs)
-        keep = run_best[run] < highest[who]
+        run, who = ranges(run_from[same[mine]], runs), np.repeat(mine, runs)
+        keep = wanted(run_value[run], who)
         run, who = run[keep], who[keep]
         if len(run):
-            rows.append((block, "found", 0, _squeeze(np.array([len(run)], np.int64), number[who], run_offset[run], run_size[run], run_best[run])))
+            rows.append((block, "found", 0, _squeeze(np.array([len(run)], np.int64), number[who], skip[who] + run_offset[run], run_size[run], run_value[run])))
     return _rows(rows)
 
 
+def _judge_stretches(frame: pd.DataFrame) -> pd.DataFrame:
+    """Of the stretches of one part, which spans occur with a smaller id, for each block."""
+    sizes, (number, skip, lowest, highest, count, begin), data = read_stretches(frame["data"])
+    first, same = distinct(*stretch_keys(_words(data), begin, count))
+    ids = np.full(len(first), NO_ID)
+    np.minimum.at(ids, same, lowest)
+    best = lowest_ids(data, begin[first], count[first], ids)
+    return _answers(frame["block"], sizes, number, skip, same, count[first], best, lambda low, who: low < highest[who])
+
+
 RESULT = "digest binary, first long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
 def covered(block: Block, found: list[bytes]) -> np.ndarray:
     """Which bytes of the block's texts are in a span that occurs with a smaller id."""
     marks = np.zeros(len(block.data) + 1, np.int32)
-    if found:
-        fields = []
-        for data in found:
-            raw = _expand(data)
-            n = int(np.frombuffer(raw, np.int64, 1)[0])
-            fields.append(np.frombuffer(raw, np.int64, 4 * n, 8).reshape(4, n))
-        number, offset, size, low = np.concatenate(fields, axis=1)
-        order = np.argsort(block.stretch, kind="stable")
-        start = np.searchsorted(block.stretch[order], np.arange(len(block.key) + 1))
-        times = np.diff(start)[number]
-        run, of = order[ranges(start[number], times)], np.repeat(np.arange(len(number)), times)
-        hit = low[of] < block.ids[block.text[run]]
-        run, of = run[hit], of[hit]
-        begin = block.begin[run] + offset[of]
-        np.add.at(marks, begin, 1)
-        np.add.at(marks, begin + size[of] + SPAN - 1, -1)
+    run, begin, size, low = block.placed(found)
+    hit = low < block.ids[block.text[run]]
+    np.add.at(marks, begin[hit], 1)
+    np.add.at(marks, begin[hit] + size[hit] + SPAN - 1, -1)
     return np.cumsum(marks[:-1]) > 0
 
 
@@ -411,27 +539,38 @@ def _bytes():
     return F.coalesce(F.col("text"), F.lit("")).cast("binary")
 
 
+def compared_blocks(docs: DataFrame, judge, sides: bool) -> DataFrame:
+    """Rows of every block of texts, to be grouped by block: its texts, its shared anchors, and what ``judge`` found of its stretches."""
+    texts = docs.select("doc_id", _bytes().alias("text"))
+    total = docs.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first()["n"] or 0
+    blocks = parts = max(1, -(-int(total) // BLOCK_BYTES))
+    packs = lambda: texts.mapInArrow(tidy(_pack(blocks)), ROWS)
+    of = lambda rows, key, run: rows.groupBy(key).applyInPandas(tidy(run), ROWS)
+    found = stored_once(of(packs(), "block", _find_anchors(parts, sides)), "anchors")
+    shared = stored_once(of(found.filter("kind = 'anchors'"), "part", _shared_anchors(HOT)).unionAll(found.filter("kind = 'shared'")), "shared")
+    sent = stored_once(of(packs().unionAll(shared), "block", _send_stretches(parts, sides)), "stretches")
+    stretches, hot = sent.filter("kind = 'stretches'"), sent.filter("kind = 'hot'")
+    if not hot.isEmpty():
+        spans = stored_once(of(hot, "block", _hot_anchors(parts, sides)), "spans")
+        twice = of(spans.filter("kind = 'anchors'"), "part", _shared_anchors(NEVER)).unionAll(spans.filter("kind = 'shared'"))
+        stretches = stretches.unionAll(of(hot.unionAll(twice), "block", _send_spans(parts, sides)))
+    judged = stored_once(of(stretches, "part", judge), "found")
+    return packs().unionAll(shared.filter("kind = 'shared'")).unionAll(judged)
+
+
 def repeated_bytes(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """digest, first, n_removed, n_spans, kept_sha256 (and kept) of each distinct text of ``SPAN`` bytes or more.
 
     ``first`` is the smallest doc_id with the text, for which the figures hold.
     """
-    texts = docs.select("doc_id", _bytes().alias("text"))
-    total = docs.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first()["n"] or 0
-    blocks = parts = max(1, -(-int(total) // BLOCK_BYTES))
-    packs = lambda: texts.mapInArrow(tidy(_pack(blocks)), ROWS)
-    found = stored(packs().groupBy("block").applyInPandas(tidy(_find_anchors(parts)), ROWS), "anchors")
-    shared = stored(found.filter("kind = 'anchors'").groupBy("part").applyInPandas(tidy(_shared_anchors), ROWS)
-                    .unionAll(found.filter("kind = 'shared'")), "shared")
-    stretches = packs().unionAll(shared).groupBy("block").applyInPandas(tidy(_send_stretches(parts)), ROWS)
-    judged = stored(stretches.groupBy("part").applyInPandas(tidy(_judge_stretches), ROWS), "found")
-    return packs().unionAll(shared).unionAll(judged).groupBy("block").applyInPandas(tidy(_cut_texts(with_text)), RESULT)
+    rows = compared_blocks(docs, _judge_stretches, sides=False)
+    return rows.groupBy("block").applyInPandas(tidy(_cut_texts(with_text)), RESULT)
 
 
 def _joined(docs: DataFrame, columns: list, with_text: bool) -> DataFrame:
     results = repeated_bytes(docs, with_text)
     if not with_text:
-        results = stored(results.drop("kept"), "cut")
+        results = stored_once(results.drop("kept"), "cut")
     rows = docs.select(*columns, F.octet_length(_bytes()).cast("long").alias("_n"), _digest(_bytes()).alias("digest"),
                        F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("_id"))
     return rows.join(results, "digest", "left").withColumn("_copy", (F.col("_n") >= SPAN) & (F.col("_id") > F.col("first")))

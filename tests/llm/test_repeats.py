@@ -48,6 +48,15 @@ def test_given_documents_in_many_blocks(spark, sf_dir, monkeypatch):
     assert collected(repeats.document_repeats(table)) == facts([(r["doc_id"], r["text"]) for r in table.collect()])
 
 
+def test_hot_anchors_are_dealt_by_spans(spark, sf_dir, docs, rows_of_docs, monkeypatch):
+    """Every anchor with two stretches counts as hot."""
+    monkeypatch.setattr(repeats, "HOT", 1)
+    assert collected(repeats.document_repeats(docs)) == facts(rows_of_docs)
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    monkeypatch.setattr(repeats, "BLOCK_BYTES", 60_000)
+    assert collected(repeats.document_repeats(table)) == facts([(r["doc_id"], r["text"]) for r in table.collect()])
+
+
 def test_texts_after_cutting(docs, rows_of_docs, frame):
     out = frame(repeats.cut_repeats(docs))
     assert list(out.columns) == docs.columns and len(out) == len(rows_of_docs)

@@ -30,7 +30,7 @@ STRENGTH, ROOT_STRENGTH = 1.0, 1.0
 SWEEPS, BURN_IN = 4, 2
 SINGLY = 16  # customers of a dish that sit down one by one; later ones in groups of a sixteenth of those seated
 HOT_SHARE, SEEN_SHARE = 4_096, 8_192
-PART_TOKENS = 800_000
+PART_TOKENS = 1_100_000
 BYTES = 2 << 20
 FINE = 1e7  # scores are summed over parts as whole multiples of 1 / FINE, so their order doesn't matter
 MANY_BUCKETS, PARTS_A_BUCKET = 512, 4  # contexts meet in as many buckets as there are parts; beyond 512, in one for four parts

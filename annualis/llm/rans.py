@@ -85,19 +85,22 @@ def encode_block(ids: np.ndarray, table: Table) -> tuple[int, np.ndarray, np.nda
     lanes = max(1, min(LANES, n))
     rows = -(-n // lanes)
     symbol = table.index(ids)
-    frequency, before = table.frequency[symbol], table.before[symbol]
-    state = np.full(lanes, LOWER)
+    frequency, before = table.frequency.take(symbol), table.before.take(symbol)
+    most = frequency << np.uint64(63 - SCALE)
+    state, scale = np.full(lanes, LOWER), np.uint64(SCALE)
     out, states, sizes = [None] * rows, {}, np.zeros(rows, np.int64)
-    room, scale = np.uint64(63 - SCALE), np.uint64(SCALE)
     for row in range(rows - 1, -1, -1):
         part = slice(row * lanes, min(n, (row + 1) * lanes))
-        f, x = frequency[part], state[: part.stop - part.start]
-        full = x >= f << room
-        out[row] = x[full].astype(np.uint32)
-        sizes[row] = len(out[row])
-        x = np.where(full, x >> WORD, x)
+        f, x = frequency[part], state[: part.stop - part.start]  # x is changed in place
+        full = np.flatnonzero(x >= most[part])
+        high = x[full]
+        out[row] = high.astype(np.uint32)
+        sizes[row] = len(full)
+        x[full] = high >> WORD
         times = x // f
-        state[: len(x)] = (times << scale) + (x - times * f) + before[part]
+        x -= times * f
+        x += times << scale
+        x += before[part]
         if row % CHECKPOINT == 0:
             states[row] = state.copy()
     offsets = (np.cumsum(sizes) - sizes)[::CHECKPOINT]
@@ -110,15 +113,17 @@ def decode_rows(table: Table, n: int, lanes: int, words: np.ndarray, state: np.n
     state, mask, scale = state.copy(), np.uint64((1 << SCALE) - 1), np.uint64(SCALE)
     out = []
     for row in range(first, last):
-        x = state[: min(lanes, n - row * lanes)]
+        x = state[: min(lanes, n - row * lanes)]  # changed in place
         slot = x & mask
-        symbol = table.slot[slot]
+        symbol = table.slot.take(slot.view(np.int64))
         out.append(symbol)
-        x = table.frequency[symbol] * (x >> scale) + slot - table.before[symbol]
+        x >>= scale
+        x *= table.frequency.take(symbol)
+        x += slot
+        x -= table.before.take(symbol)
         low = np.flatnonzero(x < LOWER)
-        x[low] = (x[low] << WORD) | words[offset:offset + len(low)].astype(np.uint64)
+        x[low] = (x[low] << WORD) | words[offset:offset + len(low)]
         offset += len(low)
-        state[: len(x)] = x
     return table.symbols[np.concatenate(out)] if out else np.zeros(0, np.int64), state
 
 
@@ -145,18 +150,20 @@ def joined_crc(first: int, second: int, size: int) -> int:
     return zlib.crc32(blank, first) ^ zlib.crc32(blank) ^ second
 
 
-_PLAIN = [c for c in map(chr, range(0x250)) if c not in "'\u0130" and not c.isspace() and unicodedata.category(c) != "Cc"]  # NFC leaves these as they are, and lower case makes one of one
+WHITE = " \t\n\v\f\r"
+_PLAIN = [c for c in map(chr, range(0x250)) if c != "\u0130" and not c.isspace() and unicodedata.category(c) != "Cc"]  # NFC leaves these as they are, and lower case makes one of one
 _OF = {kind: re.escape("".join(c for c in _PLAIN if unicodedata.category(c)[0] == kind)) for kind in "LN"}
-RUNS = re.compile(f"[{_OF['L']}]+|[{_OF['N']}]|[^{_OF['L']}{_OF['N']}]+")
-OTHER = re.compile(f"[^{re.escape(''.join(_PLAIN))} ]")
+RUNS = re.compile(f"[{_OF['L']}]+|[{_OF['N']}]|'(?:[stmd]|re|ve|ll)|[^{_OF['L']}{_OF['N']}{WHITE}]+")
+OTHER = re.compile(f"[^{re.escape(''.join(_PLAIN))}{WHITE}]")
 
 
 class WordTokenizer:
-    """A tokenizer that drops white space and case and parts words into runs of letters, single digits and runs of signs.
+    """A tokenizer that drops white space and case and parts words into English endings, runs of letters, single digits and runs of signs.
 
     No merge, normal form or case rule of such a tokenizer reaches over white space, so the ids of a text are those of its stretches without
-    white space in turn. A stretch of plain characters is made up from its runs: new ones are encoded together, parted by spaces, and the last
-    token of a run is marked as such by the vocabulary. Other stretches are joined by a special token, whose id then parts their ids.
+    white space in turn. A text or a stretch of plain characters is made up from its runs: new ones are encoded together, parted by spaces, and
+    the last token of a run is marked as such by the vocabulary. Other stretches are joined by a special token, whose id then parts their ids.
+    Normal forms, case and parting have nothing left to do on runs of ASCII, so the library's model gets those parted at spaces alone.
     """
 
     MARK = "<|endoftext|>"
@@ -165,9 +172,15 @@ class WordTokenizer:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-
-        self.library, self.marked = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        from tokenizers.normalizers import Sequence
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
+
+        self.library, self.marked, self.lean = (Tokenizer.from_file(path) for _ in range(3))
+        self.library.encode_special_tokens = self.lean.encode_special_tokens = True
+        self.lean.normalizer, self.lean.pre_tokenizer = Sequence([]), CharDelimiterSplit(" ")
+        signs = " ".join(c for c in map(chr, range(33, 127)) if c not in "'" and not c.isupper())
+        if self.lean.encode(signs, add_special_tokens=False).ids != self.library.encode(signs, add_special_tokens=False).ids:
+            self.lean = self.library
         self.mark = self.marked.token_to_id(self.MARK)
         names = self.library.get_vocab()
         self.last = np.zeros(max(names.values()) + 1, bool)
@@ -192,8 +205,13 @@ class WordTokenizer:
                 self.known[word] = data[start:end]
 
     def _learn_runs(self, new: list[str]) -> None:
+        plain = [t.isascii() for t in new]
+        self._learn_by(self.lean, list(compress(new, plain)))
+        self._learn_by(self.library, [t for t, one in zip(new, plain) if not one])
+
+    def _learn_by(self, tokenizer, new: list[str]) -> None:
         groups = [new[k:k + self.TOGETHER] for k in range(0, len(new), self.TOGETHER)]
-        for group, found in zip(groups, self.library.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
+        for group, found in zip(groups, tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
             ids = np.array(found.ids, "<u4")
             ends = (np.flatnonzero(self.last[ids]) * 4 + 4).tolist()
             if len(ends) != len(group):
@@ -213,16 +231,17 @@ class WordTokenizer:
             plain[np.searchsorted(ends, found, side="right")] = False
             self._learn(list(compress(listed, ~plain)))
             listed, words = list(compress(listed, plain)), list(compress(words, plain))
-        whole = [t.isalpha() for t in words]  # most stretches are one run
-        parts = [RUNS.findall(t) for t, one in zip(words, whole) if not one]
-        runs = {t for t, one in zip(words, whole) if one}.union(*parts)
+        parts = [RUNS.findall(t) for t in words]
+        self._know_runs(set().union(*parts))
+        get = self.runs.__getitem__
+        self.known.update((w, b"".join(map(get, part))) for w, part in zip(listed, parts) if w)
+
+    def _know_runs(self, runs: set[str]) -> None:
         fresh = runs.difference(self.runs)
         if len(self.runs) + len(fresh) > CACHE:
             forget_half(self.runs)
             fresh = runs.difference(self.runs)
         self._learn_runs(list(fresh))
-        get, rest = self.runs.__getitem__, iter(parts)
-        self.known.update((w, get(t) if one else b"".join(map(get, next(rest)))) for w, t, one in zip(listed, words, whole) if w)
 
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
@@ -233,6 +252,18 @@ class WordTokenizer:
             gc.enable()
 
     def _encode_all(self, texts: list[bytes]) -> list[bytes]:
+        low = [t.decode("utf-8", "replace").lower() for t in texts]
+        plain = [not OTHER.search(t) for t in low]
+        parts = [RUNS.findall(t) for t in compress(low, plain)]
+        del low
+        self._know_runs(set().union(*parts))
+        get = self.runs.__getitem__
+        whole = iter([b"".join(map(get, part)) for part in parts])
+        del parts
+        mixed = iter(self._by_stretches([t for t, one in zip(texts, plain) if not one]))
+        return [next(whole if one else mixed) for one in plain]
+
+    def _by_stretches(self, texts: list[bytes]) -> list[bytes]:
         parts = [t.lower().split() for t in texts]
         words = set().union(*parts)
         new = words.difference(self.known)

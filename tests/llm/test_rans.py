@@ -119,3 +119,22 @@ def test_memory_is_halved(monkeypatch, library):
     for k in range(30):
         text = " ".join(f"word{j}x{j * k}," for j in range(12))
         assert own.encode_all([text.encode()]) == [np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
+
+
+def test_plain_texts_need_no_stretches(library):
+    """Plain texts are made up from runs alone, ASCII ones without normal forms; endings such as 's are plain too."""
+    import public_tokenizers
+
+    own = rans.WordTokenizer(public_tokenizers.path(TOKENIZER_FILE))
+    texts = ["It's the dogs' \u00fcber-caf\u00e9,\tand they'LL (don't) ...'s 12'3 ''ve 'sore", "plain\r\nwords\x0b\x0c2024!", "<|endoftext|> 'Re", "odd \u0301 mark it's"]
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert own.encode_all([t.encode() for t in texts]) == want
+    assert set(own.known) == {"odd".encode(), "\u0301".encode(), b"mark", b"it's"}
+    assert own.lean is not own.library
+    assert all(own.lean.encode(r, add_special_tokens=False).ids == own.library.encode(r, add_special_tokens=False).ids for r in own.runs if r.isascii())
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("aBsSttrREvemlLd''\"-.,1\u00b2\u00e9\u017f \t\n\x0b"), max_size=40))
+def test_endings(library, text):
+    assert np.frombuffer(rans.tokenizer_of(TOKENIZER_FILE).encode_all([text.encode()])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids

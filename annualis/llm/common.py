@@ -8,6 +8,7 @@ import functools
 import inspect
 import uuid
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -68,6 +69,12 @@ def pieces(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
         yield begin, len(sizes)
 
 
+def forget_half(memory: dict) -> None:
+    """Drop the entries that came first."""
+    for key in list(islice(memory, len(memory) // 2)):
+        del memory[key]
+
+
 def give_back() -> None:
     """Return freed memory to the system at the end of a task; the worker process goes on to other stages."""
     pa.default_memory_pool().release_unused()

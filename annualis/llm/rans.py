@@ -15,7 +15,7 @@ import unicodedata
 import zlib
 from array import array
 from functools import lru_cache
-from itertools import compress, islice
+from itertools import compress
 
 import numpy as np
 import pandas as pd
@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annualis.llm.common import pieces, tidy, utf8
+from annualis.llm.common import forget_half, pieces, tidy, utf8
 from annualis.session import scratch_path, stored
 
 SCALE = 20  # frequencies add up to 2 ** SCALE
@@ -275,12 +275,6 @@ class WordTokenizer:
         return [b"".join(map(known.__getitem__, part)) for part in parts]
 
 
-def forget_half(memory: dict) -> None:
-    """Drop the entries that came first."""
-    for key in list(islice(memory, len(memory) // 2)):
-        del memory[key]
-
-
 @lru_cache(maxsize=2)
 def tokenizer_of(name: str) -> WordTokenizer:
     import os

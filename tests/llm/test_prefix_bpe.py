@@ -78,3 +78,34 @@ def test_an_edit_computes_little_anew(vocabulary):
     table = prefix_bpe.PrefixTable(vocabulary, text)
     assert table.replace(5_000, 5_003, b"cat") < 200
     assert table.last == prefix_bpe.PrefixTable(vocabulary, table.data).last
+
+
+def test_sorted_strings_share_prefixes(vocabulary, library, monkeypatch):
+    rng = random.Random(2)
+    words = sorted({"".join(rng.choice(["th", "an", "er", "ing", "wh", "\u00e9"]) for _ in range(6)).encode() for _ in range(2_000)})
+    computed, extend = [], prefix_bpe.Vocabulary.extend
+    monkeypatch.setattr(prefix_bpe.Vocabulary, "extend", lambda self, data, last, nodes: (computed.append(len(data) - len(last) + 1), extend(self, data, last, nodes)))
+    assert vocabulary.encode_sorted(words) == [library._core_bpe.encode_single_piece(w) for w in words]
+    assert sum(computed) < 0.5 * sum(map(len, words))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.one_of(st.sampled_from("aB's re1\u00b2\u00e9 \t\n\x1c\x1f\x85\xa0.-]^"), st.characters(max_codepoint=0x24F)), max_size=40))
+def test_cut_of_common_texts(text):
+    encoder = prefix_bpe.text_encoder(*prefix_bpe.vocabulary_file(BPE_FILE))
+    assert encoder.common != encoder.cut and not prefix_bpe.BEYOND(text)
+    assert encoder.common(text) == encoder.cut(text)
+
+
+def test_patterns_without_a_common_form():
+    assert prefix_bpe.common_cut(r"(?i:'s)|\p{L}+") is None and prefix_bpe.common_cut(r"\w+|\s") is None
+    assert prefix_bpe.BEYOND("a\u0250")
+
+
+def test_memory_is_halved(monkeypatch, library):
+    monkeypatch.setattr(prefix_bpe, "CACHE", 40)
+    monkeypatch.setattr(prefix_bpe, "CHARACTERS", 50)
+    path, pattern = prefix_bpe.vocabulary_file(BPE_FILE)
+    encoder = prefix_bpe.TextEncoder(prefix_bpe.load_vocabulary(path), pattern)
+    texts = [" ".join(f"word{j}x{j * k}," for j in range(k % 5)) for k in range(60)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode_all(texts)] == [library.encode_ordinary(t) for t in texts]

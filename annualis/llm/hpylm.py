@@ -32,6 +32,7 @@ SINGLY = 16  # customers of a dish that sit down one by one; later ones in group
 HOT_SHARE, SEEN_SHARE = 4_096, 8_192
 PART_TOKENS = 1_100_000
 BYTES = 2 << 20
+ALONE = 512  # bytes beyond which a plane of bytes is packed by codes of its own
 FINE = 1e7  # scores are summed over parts as whole multiples of 1 / FINE, so their order doesn't matter
 MANY_BUCKETS, PARTS_A_BUCKET = 512, 4  # contexts meet in as many buckets as there are parts; beyond 512, in one for four parts
 BUCKET, LOW = 12, (1 << 12) - 1  # documents are gathered by row number without its last bits
@@ -40,10 +41,18 @@ STIR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _squeeze(*arrays: np.ndarray) -> bytes:
-    """The arrays in one, by the first bytes of all numbers, then the second and so on."""
+    """The arrays in one, by the first bytes of all numbers, then the second and so on.
+
+    Hashes (unsigned, 64 bits) are kept as steps from one to the next: in ascending order these have fewer bits the more hashes there are.
+    """
+    arrays = [np.diff(a, prepend=np.uint64(0)) if a.dtype == np.uint64 else a for a in arrays]
     head = np.array([len(a) for a in arrays], np.int64).tobytes()
-    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays]
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(planes))
+    planes = [p.tobytes() for a in arrays for p in np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T]
+    packer = zstandard.ZstdCompressor(level=1).compressobj(size=len(head) + sum(map(len, planes)))
+    out = [packer.compress(head)]
+    for plane in planes:  # one with few different bytes should not share its codes with a random one
+        out += (packer.compress(plane), packer.flush(zstandard.COMPRESSOBJ_FLUSH_BLOCK)) if len(plane) > ALONE else (packer.compress(plane),)
+    return b"".join([*out, packer.flush()])
 
 
 def _expand(data: bytes, *kinds) -> list[np.ndarray]:
@@ -52,7 +61,8 @@ def _expand(data: bytes, *kinds) -> list[np.ndarray]:
     for size, kind in zip(sizes, kinds):
         wide = np.dtype(kind).itemsize
         planes = np.frombuffer(raw, np.uint8, int(size) * wide, at).reshape(wide, int(size))
-        out.append(np.ascontiguousarray(planes.T).view(kind).reshape(int(size)))
+        own = np.ascontiguousarray(planes.T).view(kind).reshape(int(size))
+        out.append(np.cumsum(own, dtype=kind) if own.dtype == np.uint64 else own)
         at += int(size) * wide
     return out
 
@@ -118,7 +128,8 @@ def _deal(hot: np.ndarray, parts: int):
                 tokens, counts = token_stream(texts)
                 names, word = np.unique(tokens, return_inverse=True)
                 word = word.astype(np.int32)
-                contexts = stirred(np.concatenate([names, [START]]).astype(np.uint64))
+                befores = np.concatenate([names, [START]]).astype(np.uint64)
+                contexts = stirred(befores)
                 before = np.concatenate([[0], word[:-1]]).astype(np.int32)
                 before[np.cumsum(counts) - counts] = len(names)
                 base = int(batch["row"].iloc[0])
@@ -138,7 +149,7 @@ def _deal(hot: np.ndarray, parts: int):
                 for a, b in zip(cuts, [*cuts[1:], len(part)]):
                     head = np.flatnonzero(np.diff(word[a:b], prepend=-1))
                     some, room = np.unique(before[a:b], return_inverse=True)
-                    out.append((int(part[a]), base, "tokens", 0, _squeeze(contexts[some]), None, _squeeze(
+                    out.append((int(part[a]), base, "tokens", 0, _squeeze(befores[some]), None, _squeeze(
                         names[word[a:b][head]], np.diff(head, append=b - a).astype(np.uint32), room.astype(np.uint32), marked[a:b], times[a:b])))
                 ids = batch["doc_id"].astype("Int64")
                 bucket = rows >> BUCKET
@@ -189,7 +200,7 @@ def _gather(hot: np.ndarray, buckets: int):
             return pd.DataFrame({c: frame[c].tolist() for c in frame.columns})
         part = int(frame["part"].iloc[0])
         fields = [_expand(d, *TOKENS) for d in frame["uses"]]
-        contexts, at, begin = _unique([_expand(d, np.uint64)[0] for d in frame["contexts"]])
+        contexts, at, begin = _unique([stirred(_expand(d, np.uint64)[0]) for d in frame["contexts"]])
         bucket = bucket_of(contexts, buckets)
         order = np.argsort(bucket, kind="stable")
         number = np.empty(len(order), np.uint64)

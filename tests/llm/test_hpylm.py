@@ -136,3 +136,30 @@ def test_each_context_has_its_own_restaurant():
     assert len(rooms) == len(before) > hpylm.RESTAURANTS and sorted(rooms["seated"]) == sorted(before.values())
     assert sorted(rooms["tables"]) == sorted(kinds.values()) and pairs == sum(kinds.values())
     assert plan.tokens == sum(before.values())
+
+
+def test_hashes_are_packed_by_their_steps():
+    rng = np.random.default_rng(4)
+    hashes = rng.integers(0, 1 << 64, 50_000, dtype=np.uint64)
+    ascending, uses = np.sort(hashes), rng.integers(0, 9, 7).astype(np.uint32)
+    packed = hpylm._squeeze(ascending, uses)
+    assert len(packed) < 6.7 * len(hashes)
+    for some in (ascending, hashes, hashes[:1], hashes[:0], np.array([(1 << 64) - 1, 0, 2], np.uint64)):
+        first, second = hpylm._expand(hpylm._squeeze(some, uses), np.uint64, np.uint32)
+        assert (first == some).all() and len(first) == len(some) and (second == uses).all()
+
+
+def test_dealt_words_before_are_sent_in_ascending_order():
+    """A row's contexts are told by the words before, which are in order; the start of a text comes last."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 5_000, 200)) for _ in range(100)]
+    frame = pd.DataFrame({"doc_id": range(100), "text": texts, "held_out": False, "row": range(100)})
+    rows = pd.concat(hpylm._deal(np.zeros(0, np.uint64), 2)(iter([frame])))
+    words = np.unique(np.concatenate([hpylm.token_stream([t.encode() for t in texts])[0], [hpylm.START]]))
+    seen = []
+    for data in rows.loc[rows["kind"] == "tokens", "contexts"]:
+        before, = hpylm._expand(data, np.uint64)
+        body = before[:-1] if before[-1] == hpylm.START else before
+        assert (np.diff(body.astype(float)) > 0).all() and len(data) < 7 * len(before) + 50
+        seen.append(before)
+    assert set(np.concatenate(seen).tolist()) == set(words.tolist()) - {int(hpylm.END)}

@@ -2,14 +2,13 @@
 
 One more component makes all candidates equally long. Candidates are dealt by label and by the nearest of a few centers to blocks of bounded
 size, and each block becomes a cover tree: nets of centers taken farthest first, each level's centers farther apart than its scale and covering all
-points below it. A node's covering radius bounds the inner products of all its points from both sides. A search goes down the nodes of the
-highest bound first, skips nodes outside every window that is still open and compares the points of the leaves exactly.
+points below it. A node's covering radius bounds the inner products of all its points from both sides. The queries of a task go down together,
+skip nodes outside every window that is still open, take the leaves of the highest bounds first and compare the points of a leaf exactly, all
+queries that come to it at once.
 """
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 
 from annualis.llm.common import tidy
 from annualis.llm.vectors import (FOUND, digest, farthest_first, first_by_key, first_of_equals, ids_and_nulls, in_blocks, matrix, met, pack,
-                                  products, ranked, sampled, squares, unpack, unpack_all, whole)
+                                  products, sampled, squares, unpack, unpack_all, whole)
 from annualis.session import attach, stored, stored_with
 
 CENTERS = 16  # cells for each bucket of labels at most
@@ -26,6 +25,7 @@ CELL_MEMBERS = 4_096 * LABELS
 MEMBERS, ASKING = 4_096, 512
 LEAF = 64  # points of a leaf on average
 BATCH = 1_024
+AT_ONCE = 1 << 18  # scores that are held at once
 SLACK = 1e-6
 LOWEST = np.iinfo(np.int64).min
 
@@ -88,13 +88,13 @@ class CoverTree:
         return pack(self.rows, self.ids, self.nulls, self.number, self.labels, self.begin, self.end, self.center, self.radius, self.first_child, self.last_child,
                     self.longest)
 
-    def bounds(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def bounds(self, queries: np.ndarray, nodes: np.ndarray | slice = slice(None)) -> tuple[np.ndarray, np.ndarray]:
         """The least and the highest score of any point of each node, for each query: by the distance of its center, and by its radius alone."""
-        inner = products(queries, self.rows[self.center]).astype(np.float64)
+        inner = products(queries, self.rows[self.center[nodes]]).astype(np.float64)
         longest = float(self.longest[0])
         size = squares(queries).astype(np.float64)[:, None]
         length = np.sqrt(size)
-        radius = self.radius * (1 + SLACK) + SLACK * (longest**0.5 + 1)
+        radius = self.radius[nodes] * (1 + SLACK) + SLACK * (longest**0.5 + 1)
         apart = np.sqrt(np.maximum(size + longest - 2 * inner, 0))
         whole = size + longest
         high = np.minimum(inner + length * radius, (whole - np.maximum(apart - radius, 0) ** 2) / 2)
@@ -102,40 +102,95 @@ class CoverTree:
         room = 1e-9 * whole + 1e-6
         return low - room, high + room
 
-    def search(self, query: np.ndarray, low: np.ndarray, high: np.ndarray, windows: list[tuple[int, int, int]], fits: np.ndarray, n: int) -> list[np.ndarray]:
-        """The first ``n`` points that fit in each window (least, most, least that is of use): places in ``rows`` with their scores.
+    def leaves(self, queries: np.ndarray, asked: Windows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(leaves, low, high): the leaves that some window is open for, and each query's bounds of them, no wider than those of the nodes above.
 
-        ``low`` and ``high`` are the query's bounds of the nodes, ``fits`` tells which points may be found.
+        The queries go down together, a level at a time; what is below a node outside all windows is not looked at.
+        """
+        nodes = np.zeros(1, np.int64)
+        low, high = self.bounds(queries, nodes)
+        while True:
+            some = np.flatnonzero(asked.open(low, high).any(axis=0))
+            nodes, low, high = nodes[some], low[:, some], high[:, some]
+            n = self.last_child[nodes] - self.first_child[nodes]
+            if not n.any():  # all leaves are on the last level
+                return nodes, low, high
+            above = np.repeat(np.arange(len(nodes)), n)
+            nodes = self.first_child[nodes][above] + np.arange(len(above)) - (np.cumsum(n) - n)[above]
+            own_low, own_high = self.bounds(queries, nodes)
+            low, high = np.maximum(low[:, above], own_low), np.minimum(high[:, above], own_high)
+
+    def search(self, queries: np.ndarray, labels: np.ndarray, others: bool, asked: Windows, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The first ``n`` points in each window, of the query's label or of ``others``: windows, places in ``rows`` and scores, side by side.
+
+        Queries that come to the same leaf are compared with its points at once. In each round a query takes twice as many of its open leaves
+        as in the one before, or more if bounds are equal, those of the highest bounds first; what is found closes leaves for the rounds after it.
         """
-        need = [max(a, c) for a, _, c in windows]
-        most = [b for _, b, _ in windows]
-        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in windows]
-        top, least = max(most), min(need)
-        heap = [(-min(high[0], top), 0)]
-        while heap and -heap[0][0] >= least:
-            _, node = heapq.heappop(heap)
-            a, b = self.first_child[node], self.last_child[node]
-            if a < b:
-                for child in range(a, b):
-                    x, y = low[child], high[child]
-                    if any(y >= s and x <= t for s, t in zip(need, most)):
-                        heapq.heappush(heap, (-min(y, top), child))
-                continue
-            a, b = self.begin[node], self.end[node]
-            scores = products(query[None], self.rows[a:b])[0]
-            some = np.flatnonzero(fits[a:b] & (scores >= least) & (scores <= top))
-            if not len(some):
-                continue
-            for w, (s, t) in enumerate(zip(need, most)):
-                own = some[(scores[some] >= s) & (scores[some] <= t)]
-                if len(own):
-                    at, value = np.concatenate([found[w][0], a + own]), np.concatenate([found[w][1], scores[own]])
-                    first = ranked(value, self.nulls[at], self.ids[at], self.number[at])[:n]
-                    found[w] = at[first], value[first]
-                    if len(first) == n:
-                        need[w] = max(s, int(found[w][1][-1]))
-            least = min(need)
-        return found
+        found = np.zeros((3, 0), np.int64)
+
+        def kept(fresh: list[np.ndarray]) -> np.ndarray:
+            window, at, value = np.concatenate([found, *fresh], axis=1)
+            order = np.lexsort((self.number[at], self.ids[at], self.nulls[at], -value, window))
+            window, at, value = window[order], at[order], value[order]
+            nth = np.arange(len(window)) - np.searchsorted(window, window)
+            full = nth == n - 1
+            asked.raise_to(window[full], value[full])
+            return np.stack([window, at, value])[:, nth < n]
+
+        leaves, low, high = self.leaves(queries, asked)
+        left, step = np.ones(high.shape, bool), 1
+        while True:
+            left &= asked.open(low, high)
+            if not left.any():
+                return found[0], found[1], found[2]
+            best = np.where(left, np.minimum(high, asked.top[:, None]), -np.inf)
+            taken = left & (best >= -np.partition(-best, min(step, len(leaves)) - 1, axis=1)[:, [min(step, len(leaves)) - 1]])
+            left &= ~taken
+            fresh, waiting = [], 0
+            for k in np.flatnonzero(taken.any(axis=0)):
+                a, b = self.begin[leaves[k]], self.end[leaves[k]]
+                some = np.flatnonzero(taken[:, k])
+                for part in np.array_split(some, -(-len(some) * (b - a) // AT_ONCE)):
+                    scores = products(queries[part], self.rows[a:b])
+                    hit = np.flatnonzero(scores >= asked.least[part, None])
+                    query, at = part[hit // (b - a)], a + hit % (b - a)
+                    fits = (self.labels[at] != labels[query]) == others
+                    fresh.append(asked.of(query[fits], at[fits], scores.ravel()[hit[fits]]))
+                    waiting += fresh[-1].shape[1]
+                    if waiting > AT_ONCE:
+                        found, fresh, waiting = kept(fresh), [], 0
+            found = kept(fresh)
+            step *= 2
+
+
+class Windows:
+    """Windows (least, most, least that is of use) of scores, those of a query side by side; ``need`` rises with what is found.
+
+    ``least`` and ``top`` hold all windows of a query.
+    """
+
+    def __init__(self, sizes: np.ndarray, edges: np.ndarray):
+        """``sizes`` tells how many windows each query has, one at least."""
+        self.sizes, self.first = sizes, np.cumsum(sizes) - sizes
+        self.owner = np.repeat(np.arange(len(sizes)), sizes)
+        self.need, self.most = np.maximum(edges[:, 0], edges[:, 2]), edges[:, 1]
+        self.least, self.top = np.minimum.reduceat(self.need, self.first), np.maximum.reduceat(self.most, self.first)
+
+    def open(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Whether a score from ``low`` to ``high`` may be of use to a query, for each query and node."""
+        return np.logical_or.reduceat((high[self.owner] >= self.need[:, None]) & (low[self.owner] <= self.most[:, None]), self.first, axis=0)
+
+    def of(self, query: np.ndarray, at: np.ndarray, score: np.ndarray) -> np.ndarray:
+        """Scores of queries as (window, place, score) for each window that holds them."""
+        n = self.sizes[query]
+        each = np.repeat(np.arange(len(query)), n)
+        window = self.first[query][each] + np.arange(len(each)) - (np.cumsum(n) - n)[each]
+        own = (score[each] >= self.need[window]) & (score[each] <= self.most[window])
+        return np.stack([window, at[each], score[each]])[:, own]
+
+    def raise_to(self, window: np.ndarray, score: np.ndarray) -> None:
+        self.need[window] = np.maximum(self.need[window], score)
+        self.least = np.minimum.reduceat(self.need, self.first)
 
 
 class Sample:
@@ -210,8 +265,8 @@ def _ask(sample: Sample, width: int, lists: list[int], n: int, others: bool):
                 for to in lists:
                     some = np.flatnonzero(sizes > 0) if others else np.flatnonzero((bucket == to // CENTERS) & (sizes > 0))
                     if len(some):
-                        flat = np.array([w for k in some for w in windows[k]], np.int64)
-                        out.append((to, int(part["row"].iloc[0]), len(some), pack(keys[some], rows[some], labels[some], sizes[some], flat)))
+                        edges = np.array([w for k in some for w in windows[k]], np.int64)
+                        out.append((to, int(part["row"].iloc[0]), len(some), pack(keys[some], rows[some], labels[some], sizes[some], edges)))
                 yield pd.DataFrame(out, columns=["list", "batch", "n", "ask"])
 
     return run
@@ -224,26 +279,15 @@ def _mine(n: int, others: bool):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         """One tree's first rows for each window of the queries of a turn."""
         tree = CoverTree(unpack(next(x for x in frame["own"] if x)))
-        keys, at, values, spans = [], [], [], []
-        for data in frame["ask"]:
-            if not data:
-                continue
-            names, queries, labels, sizes, flat = unpack(data)
-            low, high = tree.bounds(queries)
-            end = 0
-            for k, name in enumerate(names):
-                begin, end = end, end + sizes[k]
-                windows = [tuple(w) for w in flat[begin:end].tolist()]
-                fits = (tree.labels != labels[k]) == others
-                for (a, b, _), (places, scores) in zip(windows, tree.search(queries[k], low[k], high[k], windows, fits, n)):
-                    keys += [name.decode()] * len(places)
-                    spans += [(a, b)] * len(places)
-                    at.append(places)
-                    values.append(scores)
-        places = np.concatenate(at) if at else np.zeros(0, np.int64)
-        edges = np.array(spans, np.int64).reshape(-1, 2)
-        return pd.DataFrame({"key": pd.Series(keys, dtype=object), "vec_id": pd.Series(tree.ids[places], dtype="Int64").mask(tree.nulls[places]), "row": tree.number[places],
-                             "score": np.concatenate(values) if at else np.zeros(0, np.int64), "low": edges[:, 0], "high": edges[:, 1]})
+        asks = [x for x in frame["ask"] if x]
+        if not asks:
+            return pd.DataFrame(columns=["key", "vec_id", "row", "score", "low", "high"])
+        names, queries, labels, sizes, edges = unpack_all(asks)
+        asked = Windows(sizes, edges)
+        window, places, scores = tree.search(queries, labels, others, asked, n)
+        keys = pd.Series([k.decode() for k in names[asked.owner[window]].tolist()], dtype=object)
+        return pd.DataFrame({"key": keys, "vec_id": pd.Series(tree.ids[places], dtype="Int64").mask(tree.nulls[places]), "row": tree.number[places],
+                             "score": scores, "low": edges[window, 0], "high": edges[window, 1]})
 
     return run
 

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,6 +158,38 @@ def test_tree_covers_and_bounds():
             assert tree.begin[x] == a and tree.end[y - 1] == b and (tree.begin[x + 1:y] == tree.end[x:y - 1]).all()
 
 
+@pytest.mark.parametrize("held", [1 << 18, 700])
+def test_queries_of_a_task_are_compared_at_once(monkeypatch, held):
+    """A leaf is compared with all queries that come to it in a round, and each window has its first rows, ties and nulls included."""
+    monkeypatch.setattr(cover_tree, "AT_ONCE", held, raising=False)
+    rng = np.random.default_rng(11)
+    rows = np.round(rng.normal(size=(2_000, 24)) * 3).astype(np.int64)
+    rows[1_200:] = rows[:20].repeat(40, axis=0) + rng.integers(-1, 2, (800, 24))
+    rows[300:320] = rows[300]
+    ids, nulls, labels = rng.integers(0, 900, 2_000), rng.random(2_000) < 0.05, rng.integers(0, 4, 2_000)
+    tree = CoverTree.build(rows, ids, nulls, np.arange(2_000), labels, float(vectors.squares(rows).max()))
+    at = rng.choice(2_000, 300, replace=False)
+    keys, queries = np.array([f"{k:032x}" for k in range(300)], "S32"), rows[at]
+    sizes = rng.integers(1, 4, 300)
+    scores = queries @ rows.T
+    owner = np.repeat(np.arange(300), sizes)
+    most = np.sort(scores, axis=1)[owner, rng.integers(-900, 0, len(owner))]
+    edges = np.stack([most - rng.integers(0, 120, len(owner)), most, np.full(len(owner), cover_tree.LOWEST)], axis=1)
+    calls = []
+    monkeypatch.setattr(cover_tree, "products", lambda a, b: calls.append(1) or vectors.products(a, b))
+    asks = [vectors.pack(keys[a:b], queries[a:b], labels[at][a:b], sizes[a:b], edges[(owner >= a) & (owner < b)]) for a, b in ((0, 200), (200, 300))]
+    for others in (True, False):
+        calls.clear()
+        out = cover_tree._mine(3, others)(pd.DataFrame({"own": [tree.packed(), None, None], "ask": [None, *asks]}))
+        assert held == 700 or len(calls) < 600, "one call for each query and leaf"
+        wanted = set()
+        for q, (low, high, _) in zip(owner, edges.tolist()):
+            fits = np.flatnonzero(((labels != labels[at[q]]) == others) & (scores[q] >= low) & (scores[q] <= high))
+            first = fits[np.lexsort((fits, ids[fits], nulls[fits], -scores[q, fits]))[:3]]
+            wanted |= {(keys[q].decode(), None if nulls[k] else int(ids[k]), int(k), int(scores[q, k]), low, high) for k in first}
+        assert len(wanted) > 500 and {tuple(None if x is pd.NA else x for x in r) for r in out.astype(object).itertuples(index=False)} == wanted
+
+
 def test_few_candidates_are_evaluated_when_pivots_are_near():
     rng = np.random.default_rng(6)
     rows = (rng.normal(size=(60, 8)) * 4_000)[rng.integers(0, 60, 4_000)].astype(np.int64) + rng.integers(-40, 40, (4_000, 8))

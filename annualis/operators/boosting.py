@@ -11,22 +11,30 @@ of up to ``ONE_TASK`` rows are grown by one task a model, by the same steps and
 
 from __future__ import annotations
 
+import os
+import time
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from copy import copy
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import BarrierTaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annualis.functions.scalar import text_hash
 from annualis.schemas import BOOST_PARAMS
-from annualis.session import stored, stored_with
+from annualis.session import file_system, scratch_path, shared_dir, stored, stored_with
 
 BLOCK_ROWS = 1 << 16
 ONE_TASK = 1 << 20  # rows that a task may hold, at about 40 bytes each
 STORE_EVERY = 10  # trees after which predictions are stored
+JOINT = 1 << 16  # combined bins of columns that are counted at once
+FEW = 1 << 13  # rows of a node below which nodes are counted together
+HELD_BYTES = 512 << 20  # of rows that a task may hold beside others
+HELD_TASKS = 64
 LEAST_GAIN = 1e-6
 UNIT_BITS = 40
 MOST_MODELS = 62  # a row's models are bits of a long
@@ -150,31 +158,34 @@ class Tree:
         out.above = None
         return out
 
-    def descend(self, place: np.ndarray, bins: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """One level down from the nodes at which rows are; those at leaves stay."""
-        column = self.column[place]
-        inner = np.flatnonzero(column >= 0)
-        if len(inner):
-            here = place[inner]
-            right = bins[column[inner], rows[inner]] > self.bin[here]
-            place = place.copy()
-            place[inner] = 2 * here + 1 + right
-        return place
-
-    def leaves(self, bins: np.ndarray) -> np.ndarray:
-        rows = np.arange(bins.shape[1])
-        place = np.zeros(len(rows), np.int64)
+    def parted(self, spans: Sequence[tuple[int, np.ndarray]], bins: np.ndarray) -> list[tuple[int, np.ndarray]]:
+        """One level down from nodes with their rows; leaves stay as they are."""
+        out = []
+        for node, rows in spans:
+            column = self.column[node]
+            if column < 0 or not len(rows):
+                out.append((node, rows))
+                continue
+            right = bins[column].take(rows, mode="clip") > self.bin[node]  # the quickest of take's modes
+            out += [(2 * node + 1, rows.take(np.flatnonzero(~right), mode="clip")), (2 * node + 2, rows.take(np.flatnonzero(right), mode="clip"))]
+        return out
+
+    def leaves(self, spans: Sequence[tuple[int, np.ndarray]], bins: np.ndarray) -> list[tuple[int, np.ndarray]]:
         for _ in range(self.p.depth):
-            place = self.descend(place, bins, rows)
-        return place
+            spans = self.parted(spans, bins)
+        return spans
 
 
 class Block:
-    """Binned rows with the targets, row keys, the models they train and their predictions by each model."""
+    """Binned rows with the targets, row keys, the models they train and their predictions by these models."""
 
     def __init__(self, bins: np.ndarray, y: np.ndarray, keys: np.ndarray, models: np.ndarray, predicted: np.ndarray):
         self.bins, self.y, self.keys, self.models, self.predicted = bins, y, keys, models, predicted
         self._begun: dict[int, tuple] = {}
+        self._trains: dict[int, np.ndarray] = {}
+        self._drawn: tuple = (None, None)
+        self._joint: tuple = (None, None)
+        self._sizes = [int(b.max()) + 1 if len(b) else 1 for b in bins]
 
     @classmethod
     def read(cls, row, columns: int, models: int) -> Block:
@@ -187,35 +198,98 @@ class Block:
         join = lambda name: np.concatenate([getattr(b, name) for b in blocks], axis=-1)
         return cls(join("bins"), join("y"), join("keys"), join("models"), join("predicted"))
 
-    def add(self, m: int, tree: Tree) -> None:
-        self.predicted[m] += tree.weight[tree.leaves(self.bins)]
-        self._begun.pop(m, None)
+    def trains(self, m: int) -> np.ndarray:
+        if m not in self._trains:
+            self._trains[m] = self.models >> m & 1 > 0
+        return self._trains[m]
+
+    def drawn(self, p: Params, number: int) -> np.ndarray:
+        if self._drawn[0] != number:
+            self._drawn = number, p.sampled(self.keys, number)
+        return self._drawn[1]
+
+    def joint(self, number: int, columns: np.ndarray) -> list[tuple[np.ndarray | None, list[int], list[int]]]:
+        """The drawn columns in groups of at most ``JOINT`` combined bins: these, the places among the columns, the bins of each."""
+        if self._joint[0] != number:
+            groups: list[list[int]] = []
+            for c in sorted(range(len(columns)), key=lambda c: (self._sizes[columns[c]], c)):
+                if groups and np.prod([self._sizes[columns[k]] for k in [*groups[-1], c]]) <= JOINT:
+                    groups[-1].append(c)
+                else:
+                    groups.append([c])
+            found = []
+            for own in groups:
+                sizes = [self._sizes[columns[c]] for c in own]
+                codes = None
+                if len(own) > 1 and np.prod(sizes) <= len(self.y):
+                    codes = self.bins[columns[own[0]]].astype(np.uint16)
+                    for c, size in zip(own[1:], sizes[1:]):
+                        codes *= np.uint16(size)
+                        codes += self.bins[columns[c]]
+                found.append((codes, own, sizes))
+            self._joint = number, found
+        return self._joint[1]
+
+    def add(self, m: int, tree: Tree, number: int | None = None) -> None:
+        """The weights of a tree to the predictions of the rows that train the model; rows that it was grown from stand at its nodes already."""
+        begun, rest = self._begun.pop(m, None), self.trains(m)
+        spans = []
+        if begun is not None and begun[0][0] == number:
+            spans, rest = tree.leaves(begun[1], self.bins), rest & ~self.drawn(tree.p, number)
+        spans += tree.leaves([(0, np.flatnonzero(rest))], self.bins)
+        weight = np.zeros(len(self.y))
+        for node, rows in spans:
+            weight[rows] = tree.weight[node]
+        self.predicted[m] += weight
 
     def sums(self, m: int, number: int, tree: Tree, level: int, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sums of gradients and numbers of rows of the nodes that are counted, by (node, column, bin)."""
         begun = self._begun.get(m)
         if begun is None or begun[0] != (number, level - 1):
-            rows = np.flatnonzero((self.models >> m & 1 > 0) & tree.p.sampled(self.keys, number))
-            place = np.zeros(len(rows), np.int64)
-            gradient = np.rint((self.predicted[m, rows] - self.y[rows]) / tree.unit)
+            spans = [(0, np.flatnonzero(self.trains(m) & self.drawn(tree.p, number)))]
+            gradient = self.predicted[m] - self.y
+            gradient *= 1 / tree.unit  # a power of two
+            np.rint(gradient, out=gradient)
             for _ in range(level):
-                place = tree.descend(place, self.bins, rows)
+                spans = tree.parted(spans, self.bins)
         else:
-            _, rows, gradient, place = begun
-            place = tree.descend(place, self.bins, rows)
-        self._begun[m] = (number, level), rows, gradient, place
-        slot = np.full(len(tree.column), -1, np.int64)
-        slot[tree.counted] = np.arange(len(tree.counted))
-        own = slot[place]
-        some = np.flatnonzero(own >= 0)
-        base, gradient, rows = own[some] * tree.p.bins, gradient[some], rows[some]
-        size = len(tree.counted) * tree.p.bins
-        shape = (len(tree.counted), len(columns), tree.p.bins)
-        g, n = np.empty(shape), np.empty(shape)
-        for c, column in enumerate(columns):
-            at = base + self.bins[column, rows]
-            g[:, c] = np.bincount(at, gradient, size).reshape(-1, tree.p.bins)
-            n[:, c] = np.bincount(at, minlength=size).reshape(-1, tree.p.bins)
+            _, spans, gradient = begun
+            spans = tree.parted(spans, self.bins)
+        self._begun[m] = (number, level), spans, gradient
+        bins = tree.p.bins
+        shape = (len(tree.counted), len(columns), bins)
+        g, n = np.zeros(shape), np.zeros(shape)
+        slot = {int(node): k for k, node in enumerate(tree.counted)}
+        few = []
+        for node, rows in spans:
+            if node not in slot or not len(rows):
+                continue
+            k = slot[node]
+            if len(rows) < FEW:
+                few.append((k, rows))
+                continue
+            own = gradient.take(rows)
+            for codes, places, sizes in self.joint(number, columns):
+                if codes is not None and np.prod(sizes) <= len(rows):
+                    at = codes.take(rows, mode="clip").astype(np.intp)
+                    cells = int(np.prod(sizes))
+                    both = np.bincount(at, own, cells).reshape(sizes), np.bincount(at, minlength=cells).reshape(sizes)
+                    for i, (c, size) in enumerate(zip(places, sizes)):
+                        others = tuple(j for j in range(len(sizes)) if j != i)
+                        g[k, c, :size], n[k, c, :size] = both[0].sum(axis=others), both[1].sum(axis=others)
+                else:
+                    for c in places:
+                        at = self.bins[columns[c]].take(rows, mode="clip").astype(np.intp)
+                        g[k, c], n[k, c] = np.bincount(at, own, bins), np.bincount(at, minlength=bins)
+        if few:
+            rows = np.concatenate([r for _, r in few])
+            slots = np.array([k for k, _ in few])
+            base = np.repeat(np.arange(len(few)) * bins, [len(r) for _, r in few])
+            own, size = gradient.take(rows), len(few) * bins
+            for c, column in enumerate(columns):
+                at = base + self.bins[column].take(rows, mode="clip")
+                g[slots, c] = np.bincount(at, own, size).reshape(-1, bins)
+                n[slots, c] = np.bincount(at, minlength=size).reshape(-1, bins)
         return g, n
 
 
@@ -249,21 +323,29 @@ def _tree_rows(name: str, number: int, tree: Tree, features: Sequence[str], cuts
 
 def cut_points(df: DataFrame, columns: Sequence[str], bins: int) -> list[np.ndarray]:
     """Up to ``bins`` - 1 values of each column at which it may be cut: all but the largest where there are few, else quantiles."""
-    long = df.select(F.inline(F.array(*[F.struct(F.lit(k).alias("k"), F.col(c).alias("x")) for k, c in enumerate(columns)]))).filter("x is not null and not isnan(x)")
     shares = [k / bins for k in range(1, bins)]
     out = [np.zeros(0)] * len(columns)
-    counted = []
-    for r in long.groupBy("k").agg(F.approx_count_distinct("x").alias("n"), F.percentile_approx("x", shares, 10_000).alias("q")).collect():
-        out[r["k"]] = np.unique(np.array(r["q"], float))
-        if r["n"] <= 0.9 * bins:
-            counted.append(r["k"])
+    there = [F.when(~F.isnan(c), F.col(c)) for c in columns]
+
+    def quantiles(ks: Sequence[int]) -> None:
+        if ks:
+            for k, q in zip(ks, df.agg(*[F.percentile_approx(there[k], shares, 10_000) for k in ks]).first()):
+                out[k] = np.unique(np.array(q, float)) if q is not None else out[k]
+
+    distinct = df.agg(*[F.approx_count_distinct(x) for x in there]).first()
+    counted = [k for k, n in enumerate(distinct) if n <= 0.9 * bins]
+    many = [k for k, n in enumerate(distinct) if n > 0.9 * bins]
     if counted:
         values: dict[int, list[float]] = {k: [] for k in counted}
-        for r in long.filter(F.col("k").isin(counted)).distinct().collect():  # about ``bins`` values a column at most
+        long = df.select(F.inline(F.array(*[F.struct(F.lit(k).alias("k"), F.col(columns[k]).alias("x")) for k in counted]))).filter("x is not null and not isnan(x)")
+        for r in long.distinct().collect():  # about ``bins`` values a column at most
             values[r["k"]].append(r["x"])
         for k, own in values.items():
             if len(own) <= bins:
                 out[k] = np.sort(np.array(own, float))[:-1]
+            else:
+                many.append(k)
+    quantiles(many)
     return out
 
 
@@ -276,6 +358,8 @@ class Booster:
     base: float
     trees: pd.DataFrame  # rows as in SPLITS, in the order of tree and node
     _arrays: tuple | None = field(default=None, repr=False)
+    _cuts: list | None = field(default=None, repr=False)
+    _tables: list | None = field(default=None, repr=False)
 
     def arrays(self) -> tuple[np.ndarray, ...]:
         """Column (-1: a leaf), cut, weight and rows of each node, by tree; a tree has as many places as the largest needs."""
@@ -292,19 +376,70 @@ class Booster:
             self._arrays = column, cut, weight, rows
         return self._arrays
 
+    def coded(self, x: np.ndarray) -> list[np.ndarray | None]:
+        """For each feature, how many of the cuts that any tree makes in it lie below the rows' values; what isn't up to a cut (NaN too) lies beyond all."""
+        return [np.searchsorted(cuts, np.ascontiguousarray(x[:, k])).astype(np.intp) if len(cuts) else None for k, cuts in enumerate(self.cuts())]
+
+    def cuts(self) -> list[np.ndarray]:
+        """All cuts of each feature, in order."""
+        if self._cuts is None:
+            column, cut, _, _ = self.arrays()
+            self._cuts = [np.unique(cut[column == k]) for k in range(len(self.features))]
+        return self._cuts
+
+    def leaf_tables(self) -> list[tuple[list[tuple[int, np.ndarray]], np.ndarray]]:
+        """For each tree of up to 64 leaves: by feature and code, a bit for each leaf, from the left, that the value leaves open; the leaves' weights."""
+        if self._tables is None:
+            self._tables = []
+            column, cut, weight, _ = self.arrays()
+            for c, t, w in zip(column, cut, weight):
+                weights, splits = [], []
+
+                def walk(node):
+                    first = len(weights)
+                    if c[node] < 0:
+                        weights.append(w[node])
+                        return
+                    walk(2 * node + 1)
+                    splits.append((int(c[node]), int(np.searchsorted(self._cuts[c[node]], t[node])), ~((1 << len(weights)) - (1 << first)) & (1 << 64) - 1))
+                    walk(2 * node + 2)
+
+                self.cuts()
+                walk(0)
+                masks = {}
+                for f, k, mask in splits:
+                    own = masks.setdefault(f, np.full(len(self._cuts[f]) + 1, (1 << 64) - 1, np.uint64))
+                    own[k + 1:] &= np.uint64(mask)
+                self._tables.append((list(masks.items()), np.array(weights)))
+        return self._tables
+
     def predict(self, x: np.ndarray) -> np.ndarray:
         """Base and leaf weights of rows of inputs, summed in the order of trees; what isn't up to a cut (NaN too) goes right."""
         column, cut, weight, _ = self.arrays()
-        out, rows = np.full(len(x), self.base), np.arange(len(x))
-        for c, t, w in zip(column, cut, weight):
-            place = np.zeros(len(x), np.int64)
-            live = rows
-            while len(live):
-                here = place[live]
-                inner = c[here] >= 0
-                live, here = live[inner], here[inner]
-                place[live] = 2 * here + 2 - (x[live, c[here]] <= t[here])
-            out += w[place]
+        out = np.full(len(x), self.base)
+        if column.shape[1] > 127:  # more than 64 leaves
+            rows = np.arange(len(x))
+            for c, t, w in zip(column, cut, weight):
+                place = np.zeros(len(x), np.int64)
+                live = rows
+                while len(live):
+                    here = place[live]
+                    inner = c[here] >= 0
+                    live, here = live[inner], here[inner]
+                    place[live] = 2 * here + 2 - (x[live, c[here]] <= t[here])
+                out += w[place]
+            return out
+        codes = self.coded(x)
+        for masks, weights in self.leaf_tables():
+            if not masks:
+                out += weights[0]
+                continue
+            left = None
+            for f, mask in masks:
+                own = mask.take(codes[f], mode="clip")
+                left = own if left is None else np.bitwise_and(left, own, out=left)
+            left &= np.uint64(0) - left  # the first leaf that all leave open
+            out += weights.take((left.astype(np.float64).view(np.int64) >> 52) - 1023, mode="clip")
         return out
 
     def transform(self, df: DataFrame, name: str = "prediction") -> DataFrame:
@@ -383,9 +518,12 @@ def fit_together(df: DataFrame, features: Sequence[str], target: str, keys: Sequ
                                      part["models"].to_numpy(np.int64).tobytes(), first.tobytes())], columns=[c.split()[0] for c in BLOCKS.split(", ")])
 
     blocks, seen = stored_with(data.mapInPandas(pack, BLOCKS), "blocks", n=F.sum(F.length("y") / 8))
+    n = int(seen["n"] or 0)
     rows: list[tuple] = []
-    if int(seen["n"] or 0) <= (ONE_TASK if one_task is None else one_task):
+    if n <= (ONE_TASK if one_task is None else one_task):
         grown = _in_tasks(blocks, p, len(features), units, names, features, cuts, len(names))
+    elif tasks := _held_tasks(df.sparkSession, n, len(features), len(names)):
+        grown = _in_held_rows(blocks, p, len(features), units, names, features, cuts, len(names), tasks)
     else:
         for number, trees in _over_blocks(blocks, p, len(features), units, len(names)):
             for m, tree in trees.items():
@@ -404,7 +542,7 @@ def _in_tasks(blocks: DataFrame, p: Params, columns: int, units, names, features
 
         def done(number: int, trees: dict[int, Tree]) -> None:
             rows.extend(_tree_rows(names[m], number, trees[m], features, cuts))
-            block.add(m, trees[m])
+            block.add(m, trees[m], number)
 
         _grow(p, columns, {m: units[m]}, lambda number, level, drawn, trees: {m: block.sums(m, number, trees[m], level, drawn)}, done)
         return pd.DataFrame(rows, columns=[c.split()[0] for c in SPLITS.split(", ")])
@@ -413,6 +551,87 @@ def _in_tasks(blocks: DataFrame, p: Params, columns: int, units, names, features
     return blocks.withColumn("model", each).groupBy("model").applyInPandas(run, SPLITS).toPandas()
 
 
+class Meeting:
+    """Tasks that run at the same time add up their arrays by files in a shared folder; all get the same sums."""
+
+    def __init__(self, folder: str, own: int, tasks: int):
+        self.folder, self.own, self.tasks, self.step = folder, own, tasks, 0
+        os.makedirs(folder, exist_ok=True)
+
+    def total(self, arrays: Sequence[np.ndarray]) -> list[np.ndarray]:
+        name = lambda task, step: f"{self.folder}/{step}-{task}"
+        with open(f"{name(self.own, self.step)}.new", "wb") as f:
+            for a in arrays:
+                f.write(np.ascontiguousarray(a))
+        os.rename(f"{name(self.own, self.step)}.new", name(self.own, self.step))
+        out = [a.copy() for a in arrays]
+        for other in range(self.tasks):
+            if other == self.own:
+                continue
+            while not os.path.exists(name(other, self.step)):
+                time.sleep(0.001)
+            with open(name(other, self.step), "rb") as f:
+                for a in out:
+                    a += np.frombuffer(f.read(a.nbytes), a.dtype).reshape(a.shape)
+        if self.step:  # whoever has written this step has read the one before
+            os.remove(name(self.own, self.step - 1))
+        self.step += 1
+        return out
+
+
+def _held_tasks(spark: SparkSession, rows: int, columns: int, models: int) -> int:
+    """How many tasks may hold all rows at once; 0 if they can't, or if tasks have no folder in common that Python can write."""
+    context = spark.sparkContext._jsc.sc()
+    if spark.sparkContext.getConf().get("spark.dynamicAllocation.enabled", "false") == "true":
+        return 0
+    files, _ = file_system(spark, shared_dir(spark))
+    if files.getUri().getScheme() != "file":
+        return 0
+    tasks = min(HELD_TASKS, int(context.maxNumConcurrentTasks(context.resourceProfileManager().defaultResourceProfile())))
+    return tasks if tasks and rows / tasks * (2 * columns + 40 + 40 * models) <= HELD_BYTES else 0
+
+
+def _in_held_rows(blocks: DataFrame, p: Params, columns: int, units, names, features, cuts, models: int, tasks: int) -> pd.DataFrame:
+    """All models from one pass: tasks that run together keep their rows, and add up the sums of each level."""
+    spark = blocks.sparkSession
+    files, place = file_system(spark, scratch_path(spark, "sums"))
+    folder = place.toUri().getPath()
+
+    def run(frames):
+        context = BarrierTaskContext.get()
+        own = [Block.read(r, columns, models) for frame in frames for r in frame.itertuples(index=False)]
+        none = Block(np.zeros((columns, 0), np.uint8), np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((models, 0)))
+        block = Block.joined(own) if own else none
+        own.clear()
+        attempt = context.allGather(uuid.uuid4().hex)[0]  # a stage that begins again meets elsewhere
+        meeting = Meeting(f"{folder}/{attempt}", context.partitionId(), tasks)
+        rows: list[tuple] = []
+
+        def level_sums(number, level, drawn, growing):
+            used = np.arange(p.bins) < np.array([len(cuts[c]) + 1 for c in drawn])[:, None]
+            found = {m: block.sums(m, number, tree, level, drawn) for m, tree in growing.items()}
+            totals = iter(meeting.total([a for g, n in found.values() for a in (g[:, used], n[:, used].astype(np.int32))]))
+            out = {}
+            for m, (g, n) in found.items():
+                g[:, used], n[:, used] = next(totals), next(totals)
+                out[m] = g, n
+            return out
+
+        def done(number, trees):
+            for m, tree in trees.items():
+                block.add(m, tree, number)
+                if not meeting.own:
+                    rows.extend(_tree_rows(names[m], number, tree, features, cuts))
+
+        _grow(p, columns, units, level_sums, done)
+        yield pd.DataFrame(rows, columns=[c.split()[0] for c in SPLITS.split(", ")])
+
+    try:
+        return blocks.repartition(tasks).mapInPandas(run, SPLITS, barrier=True).toPandas()
+    finally:
+        files.delete(place, True)
+
+
 SUMS = "model int, at int, g long, n long"
 
 

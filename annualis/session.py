@@ -70,23 +70,23 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _scope.reset(token)
-        files, place = _file_system(spark, f"{_application_dir(spark)}/{folder}")
+        files, place = file_system(spark, f"{_application_dir(spark)}/{folder}")
         files.delete(place, True)
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    files, place = _file_system(spark, path)
+    files, place = file_system(spark, path)
     return files.exists(place)
 
 
 def clear_scratch(spark: SparkSession) -> None:
     """Remove the tables this application stored; call it when their readers are done."""
-    files, place = _file_system(spark, _application_dir(spark))
+    files, place = file_system(spark, _application_dir(spark))
     files.delete(place, True)
 
 

@@ -177,3 +177,69 @@ def test_contributions_of_rows(table):
     sums = long.groupBy("id").agg(F.sum("contribution").alias("s"), F.first("prediction").alias("p")).collect()
     assert len(sums) == 700 and all(r["s"] + T.expected_value(model) == pytest.approx(r["p"], abs=1e-9) for r in sums)
     assert T.mean_abs_contributions(table, model, ["fold"]).count() == 12
+
+
+def test_held_rows_and_passes_grow_the_same_bits(table, monkeypatch):
+    monkeypatch.setattr(B, "FEW", 20)
+    monkeypatch.setattr(B, "JOINT", 300)
+    parts = {"all": F.lit(True), "no": F.lit(False), **{f"f{k}": F.col("fold") != k for k in (1, 2, 3)}}
+    params = {"trees": 4, "depth": 5, "bins": 32}
+    held = B.fit_together(table, NAMES, "y", ["id"], parts, params, one_task=0)
+    monkeypatch.setattr(B, "_held_tasks", lambda *_: 0)
+    passes = B.fit_together(table, NAMES, "y", ["id"], parts, params, one_task=0)
+    alone = B.fit_together(table, NAMES, "y", ["id"], parts, params)
+    for name in parts:
+        assert held[name].trees.equals(alone[name].trees) and passes[name].trees.equals(alone[name].trees)
+    assert len(alone["all"].trees) > 40
+
+
+def test_held_rows_take_no_job_for_each_level(spark, table):
+    spark.sparkContext.setJobGroup("held", "held")
+    try:
+        B.fit_together(table, NAMES, "y", ["id"], {"all": F.lit(True)}, {"trees": 20, "depth": 4}, one_task=0)
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("held")) < 20
+
+
+def test_columns_counted_together_or_alone():
+    """Sums of nodes by combined bins, by one column and by several nodes at once."""
+    rng = np.random.default_rng(5)
+    n, sizes = 30_000, [3, 5, 40, 256]
+    bins = np.stack([rng.integers(0, s, n) for s in sizes]).astype(np.uint8)
+    p = B.Params.of({"row_sample": 1.0, "column_sample": 1.0, "depth": 4})
+    block = B.Block(bins, rng.integers(-999, 999, n) * 1.0, np.arange(n), np.ones(n, np.int64), np.zeros((1, n)))
+    tree, columns = B.Tree(p, 1.0), np.arange(4)
+    place = np.zeros(n, np.int64)
+    for level in range(4):
+        g, s = block.sums(0, 0, tree, level, columns)
+        for k, node in enumerate(tree.counted):
+            for c in columns:
+                own = place == node
+                assert (g[k, c] == np.bincount(bins[c, own], -block.y[own], 256)).all() and (s[k, c] == np.bincount(bins[c, own], minlength=256)).all()
+        tree.grow(g, s, columns, level == 3)
+        split = tree.column[place]
+        place = np.where(split < 0, place, 2 * place + 1 + (bins[split, np.arange(n)] > tree.bin[place]))
+    assert block.joint(0, columns)[0][0] is not None
+    block.add(0, tree, 0)
+    assert (block.predicted[0] == tree.weight[place]).all()
+
+
+@pytest.mark.parametrize("depth", [3, 6, 7])
+def test_predictions_follow_the_cuts(table, depth):
+    """Trees of up to and beyond 64 leaves; values on a cut, beyond all, and not numbers."""
+    model = B.fit(table, NAMES, "y", ["id"], {"trees": 6, "depth": depth, "min_rows": 1})
+    x = np.random.default_rng(2).normal(size=(200, 4)) * 2
+    x[:4], x[4:8], x[8:12] = np.nan, np.inf, -np.inf
+    cuts = model.trees["cut"].dropna().to_numpy()
+    x[12:100] = np.random.default_rng(3).choice(cuts, (88, 4))
+    expected = []
+    for row in x:
+        out = model.base
+        for _, tree in model.trees.groupby("tree"):
+            nodes, node = tree.set_index("node"), 0
+            while nodes.loc[node, "feature"] is not None:
+                node = 2 * node + 1 + int(not row[NAMES.index(nodes.loc[node, "feature"])] <= nodes.loc[node, "cut"])
+            out += nodes.loc[node, "weight"]
+        expected.append(out)
+    assert model.predict(x).tolist() == expected

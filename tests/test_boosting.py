@@ -243,3 +243,18 @@ def test_predictions_follow_the_cuts(table, depth):
             out += nodes.loc[node, "weight"]
         expected.append(out)
     assert model.predict(x).tolist() == expected
+    found = T.Explainer(model).contributions(x)
+    assert found.sum(axis=1) + T.expected_value(model) == pytest.approx(expected, abs=1e-9)
+
+
+def test_branches_share_tables(table, monkeypatch):
+    """A row looks up fewer tables than a tree has leaves, and the size of the tables changes no value."""
+    model = B.fit(table, NAMES, "y", ["id"], {"trees": 5, "depth": 6})
+    x = np.random.default_rng(4).normal(size=(100, 4)) * 2
+    large = T.Explainer(model)
+    leaves = model.trees["feature"].isna().sum()
+    assert 4 * sum(len(tables) for _, tables in large.trees) < leaves
+    monkeypatch.setattr(T, "CELLS", 8)
+    small = T.Explainer(model)
+    assert small.contributions(x) == pytest.approx(large.contributions(x), abs=1e-12)
+    assert sum(len(tables) for _, tables in small.trees) > sum(len(tables) for _, tables in large.trees)

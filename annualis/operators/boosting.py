@@ -1,12 +1,15 @@
 """Boosted regression trees with second-order splits, L1 and L2 penalties and columns drawn for each tree.
 
 Inputs are cut into bins. A level of a tree needs only the sums of gradients and the numbers of rows by (model, node, input,
-bin): one pass over the rows and one aggregation. Several models grow together from the same passes, each from its own part of the
-rows, so all folds of a cross-validation cost one scan a level. Rows are kept as blocks of binned columns; every few trees the blocks are
-stored with their new predictions. Only sums and splits come to the driver.
+bin). Several models grow together, each from its own part of the rows.
 
-Gradients are whole multiples of a unit, so their sums are exact and a model doesn't depend on how the rows are spread. Tables
-of up to ``ONE_TASK`` rows are grown by one task a model, by the same steps and with the same bits.
+Tables of up to ``ONE_TASK`` rows are grown by one task a model. Larger ones are held by tasks that run at the same time: each
+keeps its rows by node and they add up their sums level by level through files in the shared folder. Where rows don't fit these
+tasks, or the folder is no file system that Python can write, a level is a pass over stored blocks of binned columns and one
+aggregation, and every few trees the blocks are stored with their new predictions; only sums and splits come to the driver then.
+
+Gradients are whole multiples of a unit, so their sums are exact, and a model doesn't depend on how the rows are spread or which
+of the three ways is taken.
 """
 
 from __future__ import annotations
